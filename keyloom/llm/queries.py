@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, simhash, substring_dedup, token_counts, token_files
+from . import bpe, common, decontaminate, quality_crf, simhash, substring_dedup, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +35,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(token_files.read_token_files(spark, path, files))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_crf.classify(docs, quality_crf.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op8_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op8_token_files, op9_quality, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
