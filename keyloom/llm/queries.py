@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, quality_crf, simhash, substring_dedup, token_counts, token_files
+from . import bpe, common, decontaminate, media, quality_crf, simhash, substring_dedup, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.shared_dir(spark, "media")
+    media.write_media(_table(spark, sf_dir, "documents"), path)
+    return media.media_features(media.read_media(spark, path))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.shared_dir(spark, "tokens")
     files = token_files.write_token_files(_table(spark, sf_dir, "documents"), path)
@@ -44,5 +50,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op8_token_files, op9_quality, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op6_media, op8_token_files, op9_quality, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
