@@ -133,7 +133,7 @@ def _doc_hits(window: int, k: int, short: list[int], pages: dict[int, bytes], bi
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5) -> DataFrame:
     """Per document: id, n_words, n_hit (words inside occurrences of item windows), n_items, items_sha256 (of the
-    items' ids sorted as strings and joined by commas), contaminated, and the ids themselves as items.
+    items' ids sorted as strings and joined by commas), contaminated, the ids themselves as items, and tie (a hash of the text).
 
     A window is `window` consecutive words of an item, or all words of a shorter one. Null or empty texts have no
     words: such documents have no hit, such items no window. Items of equal id count once, one of null id is
@@ -159,4 +159,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     met = met.select(F.col("id").alias("i"), F.col("tie").alias("t"), "n_hit", "items")
     out = read.select("id", "tie", "n_words").join(met, F.col("id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")), "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.size(listed).cast("bigint").alias("n_items"), F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), listed.alias("items"))
+    return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.size(listed).cast("bigint").alias("n_items"), F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), listed.alias("items"), "tie")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, media, quality_crf, simhash, substring_dedup, token_counts, token_files
+from . import bpe, common, decontaminate, line_dedup, media, quality_crf, simhash, substring_dedup, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("tie")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.read_media(spark, path))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("removed", ",").alias("removed"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.shared_dir(spark, "tokens")
     files = token_files.write_token_files(_table(spark, sf_dir, "documents"), path)
@@ -50,5 +55,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op6_media, op8_token_files, op9_quality, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op6_media, op7_line_dedup, op8_token_files, op9_quality, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
