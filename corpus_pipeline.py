@@ -1,2 +1,61 @@
-"""Stages of the corpus pipeline."""
-STAGES = []
+"""The corpus pipeline: each stage takes the documents that the stage before it has kept, and is written as
+Parquet and read again before the next one. Every stage but the last returns the columns of documents."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from keyloom.llm import bpe, common, decontaminate, line_dedup, quality_crf, simhash
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier, fitted on labelled ones, predicts to be good."""
+    model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    common.bounded_batches(spark)
+    return docs.filter(quality_crf.quality_score(model) >= 0.5)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that an earlier one has within two edits; n_chars follows the text."""
+    kept = line_dedup.without_repeated_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each SimHash group; of rows with that id, one. A group of null ids
+    alone keeps one row of each text."""
+    groups = simhash.simhash_groups(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
+    kept = docs.join(groups, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+    return kept.withColumn("alike", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "alike"]).select(docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of ten words with a benchmark item."""
+    hit = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("id"), "tie").distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("tie")), "left_anti")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether they decode to its text."""
+    made = bpe.bpe_encode(docs)
+    return made.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("text"))
+
+
+STAGES: list[tuple[str, Stage]] = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("tokens", tokens)]
+
+#: SQL cannot express the classifier, the edit join or the fingerprints; tests compare with a plain version.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    top = common.shared_dir(spark, "pipeline")
+    for k, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}-{name}")
+        docs = spark.read.parquet(f"{top}/{k}-{name}")
+    return docs
