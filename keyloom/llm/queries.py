@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, line_dedup, media, quality_crf, simhash, substring_dedup, token_counts, token_files
+from . import bpe, common, decontaminate, line_dedup, media, quality_crf, simhash, substring_dedup, suffix_dedup, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup_bytes(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
@@ -55,5 +60,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op5_simhash, op6_media, op7_line_dedup, op8_token_files, op9_quality, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op4_suffix_dedup, op5_simhash, op6_media, op7_line_dedup, op8_token_files, op9_quality, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}

@@ -9,21 +9,14 @@ taken apart into its windows, which are grouped again."""
 
 from __future__ import annotations
 
-import hashlib
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_BASES, bounded_batches, flat_bytes, fmix, powers, slices, sliding_argmin, span_hashes, window_hashes, word_spans
+from .sketch import SKETCH_BITS, Repeated, repeated_slots
 
-#: Counters of each of the sketch's rows, as a power of two (a bit each when broadcast: 16 MB a row at most),
-#: and of a page, the part of a row that one task adds up.
-SKETCH_BITS, PAGE_BITS = 27, 20
-_ROWS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_KEYS_HELD = 1 << 22
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -55,83 +48,27 @@ class Windows:
         return fmix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
 
 
-def _slots(keys: np.ndarray, bits: int):
-    return [((keys * _U(m)) >> _U(64 - bits)).astype(np.int64) for m in _ROWS]
-
-
-def _partial_sketches(window: int, bits: int):
-    """A partition's counters, page by page: the slots counted once and those counted more often."""
-
-    def pages(keys):
-        for r, slot in enumerate(_slots(keys, bits)):
-            slot, n = np.unique(slot, return_counts=True)
-            cut = np.flatnonzero(np.concatenate([[True], np.diff(slot >> PAGE_BITS) > 0])) if len(slot) else []
-            for part, many in zip(np.split(slot, cut[1:]), np.split(n > 1, cut[1:]), strict=True):
-                if len(part):
-                    low = (part & ((1 << PAGE_BITS) - 1)).astype("<u4")
-                    yield {"page": (r << 40) | int(part[0] >> PAGE_BITS), "once": low[~many].tobytes(), "more": low[many].tobytes()}
+def _keys(window: int):
+    """Arrays of the keys of a partition's windows; a document counts a key once."""
 
     def run(batches):
-        held, n = [], 0
-        kind = pa.schema([("page", pa.int64()), ("once", pa.binary()), ("more", pa.binary())])
         for b in slices(batches, "text"):
             w = Windows(b, window)
             if len(w.at):
                 new = np.concatenate([[True], np.diff(w.chosen) != 0])
                 doc, key = w.row[w.at[new]], w.key[new]
-                order = np.lexsort((key, doc))  # a document counts a key once
+                order = np.lexsort((key, doc))
                 doc, key = doc[order], key[order]
-                held.append(key[np.concatenate([[True], (np.diff(doc) != 0) | (key[1:] != key[:-1])])])
-                n += len(held[-1])
-            if n > _KEYS_HELD:
-                yield pa.RecordBatch.from_pylist(list(pages(np.concatenate(held))), kind)
-                held, n = [], 0
-        if n:
-            yield pa.RecordBatch.from_pylist(list(pages(np.concatenate(held))), kind)
+                yield key[np.concatenate([[True], (np.diff(doc) != 0) | (key[1:] != key[:-1])])]
 
     return run
 
 
-def _added_sketches(batches):
-    """Sum of the partitions' counters, from rows sorted by page: the slots of a page counted more than once,
-    as packed, compressed bits. One page of counters is held at a time."""
-    page, count = None, np.zeros(1 << PAGE_BITS, np.uint8)
-
-    def made():
-        more = count > 1
-        return [{"page": page, "bits": zlib.compress(np.packbits(more).tobytes(), 1)}] if more.any() else []
-
-    kind = pa.schema([("page", pa.int64()), ("bits", pa.binary())])
-    for b in batches:
-        for p, once, more in zip(b.column("page").to_pylist(), b.column("once").to_pylist(), b.column("more").to_pylist(), strict=True):
-            if p != page:
-                if page is not None:
-                    yield pa.RecordBatch.from_pylist(made(), kind)
-                page = p
-                count[:] = 0
-            at = np.frombuffer(once, "<u4")
-            count[at] = np.minimum(count[at] + 1, 2)
-            count[np.frombuffer(more, "<u4")] = 2
-    if page is not None:
-        yield pa.RecordBatch.from_pylist(made(), kind)
-
-
 def _runs(window: int, bits: int, pages: dict[int, bytes]):
     """The second pass over the texts: runs of neighbouring windows that have the same, repeated key."""
 
     def run(batches):
-        marks = [np.zeros(1 << (bits - 3), np.uint8) for _ in _ROWS]
-        for p, raw in pages.items():
-            part = np.frombuffer(zlib.decompress(raw), np.uint8)
-            at = (p & ((1 << 40) - 1)) << (PAGE_BITS - 3)
-            marks[p >> 40][at : at + len(part)] = part[: len(marks[p >> 40]) - at]
-
-        def repeated(keys):
-            ok = np.ones(len(keys), bool)
-            for m, slot in zip(marks, _slots(keys, bits), strict=True):
-                ok &= (m[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
-            return ok
-
+        repeated = Repeated(pages, bits)
         kind = pa.schema([("id", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("size", pa.int32()), ("starts", pa.list_(pa.int32())), ("windows", pa.binary())])
         for b in slices(batches, "text"):
             w = Windows(b, window)
@@ -221,9 +158,7 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = rows.filter("id is not null")
-    sketches = ordered.mapInArrow(_partial_sketches(window, sketch_bits), "page bigint, once binary, more binary")
-    added = sketches.repartition("page").sortWithinPartitions("page").mapInArrow(_added_sketches, "page bigint, bits binary")
-    pages = spark.sparkContext.broadcast({r.page: bytes(r.bits) for r in added.collect()})  # at most 2 * 2**sketch_bits bits
+    pages = spark.sparkContext.broadcast(repeated_slots(ordered, _keys(window), sketch_bits))  # its size has a fixed bound
 
     def runs(batches):
         yield from _runs(window, sketch_bits, pages.value)(batches)
