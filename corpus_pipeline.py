@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Each row as a struct beside its id and a hash of its text, so that no column's name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier, fitted on labelled ones, predicts to be good."""
     model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -29,14 +34,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document with the smallest id of each SimHash group; of rows with that id, one. A group of null ids
     alone keeps one row of each text."""
     groups = simhash.simhash_groups(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
-    kept = docs.join(groups, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-    return kept.withColumn("alike", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "alike"]).select(docs.columns)
+    rows = _packed(docs).join(groups, F.col("own").eqNullSafe(F.col("kept")), "left_semi")
+    return rows.withColumn("alike", F.when(F.col("own").isNull(), F.col("tie"))).dropDuplicates(["own", "alike"]).select("row.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of ten words with a benchmark item."""
     hit = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("id"), "tie").distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("tie")), "left_anti")
+    rows = _packed(docs).withColumnRenamed("tie", "own_tie")
+    return rows.join(hit, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_tie") == F.col("tie")), "left_anti").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

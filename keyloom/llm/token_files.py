@@ -6,9 +6,9 @@ every block's first word, and the values that no selector can hold (escapes)."""
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
+from array import array
 from functools import lru_cache
 from itertools import accumulate, islice
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import bounded_batches, slices
-from .pretokens import pretokens, tokenizers_classes
+from .pretokens import as_letters, pretokens, tokenizers_classes
 
 #: Fixed values of the format: by selector, how many values a word holds, and of how many bits each.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
@@ -31,6 +31,7 @@ ESCAPE = 14  # the word's 60 bits are the value's place among the escapes
 BLOCK = 256
 _U = np.uint64
 _HEAD, _MAGIC = struct.Struct("<4sIQQQQ"), b"S8BK"
+#: Pre-tokens whose ids a worker remembers.
 MEMO = 400_000
 
 
@@ -141,45 +142,37 @@ def _tokenizer(path: str) -> Tokenizer:
 
 
 class Encoder:
-    """The library's ids of whole texts. A text is cut where no pre-token can cross (a single space between
-    two other characters); the library encodes each distinct cut once while the memo holds it."""
-
-    _HARD = re.compile(r"[ ][\s᠎]|[\s᠎][ ]|^ | $")
+    """The library's ids of whole texts: its model merges each distinct pre-token once while the memo holds it."""
 
     def __init__(self, path: str):
         self.tok = _tokenizer(path)
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.seen: dict[str, bytes] = {}
 
-    def _units(self, text: str) -> list[str]:
+    def _split(self, text: str) -> list[str]:
+        """Pre-tokens, and the special strings, which are tokens wherever they stand."""
         parts = [text]
         for s in sorted(self.special, key=lambda s: (-len(s), s)):
             if s in text:
                 parts = [x for p in parts for x in ([p] if p in self.special else [y for z in p.split(s) for y in (s, z)][1:])]
-        out: list[str] = []
-        for p in parts:
-            if p in self.special or not p:
-                out += [p] if p else []
-            elif self._HARD.search(p):
-                out += pretokens(p, tokenizers_classes)
-            else:
-                head, *rest = p.split(" ")
-                out.append(head)
-                out += [" " + r for r in rest]
-        return out
+        if len(parts) == 1 and text not in self.special:
+            return pretokens(text, tokenizers_classes)
+        return [x for p in parts for x in ([p] if p in self.special else pretokens(p, tokenizers_classes))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        units = [self._units(t) for t in texts]
-        if len(self.seen) > MEMO:  # the first half has the most frequent cuts, as they come early
+        split = [self._split(t) for t in texts]
+        if len(self.seen) > MEMO:  # the first half has the most frequent ones, as they come early
             self.seen = dict(islice(self.seen.items(), MEMO // 2))
-        new = list(set().union(*units) - self.seen.keys())
-        for u, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.seen[u] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(self.seen.__getitem__, u)) for u in units]
-        for u in new:
-            if len(u) > 200:
-                del self.seen[u]
+        merge, long = self.tok.model.tokenize, []
+        for p in set().union(*split) - self.seen.keys():
+            ids = [self.special[p]] if p in self.special else [t.id for t in merge(as_letters(p))]
+            self.seen[p] = array("I", ids).tobytes()
+            if len(p) > 200:
+                long.append(p)
+        out = [b"".join(map(self.seen.__getitem__, s)) for s in split]
+        for p in long:
+            del self.seen[p]
         return out
 
 
