@@ -142,18 +142,19 @@ def window_hashes(words: np.ndarray, k: int, base: int) -> np.ndarray:
 
 
 def sliding_argmin(values: np.ndarray, w: int) -> np.ndarray:
-    """Position of the smallest of every w consecutive values, the last one of equals."""
+    """Position of the smallest of every w consecutive hashes, the last one of equals. Hashes are compared by
+    their upper bits; the lower ones hold the position, so that one minimum finds both."""
     n = len(values) - w + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    best = np.arange(len(values), dtype=np.int64)
+    mask = _U((1 << max(20, len(values).bit_length())) - 1)
+    best = (values | mask) - np.arange(len(values), dtype=np.uint64)
     span = 1
     while span < w:
         step = min(span, w - span)
-        a, b = best[:-step], best[step:]
-        best = np.where(values[b] <= values[a], b, a)
+        best = np.minimum(best[:-step], best[step:])
         span += step
-    return best[:n]
+    return (mask - (best & mask)).astype(np.int64)
 
 
 def merged_intervals(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

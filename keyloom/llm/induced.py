@@ -28,7 +28,6 @@ class BulkQueue:
         self.file = tempfile.TemporaryFile(dir=folder)
         self.width, self.memory, self.held = width, memory, 0
         self.parts: dict[int, list] = defaultdict(list)
-        self.single: dict[int, list[int]] = defaultdict(list)
 
     def push(self, symbol: int, *columns: np.ndarray) -> None:
         rows = np.stack(columns, 1)
@@ -37,17 +36,8 @@ class BulkQueue:
         if self.held > self.memory:
             self._spill()
 
-    def push_one(self, symbol: int, value: int) -> None:
-        self.single[symbol].append(value)
-        self.held += 40
-        if self.held > self.memory:
-            self._spill()
-
     def _spill(self) -> None:
         self.file.seek(0, 2)
-        for symbol, values in self.single.items():
-            self.parts[symbol].append(np.array(values, np.int64).reshape(-1, 1))
-        self.single.clear()
         for parts in self.parts.values():
             for i, rows in enumerate(parts):
                 if isinstance(rows, np.ndarray):
@@ -65,15 +55,43 @@ class BulkQueue:
             else:
                 self.held -= rows.nbytes
             out.append(rows)
-        if values := self.single.pop(symbol, None):
-            self.held -= 40 * len(values)
-            out.append(np.array(values, np.int64).reshape(-1, 1))
         return np.concatenate(out) if out else np.zeros((0, self.width), np.int64)
 
     def close(self) -> None:
         self.file.close()
 
 
+class ListQueue:
+    """Suffixes by symbol, first in first out within a symbol, for large alphabets: lists are appended to
+    directly, and pushed() then says by how many."""
+
+    def __init__(self, folder: Path, memory: int = MEMORY):
+        self.file, self.memory, self.held = tempfile.TemporaryFile(dir=folder), memory, 0
+        self.lists: dict[int, list[int]] = defaultdict(list)
+        self.spilled: dict[int, list[tuple[int, int]]] = defaultdict(list)
+
+    def pushed(self, n: int) -> None:
+        self.held += 40 * n
+        if self.held > self.memory:
+            self.file.seek(0, 2)
+            for symbol, values in self.lists.items():
+                self.spilled[symbol].append((self.file.tell(), len(values)))
+                self.file.write(np.array(values, np.int64).tobytes())
+            self.lists.clear()
+            self.held = 0
+
+    def pop(self, symbol: int) -> list[int]:
+        own = self.lists.pop(symbol, [])
+        self.held = max(0, self.held - 40 * len(own))
+        if symbol not in self.spilled:
+            return own
+        out = []
+        for at, n in self.spilled.pop(symbol):
+            self.file.seek(at)
+            out += np.frombuffer(self.file.read(8 * n), np.int64).tolist()
+        return out + own
+
+
 def rising(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the last is larger than the empty suffix."""
     n = len(t)
@@ -114,18 +132,31 @@ def _names(t: np.ndarray, start: np.ndarray) -> np.ndarray:
     return name
 
 
-def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix of the suffixes at a and b, at most cap."""
-    out = np.zeros(len(a), np.int64)
+def _eights(t: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, the first one lowest (zeros beyond the end)."""
+    wide = np.zeros(len(t) + 8, np.uint8)
+    wide[: len(t)] = t
+    out = wide[: len(t)].astype(np.uint64)
+    for k in range(1, 8):
+        out |= wide[k : k + len(t)].astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
+def _common(eights: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefix of the different suffixes at a and b, at most cap; eight bytes are compared at a time."""
+    n = len(eights)
+    out = np.minimum(cap, n - np.maximum(a, b))
     live = np.arange(len(a))
-    for k in range(cap):
-        x, y = a[live] + k, b[live] + k
-        ok = (x < len(t)) & (y < len(t))
-        ok[ok] = t[x[ok]] == t[y[ok]]
-        live = live[ok]
+    for k in range(0, cap, 8):
+        live = live[out[live] > k]
         if not len(live):
             break
-        out[live] = k + 1
+        apart = eights[a[live] + k] ^ eights[b[live] + k]
+        end = np.flatnonzero(apart)
+        low = apart[end] & (~apart[end] + np.uint64(1))  # the lowest bit that differs
+        same = (np.frexp(low.astype(np.float64))[1] - 1) >> 3
+        out[live[end]] = np.minimum(out[live[end]], k + same)
+        live = live[apart == 0]
     return out
 
 
@@ -146,39 +177,45 @@ def _order(t: np.ndarray, folder: Path, memory: int) -> np.ndarray:
     if int(t.max()) < SMALL:
         parts = [np.concatenate([low, high]) for low, _, high, _ in Induction(t, up, seeds, folder, memory, 0).buckets()]
         return np.concatenate(parts[::-1])
-    text, is_up, n = t.tolist(), up.tolist(), len(t)
+    text = t.tolist()
+    before = [-1, *text[:-1]]  # the symbol before each place
+    falls, rises = [False, *(~up[:-1]).tolist()], [False, *up[:-1].tolist()]  # what the suffix before each place does
     by_symbol: dict[int, list[int]] = defaultdict(list)
     for p in seeds.tolist():
         by_symbol[text[p]].append(p)
     present = np.unique(t).tolist()
     falling: dict[int, list[int]] = {}
-    queue = BulkQueue(folder, 1, memory)
-    queue.push_one(text[-1], n - 1)
+    queue = ListQueue(folder, memory)
+    queue.lists[text[-1]].append(len(t) - 1)
     for c in present:
-        batch = queue.pop(c)[:, 0].tolist()
+        batch, lists = queue.pop(c), queue.lists
         for p in batch:  # grows while it is read
-            q = p - 1
-            if q >= 0 and not is_up[q]:
-                if text[q] == c:
-                    batch.append(q)
+            if falls[p]:
+                s = before[p]
+                if s == c:
+                    batch.append(p - 1)
                 else:
-                    queue.push_one(text[q], q)
+                    lists[s].append(p - 1)
         falling[c] = batch
-        for p in by_symbol.get(c, ()):
-            queue.push_one(text[p - 1], p - 1)
+        own = by_symbol.get(c, ())
+        for p in own:
+            lists[before[p]].append(p - 1)
+        queue.pushed(len(batch) + len(own))
     out = []
     for c in present[::-1]:
-        batch = queue.pop(c)[:, 0].tolist()
-        for source in (batch, reversed(falling[c])):
+        batch, lists = queue.pop(c), queue.lists
+        down = falling.pop(c)[::-1]
+        for source in (batch, down):
             for p in source:
-                q = p - 1
-                if q >= 0 and is_up[q]:
-                    if text[q] == c:
-                        batch.append(q)
+                if rises[p]:
+                    s = before[p]
+                    if s == c:
+                        batch.append(p - 1)
                     else:
-                        queue.push_one(text[q], q)
-        out += [batch, falling[c][::-1]]
-    queue.close()
+                        lists[s].append(p - 1)
+        queue.pushed(len(batch) + len(down))
+        out += [batch, down]
+    queue.file.close()
     return np.array([p for part in out for p in part], np.int64)[::-1]
 
 
@@ -188,6 +225,7 @@ class Induction:
     def __init__(self, t: np.ndarray, up: np.ndarray, seeds: np.ndarray, folder: Path, memory: int, cap: int):
         self.t, self.up, self.seeds, self.folder, self.memory, self.cap = t, up, seeds, folder, memory, cap
         self.symbols = int(t.max()) + 1
+        self.eights = _eights(t) if cap else None
 
     def _send(self, queue, pos, lcp, passed, want_up, c):
         """Queue the predecessors of a batch (all are of the wanted kind); those of symbol c come back."""
@@ -232,7 +270,7 @@ class Induction:
         return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (empty, empty)
 
     def _meet(self, a: int, b: int) -> int:
-        return int(_common(self.t, np.array([a]), np.array([b]), self.cap)[0]) if self.cap else 0
+        return int(_common(self.eights, np.array([a]), np.array([b]), self.cap)[0]) if self.cap else 0
 
     def buckets(self):
         """By first symbol, descending: the falling suffixes and the rising ones, each ascending with the common
@@ -253,7 +291,7 @@ class Induction:
             if len(seeds):
                 own = np.zeros(len(seeds), np.int64)
                 if self.cap:
-                    own[1:] = _common(t, seeds[:-1], seeds[1:], self.cap)
+                    own[1:] = _common(self.eights, seeds[:-1], seeds[1:], self.cap)
                     own[0] = self._meet(int(pos[-1]), int(seeds[0])) if len(pos) else 0
                 self._send(queue, seeds, own, passed, False, -1)
         queue.close()

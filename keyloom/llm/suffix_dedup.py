@@ -3,8 +3,8 @@
 A string of `length` bytes has a key, the smallest hash of its grams; equal strings have equal keys, so the
 texts fall into stretches of neighbouring strings with one key, and stretches of different keys share no
 string. A count-min sketch leaves out keys that occur once. Equal stretches are counted by an aggregate: those
-that occur more than once are repeated as a whole, and one of each goes on. The distinct stretches are dealt
-by key to shards, and each shard is sorted by external induced sorting: its suffixes with a common prefix of
+that occur more than once are repeated as a whole, and one of each goes on if another with its key occurs once.
+The distinct stretches are dealt by key to shards, and each shard is sorted by external induced sorting: its suffixes with a common prefix of
 `length` bytes or more with a neighbour are the repeated strings that only parts of stretches share."""
 
 from __future__ import annotations
@@ -17,15 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_BASE, WORD_BASES, bounded_batches, flat_bytes, fmix, merged_intervals, powers, slices, sliding_argmin, window_hashes
+from .common import BYTE_BASE, WORD_BASES, bounded_batches, flat_bytes, fmix, merged_intervals, powers, shared_dir, slices, sliding_argmin, window_hashes
 from .induced import repeated_starts
 from .sketch import SKETCH_BITS, Repeated, repeated_slots
 
 #: Bytes of text looked at in one numpy step; longer texts are cut, with an overlap of length - 1.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: No text in UTF-8 has this byte: it ends every stretch of a shard.
 END = 0xFE
 _U = np.uint64
+#: A mixed hash of each byte, for grams and for stretches.
+_BYTE_HASH = [fmix(np.arange(256, dtype=_U) + _U(c)) for c in (1, *(b & 0xFFFF for b in WORD_BASES))]
 
 
 def _pieces(batches, length: int):
@@ -52,7 +54,7 @@ class Strings:
         self.row = row
         self.chosen, self.key = self.at, np.zeros(0, _U)
         if len(row):
-            grams = window_hashes(fmix(flat.astype(_U) + _U(1)), gram, BYTE_BASE)
+            grams = window_hashes(_BYTE_HASH[0][flat], gram, BYTE_BASE)
             self.chosen = sliding_argmin(grams, length - gram + 1)[self.at]
             self.key = grams[self.chosen]
 
@@ -74,8 +76,14 @@ def _keys(length: int, gram: int):
     return run
 
 
+def _twice(batches):
+    """The keys of a table, so that a sketch has each of them as a repeated one."""
+    for b in batches:
+        yield np.repeat(b.column("key").to_numpy().view(_U), 2)
+
+
 def _stretches(length: int, gram: int, bits: int, pages: dict[int, bytes], with_bytes: bool):
-    """A row a stretch with a repeated key: hashes of its bytes, its place, and the bytes if asked."""
+    """A row a stretch whose key is in the sketch: hashes of its bytes, its place, its key, and the bytes if asked."""
 
     def run(batches):
         repeated = Repeated(pages, bits)
@@ -89,18 +97,18 @@ def _stretches(length: int, gram: int, bits: int, pages: dict[int, bytes], with_
             start, row = s.at[first], s.row[first]
             end = start + size + length - 1
             marks = []
-            for base in WORD_BASES:
+            for base, byte in zip(WORD_BASES, _BYTE_HASH[1:], strict=True):
                 up, down = powers(base, len(flat) + 1)
                 total = np.zeros(len(flat) + 1, _U)
-                np.cumsum(fmix(flat.astype(_U) + _U(base & 0xFFFF)) * up[: len(flat)], out=total[1:])
+                np.cumsum(byte[flat] * up[: len(flat)], out=total[1:])
                 marks.append(fmix((total[end] - total[start]) * down[start] + (end - start).astype(_U)).view(np.int64))
             ids = [b.column(c).take(pa.array(row)) for c in ("id", "tie")]
             own = start - offs[row] + place
-            cols = [*ids, pa.array(marks[0]), pa.array(marks[1]), pa.array(own), pa.array(size)]
-            names = ["id", "tie", "r1", "r2", "start", "size"]
+            cols = [*ids, pa.array(marks[0]), pa.array(marks[1]), pa.array(own), pa.array(size), pa.array(s.key[first].view(np.int64))]
+            names = ["id", "tie", "r1", "r2", "start", "size", "key"]
             if with_bytes:
-                cols += [pa.array(s.key[first].view(np.int64)), pa.array([flat[x:y].tobytes() for x, y in zip(start.tolist(), end.tolist(), strict=True)], pa.binary())]
-                names += ["key", "bytes"]
+                cols += [pa.array([flat[x:y].tobytes() for x, y in zip(start.tolist(), end.tolist(), strict=True)], pa.binary())]
+                names += ["bytes"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
@@ -198,21 +206,27 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.cast("binary").alias("text"))
     pages = spark.sparkContext.broadcast(repeated_slots(rows, _keys(length, gram), sketch_bits))  # its size has a fixed bound
 
-    def whole(batches):
-        yield from _stretches(length, gram, sketch_bits, pages.value, True)(batches)
-
     def places(batches):
         yield from _stretches(length, gram, sketch_bits, pages.value, False)(batches)
 
-    fields = "id bigint, tie bigint, r1 bigint, r2 bigint, start bigint, size bigint"
-    found = rows.mapInArrow(whole, f"{fields}, key bigint, bytes binary")
+    fields = "id bigint, tie bigint, r1 bigint, r2 bigint, start bigint, size bigint, key bigint"
+    path = shared_dir(spark, "stretches")
+    rows.mapInArrow(places, fields).write.parquet(path)
+    there = spark.read.parquet(path)
+    often = there.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min("key").alias("key"))
+    # only a stretch that occurs once, beside others with its key, can be repeated in part
+    mixed = often.groupBy("key").agg(F.count("*").alias("stretches"), F.min("n").alias("n")).filter("stretches > 1 and n = 1").select("key")
+    wanted = spark.sparkContext.broadcast(repeated_slots(mixed, _twice, sketch_bits))  # as large as the other sketch
+
+    def whole(batches):
+        yield from _stretches(length, gram, sketch_bits, wanted.value, True)(batches)
+
+    found = rows.mapInArrow(whole, f"{fields}, bytes binary")
     # of a stretch that occurs once, first() is that occurrence; of others, only what all have in common is used
     distinct = found.groupBy("r1", "r2").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("key", "id", "tie", "start", "bytes")])
     parts = distinct.select("key", "n", "id", "tie", "start", "bytes").repartition("key").sortWithinPartitions("key", "bytes")
     partly = parts.mapInArrow(_sorted_shards(length), "id bigint, tie bigint, starts array<bigint>").select("id", "tie", F.lit(1).cast("bigint").alias("size"), "starts")
-    there = rows.mapInArrow(places, fields)
-    often = there.groupBy("r1", "r2").agg(F.count("*").alias("n")).filter("n > 1").select("r1", "r2")
-    wholly = there.join(often, ["r1", "r2"]).select("id", "tie", "size", F.array("start").alias("starts"))
+    wholly = there.join(often.filter("n > 1").select("r1", "r2"), ["r1", "r2"]).select("id", "tie", "size", F.array("start").alias("starts"))
     spans = partly.union(wholly).distinct().groupBy("id", "tie").agg(F.collect_list(F.struct("size", "starts")).alias("spans"))
     spans = spans.withColumnRenamed("id", "i").withColumnRenamed("tie", "t").hint("shuffle_hash")
     met = rows.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")), "left").select("id", "text", "spans")
