@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy step looks at; a longer text is a step of its own.
 SLICE_BYTES = 4 << 20
-#: Rows in an Arrow batch; whole texts travel in them, so the default of 10,000 is too many.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch; whole texts travel in them, so the default of 10,000 rows is too many.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 _U = np.uint64
 #: Odd multipliers of the polynomial hashes (arbitrary fixed values).
@@ -45,6 +45,7 @@ def bounded_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def slices(batches, column: str, limit: int = SLICE_BYTES):

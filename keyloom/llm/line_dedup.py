@@ -2,7 +2,8 @@
 
 A line is cut into threshold + 1 segments. Whatever `threshold` edits do to it, one segment survives, shifted
 by few places, in a line of nearly the same length. So each line is indexed by its segments, probes the
-indexes of its own and the shorter lengths with the substrings that can face a segment, and the pairs met are
+indexes of its own and the shorter lengths with the substrings that can face a segment. Where many lines share
+a segment, the text on either side of it is cut in the same way, for the edits that can fall there. Pairs met are
 verified by an edit distance whose band of 2 * threshold + 1 diagonals is a machine word."""
 
 from __future__ import annotations
@@ -12,28 +13,70 @@ from pyspark.sql import functions as F
 
 #: Edits within which two lines are the same, and characters that a line must have to be looked at.
 THRESHOLD, MIN_CHARS = 2, 20
+#: Lines under a segment's key from which on the key is made finer, by what is left and right of the segment.
+FREQUENT = 16
+#: Base of the numbers packed into a probe's way; thresholds are below it.
+_WAY = 16
 
 
-def _segment(length: str, i: int, parts: int) -> tuple[str, str]:
+def _segment(length: str, i: str, parts: str) -> tuple[str, str]:
     """SQL of the first character (from 0) and the length of segment i of a line; the last ones are longer."""
-    base, short = f"({length} div {parts})", f"({parts} - {length} % {parts})"
+    base, short = f"cast({length} div ({parts}) as int)", f"({parts} - cast({length} % ({parts}) as int))"
     return f"({i} * {base} + greatest(0, {i} - {short}))", f"({base} + if({i} >= {short}, 1, 0))"
 
 
-def _keys(threshold: int) -> Column:
-    """Array of (probe, key): a line's own segments, and the substrings that it probes the indexes with. A key
-    hashes the indexed length, the segment's number and its characters."""
-    parts, out = threshold + 1, []
-    for i in range(parts):
-        at, n = _segment("chars", i, parts)
-        out.append(f"struct(false as probe, xxhash64(chars, {i}, substring(line, {at} + 1, {n})) as key)")
-    for less in range(threshold + 1):
-        for i in range(parts):
-            at, n = _segment(f"(chars - {less})", i, parts)
-            # a segment moves by at most the edits before it, and by at most those left after it
-            for move in range(max(-i, less - (threshold - i)), min(i, less + threshold - i) + 1):
-                out.append(f"if({at} + {move} >= 0, struct(true as probe, xxhash64(chars - {less}, {i}, substring(line, {at} + {move} + 1, {n})) as key), null)")
-    return F.expr(f"array({', '.join(out)})")
+def _moves(i: int, edits: int, longer: int) -> range:
+    """How far segment i may have moved in a text that is so much longer: by at most the edits before it, and
+    by at most those left after it."""
+    return range(max(-i, longer - (edits - i)), min(i, longer + edits - i) + 1)
+
+
+def _each(names: str, rows: list[tuple[int, ...]]) -> Column:
+    """A row for each of these few tuples."""
+    return F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names.split(), r, strict=True)]) for r in rows]))
+
+
+def _index(lines: DataFrame, threshold: int) -> DataFrame:
+    """(key, h, way): each line under its segments. A key hashes the line's length, the segment's number and its
+    characters; way is the segment's number."""
+    at, n = _segment("chars", "way", f"{threshold + 1}")
+    return lines.select("h", "line", "chars", _each("way", [(i,) for i in range(threshold + 1)])).selectExpr(f"xxhash64(chars, way, substring(line, {at} + 1, {n})) as key", "h", "way")
+
+
+def _probes(lines: DataFrame, threshold: int) -> DataFrame:
+    """(key, h, way): the substrings of each line that can face a segment of one that is `less` shorter. way holds
+    the segment's number, `less` and the move, see _WAY."""
+    ways = [(less, i, move, i + _WAY * (less + _WAY * (move + threshold))) for less in range(threshold + 1) for i in range(threshold + 1) for move in _moves(i, threshold, less)]
+    at, n = _segment("(chars - less)", "i", f"{threshold + 1}")
+    tried = lines.select("h", "line", "chars", _each("less i move way", ways)).filter(f"{at} + move >= 0")
+    return tried.selectExpr(f"xxhash64(chars - less, i, substring(line, {at} + move + 1, {n})) as key", "h", "way")
+
+
+def _finer(rows: DataFrame, distinct: DataFrame, threshold: int, probing: bool) -> DataFrame:
+    """(fine, h) of rows under frequent keys. The edits fall to the left or to the right of the shared segment, so
+    for some x at most x are on the left and threshold - x on the right: one of x + 1 segments of what is left
+    of it survives, and one of threshold - x + 1 of what is right of it. Both together are the finer key."""
+    ways = []
+    for x in range(threshold + 1):
+        y = threshold - x
+        for j in range(x + 1):
+            for k in range(y + 1):
+                left = range(-x, x + 1) if probing else (0,)
+                right = range(-y, y + 1) if probing else (0,)
+                ways += [(x, j, k, u, v) for u in left for v in right]
+    if probing:
+        rows = rows.selectExpr("key", "h", f"way % {_WAY} as i", f"cast(way div {_WAY} as int) % {_WAY} as less", f"cast(way div {_WAY * _WAY} as int) - {threshold} as move")
+    else:
+        rows = rows.selectExpr("key", "h", "way as i", "0 as less", "0 as move")
+    at, n = _segment("(chars - less)", "i", f"{threshold + 1}")
+    rows = rows.join(distinct.select("h", "g"), "h").join(distinct.select("h", "g", "line"), ["h", "g"]).withColumn("chars", F.char_length("line"))
+    parts = rows.selectExpr("key", "h", "less", "move", f"{at} as wide_l", f"chars - less - {at} - {n} as wide_r", f"substring(line, 1, {at} + move) as l", f"substring(line, {at} + move + {n} + 1) as r")
+    parts = parts.select("*", _each("x j k u v", ways))
+    for side, piece, move, edits, longer in (("l", "j", "u", "x", "move"), ("r", "k", "v", f"({threshold} - x)", "(less - move)")):
+        at, n = _segment(f"wide_{side}", piece, f"{edits} + 1")
+        parts = parts.withColumns({f"at_{side}": F.expr(f"{at} + {move}"), f"n_{side}": F.expr(n)})
+        parts = parts.filter(f"at_{side} >= 0 and {move} between greatest(-{piece}, {longer} - ({edits} - {piece})) and least({piece}, {longer} + {edits} - {piece})")
+    return parts.selectExpr("xxhash64(key, x, j, k, substring(l, at_l + 1, n_l), substring(r, at_r + 1, n_r)) as fine", "h")
 
 
 def edit_distance(a: str, b: str, threshold: int) -> Column:
@@ -77,9 +120,16 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def similar_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs of different lines within the threshold: (first, other: their first places; h, g: the later one's
     hashes). distinct: h, g (hashes), line, first (place)."""
-    keyed = distinct.select("h", "line", F.char_length("line").alias("chars")).select("h", F.explode(_keys(threshold)).alias("k")).filter("k is not null").select("h", "k.probe", "k.key")
-    index, probe = keyed.filter("not probe").select("key", F.col("h").alias("a")), keyed.filter("probe").select("key", F.col("h").alias("b"))
-    met = index.join(probe, "key").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    lines = distinct.select("h", "line", F.char_length("line").alias("chars"))
+    index, probe = _index(lines, threshold).repartition("key"), _probes(lines, threshold)
+    # conditions on way and h that are true of all make readers want the same columns, and so share one shuffle
+    often = index.groupBy("key").agg(F.count("*").alias("n"), F.max("h").alias("h"), F.max("way").alias("way")).filter(f"n > {FREQUENT} and h is not null and way >= 0").select("key", F.lit(True).alias("often"))
+    index, probe = index.join(often, "key", "left"), probe.join(often, "key", "left")
+    rare = [df.filter("often is null").select("key", F.col("h").alias(name), F.col("way").alias(f"way_{name}")) for df, name in ((index, "a"), (probe, "b"))]
+    rare = rare[0].join(rare[1], "key").filter("way_a <= way_b")
+    fine = [_finer(df.filter("often").drop("often"), distinct, threshold, probing) for df, probing in ((index, False), (probe, True))]
+    dense = fine[0].select("fine", F.col("h").alias("a")).join(fine[1].select("fine", F.col("h").alias("b")), "fine")
+    met = rare.select("a", "b").union(dense.select("a", "b")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for x in ("a", "b"):  # the second half of the lines' hashes, then their texts
         met = met.join(distinct.select(F.col("h").alias(x), F.col("g").alias(f"g{x}")), x)
     for x in ("a", "b"):

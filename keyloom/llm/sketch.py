@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 #: and of a page, the part of a row that one task adds up.
 SKETCH_BITS, PAGE_BITS = 27, 20
 _ROWS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_KEYS_HELD = 1 << 22
+_KEYS_HELD = 1 << 20
 _U = np.uint64
 
 

@@ -10,6 +10,7 @@ The distinct stretches are dealt by key to shards, and each shard is sorted by e
 from __future__ import annotations
 
 import tempfile
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -23,6 +24,8 @@ from .sketch import SKETCH_BITS, Repeated, repeated_slots
 
 #: Bytes of text looked at in one numpy step; longer texts are cut, with an overlap of length - 1.
 PIECE = 1 << 18
+#: Bytes of stretches that are sorted together; more only where they share a key.
+SHARD = 2 << 20
 #: No text in UTF-8 has this byte: it ends every stretch of a shard.
 END = 0xFE
 _U = np.uint64
@@ -114,51 +117,65 @@ def _stretches(length: int, gram: int, bits: int, pages: dict[int, bytes], with_
     return run
 
 
+class Shard:
+    """Stretches written one after the other to a file, to be sorted together."""
+
+    def __init__(self, folder: Path, length: int):
+        self.folder, self.length, self.path = folder, length, folder / "shard"
+        self.own, self.at, self.file = [], 0, self.path.open("wb")
+
+    def add(self, n: int, key: tuple, start: int, raw: bytes) -> None:
+        self.file.write(raw)
+        self.file.write(bytes([END]))
+        self.own.append((self.at, n == 1, key, start))
+        self.at += len(raw) + 1
+
+    def repeated(self):
+        """(id, tie, starts) of the strings that start in stretches which occur once and elsewhere in the shard."""
+        self.file.close()
+        if not self.own:
+            return
+        text = np.memmap(self.path, np.uint8, "r")
+        begins, alone = np.array([o[0] for o in self.own]), np.array([o[1] for o in self.own])
+        found = list(repeated_starts(text, self.length, self.folder))
+        pos = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        row = np.searchsorted(begins, pos, side="right") - 1
+        inside = pos + self.length < np.concatenate([begins[1:], [self.at]])[row]  # the end byte is outside
+        pos, row = pos[inside & alone[row]], row[inside & alone[row]]
+        cut = [0, *(np.flatnonzero(np.diff(row)) + 1).tolist(), len(pos)]
+        for a, z in zip(cut, cut[1:], strict=False) if len(pos) else ():
+            at, _, (id_, tie), start = self.own[row[a]]
+            yield {"id": id_, "tie": tie, "starts": (pos[a:z] - at + start).tolist()}
+
+
 def _sorted_shards(length: int):
-    """Repeated strings of each partition of distinct stretches. Rows come sorted by key; a stretch goes to the
-    shard's file once another with its key has come. A row a stretch: its id, tie and the strings' starts."""
+    """Repeated strings of each partition of distinct stretches, a row a stretch. Rows come sorted by key; a
+    stretch goes to a shard once another with its key has come. A shard ends with a key, beyond SHARD bytes."""
     kind = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("starts", pa.list_(pa.int64()))])
 
+    def shards(batches, folder):
+        shard, key, first = Shard(folder, length), None, None
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in ("key", "n", "id", "tie", "start", "bytes")), strict=True):
+                stretch = (row[1], row[2:4], row[4], row[5])
+                if row[0] != key:
+                    if shard.at > SHARD:
+                        yield shard
+                        shard = Shard(folder, length)
+                    key, first = row[0], stretch
+                    continue
+                if first is not None:
+                    shard.add(*first)
+                    first = None
+                shard.add(*stretch)
+        yield shard
+
     def run(batches):
         with tempfile.TemporaryDirectory() as folder:
-            path, last, own, at = Path(folder) / "shard", None, [], 0
-            with path.open("wb") as f:
-
-                def add(row):
-                    nonlocal at
-                    f.write(row[5])
-                    f.write(bytes([END]))
-                    own.append((at, row[1], row[2], row[3], row[4]))
-                    at += len(row[5]) + 1
-
-                for b in batches:
-                    for row in zip(*(b.column(c).to_pylist() for c in ("key", "n", "id", "tie", "start", "bytes")), strict=True):
-                        if last is not None and last[0] == row[0]:
-                            if last[1] is not None:
-                                add(last[1])
-                            add(row)
-                            last = (row[0], None)
-                        else:
-                            last = (row[0], row)
-            if not own:
-                return
-            text = np.memmap(path, np.uint8, "r")
-            begins = np.array([o[0] for o in own])
-            alone = np.array([o[1] == 1 for o in own])
-            found = [p for p in repeated_starts(text, length, Path(folder))]
-            pos = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
-            row = np.searchsorted(begins, pos, side="right") - 1
-            inside = pos + length < np.concatenate([begins[1:], [at]])[row]  # the end byte is outside
-            pos, row = pos[inside & alone[row]], row[inside & alone[row]]
-            cut = np.flatnonzero(np.diff(row)) + 1
-            for rows in np.array_split(np.arange(len(cut) + 1), max(1, len(cut) // 5000)) if len(pos) else []:
-                out = []
-                for k in rows.tolist():
-                    a, z = (cut[k - 1] if k else 0), (cut[k] if k < len(cut) else len(pos))
-                    o = own[row[a]]
-                    out.append({"id": o[2], "tie": o[3], "starts": (pos[a:z] - o[0] + o[4]).tolist()})
-                yield pa.RecordBatch.from_pylist(out, kind)
-            del text
+            for shard in shards(batches, Path(folder)):
+                rows = shard.repeated()
+                while part := list(islice(rows, 5000)):
+                    yield pa.RecordBatch.from_pylist(part, kind)
 
     return run
 
