@@ -199,7 +199,9 @@ def test_line_dedup_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_near_lines_of_every_kind_are_met(spark):
+@pytest.mark.parametrize("frequent", [16, 0])
+def test_near_lines_of_every_kind_are_met(spark, monkeypatch, frequent):
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)  # 0: all keys are made finer
     rng = np.random.default_rng(4)
     letters = "abcde"
     base = ["".join(rng.choice(list(letters), n)) for n in (20, 21, 22, 25, 31, 40) for _ in range(3)]
