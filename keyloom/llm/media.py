@@ -172,7 +172,7 @@ def read_member(file, offset: int, size: int, crc: int, tries: int = TRIES) -> b
             f = file(left < tries - 1)
             f.seek(offset)
             head = f.read(30)
-            if head[:4] != b"PK\x03\x04":
+            if len(head) != 30 or head[:4] != b"PK\x03\x04":
                 raise OSError("no member here")
             f.seek(offset + 30 + sum(struct.unpack("<HH", head[26:30])))
             raw = f.read(size)
