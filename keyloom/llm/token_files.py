@@ -53,12 +53,12 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         up[:, :-step] = np.maximum(t[:, :-step], t[:, step:])
         tops.append(up)
     choice = np.full((blocks, BLOCK), ESCAPE, np.uint8)
-    for sel in range(13, -1, -1):
+    for sel in range(ESCAPE):  # where one fits, all later ones do: they hold fewer and wider values
         c = int(COUNTS[sel])
         k = c.bit_length() - 1
         shift = c - (1 << k)
         most = np.maximum(tops[k][:, :BLOCK], tops[k][:, shift : shift + BLOCK])
-        choice[most <= BITS[sel]] = sel
+        choice -= most <= BITS[sel]
     size = np.full(blocks, BLOCK)
     if blocks:
         size[-1] = n - (blocks - 1) * BLOCK
@@ -159,23 +159,34 @@ class Encoder:
             return pretokens(text, tokenizers_classes)
         return [x for p in parts for x in ([p] if p in self.special else pretokens(p, tokenizers_classes))]
 
+    def _merged(self, piece: str) -> bytes:
+        known = self.seen.get(piece)
+        if known is None:
+            known = array("I", [self.special[piece]] if piece in self.special else [t.id for t in self.tok.model.tokenize(as_letters(piece))]).tobytes()
+            if len(piece) <= 200:
+                self.seen[piece] = known
+        return known
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self._split(t) for t in texts]
         if len(self.seen) > MEMO:  # the first half has the most frequent ones, as they come early
             self.seen = dict(islice(self.seen.items(), MEMO // 2))
-        merge, long = self.tok.model.tokenize, []
-        for p in set().union(*split) - self.seen.keys():
-            ids = [self.special[p]] if p in self.special else [t.id for t in merge(as_letters(p))]
-            self.seen[p] = array("I", ids).tobytes()
-            if len(p) > 200:
-                long.append(p)
-        out = [b"".join(map(self.seen.__getitem__, s)) for s in split]
-        for p in long:
-            del self.seen[p]
+        out = []
+        for text in texts:
+            pieces = self._split(text)
+            found = list(map(self.seen.get, pieces))
+            if None in found:
+                found = [self._merged(p) if k is None else k for p, k in zip(pieces, found, strict=True)]
+            out.append(b"".join(found))
         return out
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """A worker's own, whose memo lasts over its tasks."""
+    return Encoder(path)
+
+
 def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None, end_id: int = 2) -> list[tuple[str, int, int]]:
     """Write token files below `path` (a URI that driver and executors share) in ascending order of id, each
     document with end_id appended. Returns (file, documents, ids) for each file, in order: a few numbers a file.
@@ -189,7 +200,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
 
     def write(batches):
-        encoder, out, name, places, n_docs, n_ids = Encoder(tok_path), None, "", [], 0, 0
+        encoder, out, name, places, n_docs, n_ids = _encoder(tok_path), None, "", [], 0, 0
         for b in slices(batches, "text"):
             if out is None:
                 store, top = fs.FileSystem.from_uri(path)
