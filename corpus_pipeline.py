@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from keyloom.llm import bpe, common, decontaminate, line_dedup, quality_crf, simhash
+from keyloom.llm import bpe, common, decontaminate, line_dedup, quality_crf, shingle_join
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +31,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group; of rows with that id, one. A group of null ids
-    alone keeps one row of each text."""
-    groups = simhash.simhash_groups(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
+    """The document with the smallest id of each group of texts that share 0.8 or more of their five-word
+    shingles (Jaccard, exact); of rows with that id, one. A group of null ids alone keeps one row of each text."""
+    groups = shingle_join.similar_groups(docs, words=5, similarity=0.8).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
     rows = _packed(docs).join(groups, F.col("own").eqNullSafe(F.col("kept")), "left_semi")
     return rows.withColumn("alike", F.when(F.col("own").isNull(), F.col("tie"))).dropDuplicates(["own", "alike"]).select("row.*")
 
@@ -53,7 +53,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("tokens", tokens)]
 
-#: SQL cannot express the classifier, the edit join or the fingerprints; tests compare with a plain version.
+#: SQL cannot express the classifier, the edit join or the set join; tests compare with a plain version.
 ORACLE_SQL: str | None = None
 
 

@@ -1,0 +1,162 @@
+"""Near-duplicates by the exact Jaccard similarity of word shingles: a prefix-filtered set join.
+
+Two sets whose similarity is at least t share one of the first n - ceil(t * n) + 1 of their n shingles, whatever
+the order, so those prefixes bring all candidates together and none is lost. Shingles that very many texts have
+come last in the order. Candidates are verified on their whole sets. A prefix's texts are first compared with one
+of them, twice; all pairs are only compared where texts are then still in different groups."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import WORD_BASES, bounded_batches, checkpointed, flat_bytes, fmix, slices, span_hashes, window_hashes, word_spans
+from .components import connected_components
+from .sketch import Repeated, repeated_slots
+
+#: Texts that have a shingle in their prefix from which on it comes last, and how many such shingles at most.
+FREQUENT, MOST = 100, 1 << 20
+#: Slots, as a power of two, of the sketch of texts that are candidates.
+BITS = 27
+_U = np.uint64
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+class Shingles:
+    """The different shingles (hashes, ascending in each row) of a slice of rows: row and gram of each, n and a
+    hash of the set (node) of each row. A text of fewer words has one shingle, one without words has none."""
+
+    def __init__(self, batch, words: int):
+        flat, offs = flat_bytes(batch.column("text"))
+        starts, ends, first = word_spans(_LOWER[flat], offs, ~_SPACE)
+        hashes, count = span_hashes(_LOWER[flat], starts, ends), np.diff(first)
+        rows, grams = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
+        for size in range(1, words + 1):
+            have = np.flatnonzero(count == size if size < words else count >= words)
+            if len(have):
+                n = count[have] - size + 1
+                row = np.repeat(have, n)
+                rows.append(row)
+                grams.append(window_hashes(hashes, size, WORD_BASES[0])[np.arange(len(row)) + np.repeat(first[have] - (np.cumsum(n) - n), n)])
+        row, gram = np.concatenate(rows), np.concatenate(grams)
+        order = np.lexsort((gram, row))
+        row, gram = row[order], gram[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+        self.row, self.gram = row[new], gram[new]
+        self.n = np.bincount(self.row, minlength=len(count))
+        self.first = np.concatenate([[0], np.cumsum(self.n)])
+        total = np.concatenate([np.zeros(1, _U), np.cumsum(fmix(self.gram + _U(WORD_BASES[1])), dtype=_U)])
+        self.node = np.where(self.n > 0, fmix(total[self.first[1:]] - total[self.first[:-1]] + self.n.astype(_U)), _U(0)).view(np.int64)
+
+    def prefix(self, similarity: float, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and gram of the shingles in the rows' prefixes; those in hot (sorted) come last."""
+        late = np.isin(self.gram, hot, assume_unique=False) if len(hot) else np.zeros(len(self.gram), bool)
+        order = np.lexsort((self.gram, late, self.row))
+        wide = self.n - np.ceil(similarity * self.n - 1e-9).astype(np.int64) + 1
+        at = np.flatnonzero(np.arange(len(order)) - np.repeat(self.first[:-1], self.n) < np.repeat(wide, self.n))
+        return self.row[order[at]], self.gram[order[at]]
+
+
+def _nodes(words: int):
+    def run(batches):
+        for b in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tie"), pa.array(Shingles(b, words).node)], names=["id", "tie", "node"])
+
+    return run
+
+
+def _prefixes(words: int, similarity: float, hot):
+    def run(batches):
+        late = np.zeros(0, _U) if hot is None else hot.value
+        for b in slices(batches, "text"):
+            s = Shingles(b, words)
+            row, gram = s.prefix(similarity, late)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(s.node[row]), pa.array(s.n[row])], names=["gram", "node", "n"])
+
+    return run
+
+
+def _twice(batches):
+    for b in batches:
+        yield np.repeat(b.column("node").to_numpy().view(_U), 2)
+
+
+def _sets(words: int, pages):
+    """The whole sets of the texts whose nodes are in the sketch."""
+
+    def run(batches):
+        wanted = Repeated(pages.value, BITS)
+        for b in slices(batches, "text"):
+            s = Shingles(b, words)
+            rows = np.flatnonzero(wanted(s.node.view(_U)))
+            raw = [s.gram[s.first[r] : s.first[r + 1]].tobytes() for r in rows.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(s.node[rows]), pa.array(raw, pa.binary())], names=["node", "grams"])
+
+    return run
+
+
+def _similar(similarity: float):
+    """The pairs whose sets are similar enough."""
+
+    def run(batches):
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column("x"), b.column("y"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), _U) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
+
+    return run
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Per row: id, tie (a hash of the text), component_id (the smallest id that links of texts with that Jaccard
+    similarity of their shingles or more reach, itself included).
+
+    Words are what ASCII white space separates, without the case of A-Z. Texts without words are linked to each
+    other alone. Null ids get a component but name none. Shingles and sets of equal 64-bit hashes count as equal."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    nodes = checkpointed(rows.mapInArrow(_nodes(words), "id bigint, tie bigint, node bigint"))
+    kind = "gram bigint, node bigint, n bigint"
+    often = rows.mapInArrow(_prefixes(words, similarity, None), kind).groupBy("gram").agg(F.count("*").alias("n")).filter(f"n > {FREQUENT}").orderBy(F.desc("n"), "gram").limit(MOST)
+    hot = spark.sparkContext.broadcast(np.sort(np.array([r.gram for r in often.collect()], np.int64).view(_U)))  # its size has a fixed bound
+    prefix = rows.mapInArrow(_prefixes(words, similarity, hot), kind).distinct()
+    met = prefix.groupBy("gram").agg(F.count("*").alias("many")).filter("many > 1").select("gram")
+    there = checkpointed(prefix.join(met, "gram"))
+    wanted = there.select("node").distinct()
+    pages = spark.sparkContext.broadcast(repeated_slots(wanted, _twice, BITS))
+    sets = checkpointed(rows.mapInArrow(_sets(words, pages), "node bigint, grams binary").groupBy("node").agg(F.first("grams").alias("grams")))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for side, name in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("grams").alias(name)), side)
+        return checkpointed(pairs.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a bigint, b bigint"))
+
+    links, placed = None, there.withColumn("component", F.col("node"))
+    for leader in (F.min_by, F.max_by, None):
+        apart = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), *([leader(F.struct("node", "component", "n"), "node").alias("lead")] if leader else [])).filter("low < high").drop("low", "high")
+        left = placed.join(apart, "gram")
+        if leader:
+            pairs = left.select(F.col("node").alias("a"), "component", "n", F.col("lead.node").alias("b"), F.col("lead.component").alias("other"), F.col("lead.n").alias("m"))
+        else:
+            other = left.select("gram", F.col("node").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"))
+            pairs = left.withColumnRenamed("node", "a").join(other, "gram").filter("a < b")
+        found = verified(pairs.filter(f"component <> other and least(n, m) >= {similarity} * greatest(n, m) - 1e-9"))
+        links = found if links is None else links.union(found)
+        groups = connected_components(links, "a", "b")
+        placed = there.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    names = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    return named.join(names, "component").select(F.col("id").alias(id_col), "tie", "component_id")

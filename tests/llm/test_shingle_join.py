@@ -1,0 +1,66 @@
+"""The pipeline's near-duplicate stage against the Jaccard similarity of all pairs."""
+
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from keyloom.llm import shingle_join
+
+from . import plain
+
+SF = "/root/testdata/sf0.01"
+
+
+def similar(rows, words=5, similarity=0.8):
+    """(id, the smallest id of its group) of rows with distinct ids, none of them null."""
+    sets, having, both = [], defaultdict(list), Counter()
+    for _, t in rows:
+        w = plain.words_of(plain.lowered(t), rb"[^\x20\x09-\x0D]+")
+        sets.append({tuple(w[a : a + words]) for a in range(max(1, len(w) - words + 1))} if w else set())
+    for k, s in enumerate(sets):
+        for x in s or [None]:
+            both.update((other, k) for other in having[x])
+            having[x].append(k)
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for (a, b), n in both.items():
+        if not sets[a] or 10 * n >= round(10 * similarity) * (len(sets[a]) + len(sets[b]) - n):
+            root[find(a)] = find(b)
+    least: dict[int, int] = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(i, least.get(find(k), i))
+    return sorted((i, least[find(k)]) for k, (i, _) in enumerate(rows))
+
+
+def test_near_duplicates_of_the_pipeline_are_all_that_brute_force_finds(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()]
+    want = similar(rows)
+    got = shingle_join.similar_groups(docs)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == want
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [i for i, c in want if i == c]
+
+
+@pytest.mark.parametrize("frequent", [100, 1])
+def test_similar_groups_of_edited_texts(spark, monkeypatch, frequent):
+    monkeypatch.setattr(shingle_join, "FREQUENT", frequent)
+    rng = np.random.default_rng(6)
+    vocabulary, rows = [f"w{i}" for i in range(400)], [(1, ""), (2, " \n"), (3, "one"), (4, "One"), (5, "one two")]
+    passage = [str(x) for x in rng.choice(vocabulary, 30)]
+    for k in range(12):
+        base = [*passage, *map(str, rng.choice(vocabulary, int(rng.integers(1, 90))))]
+        for e in range(8):
+            w = list(base)
+            for p in rng.integers(0, len(w), int(rng.integers(0, 4))).tolist():
+                w[p] = str(rng.choice(vocabulary))
+            rows.append((100 + 10 * k + e, " ".join(w)))
+    got = shingle_join.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == similar(rows)
