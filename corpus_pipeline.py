@@ -32,10 +32,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of texts that share 0.8 or more of their five-word
-    shingles (Jaccard, exact); of rows with that id, one. A group of null ids alone keeps one row of each text."""
-    groups = shingle_join.similar_groups(docs, words=5, similarity=0.8).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
-    rows = _packed(docs).join(groups, F.col("own").eqNullSafe(F.col("kept")), "left_semi")
-    return rows.withColumn("alike", F.when(F.col("own").isNull(), F.col("tie"))).dropDuplicates(["own", "alike"]).select("row.*")
+    shingles (Jaccard, exact); of rows with that id, the one with the smallest hash of its text. A group of null
+    ids alone keeps one row of each text."""
+    groups = shingle_join.similar_groups(docs, words=5, similarity=0.8)
+    kept = groups.filter("doc_id <=> component_id and (tie = component_tie or doc_id is null)").select(F.col("doc_id").alias("id"), F.col("tie").alias("kept")).distinct()
+    rows = _packed(docs).join(kept, F.col("own").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("kept")), "left_semi")
+    return rows.dropDuplicates(["own", "tie"]).select("row.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

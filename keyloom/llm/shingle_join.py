@@ -119,7 +119,8 @@ def _similar(similarity: float):
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Per row: id, tie (a hash of the text), component_id (the smallest id that links of texts with that Jaccard
-    similarity of their shingles or more reach, itself included).
+    similarity of their shingles or more reach, itself included), component_tie (the smallest hash of a text with
+    that id in the group).
 
     Words are what ASCII white space separates, without the case of A-Z. Texts without words are linked to each
     other alone. Null ids get a component but name none. Shingles and sets of equal 64-bit hashes count as equal."""
@@ -158,5 +159,5 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         groups = connected_components(links, "a", "b")
         placed = there.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    return named.join(names, "component").select(F.col("id").alias(id_col), "tie", "component_id")
+    names = named.groupBy("component").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "tie"))).alias("least"))
+    return named.join(names, "component").select(F.col("id").alias(id_col), "tie", F.col("least.id").alias("component_id"), F.col("least.tie").alias("component_tie"))

@@ -64,3 +64,14 @@ def test_similar_groups_of_edited_texts(spark, monkeypatch, frequent):
             rows.append((100 + 10 * k + e, " ".join(w)))
     got = shingle_join.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == similar(rows)
+
+
+def test_an_id_on_two_texts_keeps_the_clean_one(spark):
+    words = [[f"{name}{i}" for i in range(60)] for name in "abc"]
+    texts = [" ".join(w) for w in words]
+    rows = [(1, texts[0]), (2, texts[0] + " end"), (2, texts[1]), (3, texts[2]), (3, texts[2] + " end"), (3, texts[2]), (None, texts[1]), (None, "alone"), (None, "alone"), (None, "Alone")]
+    for part in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(part)
+        kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+        assert len(kept) == 5 and {(1, texts[0]), (2, texts[1]), (None, "alone"), (None, "Alone")} <= set(kept)
+        assert [t in (texts[2], texts[2] + " end") for i, t in kept if i == 3] == [True]
