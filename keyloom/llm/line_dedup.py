@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Edits within which two lines are the same, and characters that a line must have to be looked at.
+#: Edits within which two lines are the same, and characters that a line must have for that to be looked at.
 THRESHOLD, MIN_CHARS = 2, 20
 #: Lines under a segment's key from which on the key is made finer, by what is left and right of the segment.
 FREQUENT = 16
@@ -140,41 +140,43 @@ def similar_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return near.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h"), F.when(later, F.col("ga")).otherwise(F.col("gb")).alias("g"), F.least("first_a", "first_b").alias("first"), F.greatest("first_a", "first_b").alias("other"))
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """Lines to remove: (id, tie, pos, near), a row a line; tie is a hash of the text, pos counts from 0.
 
     near is false where an equal line comes earlier (by id, text hash, place), true where only lines within
-    `threshold` edits of it first come earlier. Lines of fewer than min_chars characters are not looked at."""
-    lines = _rows(docs, id_col, text_col).select("id", "tie", F.posexplode("lines").alias("pos", "line")).filter(F.char_length("line") >= min_chars)
+    `threshold` edits of it first come earlier. Near lines are looked for among lines of min_chars characters or more, equal ones among
+    those of min_exact (without it, min_chars) or more."""
+    least = min_chars if min_exact is None else min(min_exact, min_chars)
+    lines = _rows(docs, id_col, text_col).select("id", "tie", F.posexplode("lines").alias("pos", "line")).filter(F.char_length("line") >= least)
     lines = lines.withColumn("h", F.xxhash64("line")).withColumn("g", F.xxhash64(F.lit("g"), F.col("line")))
     place = F.struct("id", "tie", "pos")
     # the filter is true of all: it makes all readers of the distinct lines want the same columns, and so share one shuffle
     distinct = lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.first("line").alias("line")).filter("first.pos >= 0 and length(line) >= 0")
-    near = similar_lines(distinct, threshold).select("h", "g").distinct().withColumn("near", F.lit(True))
+    near = similar_lines(distinct if least == min_chars else distinct.filter(F.char_length("line") >= min_chars), threshold).select("h", "g").distinct().withColumn("near", F.lit(True))
     firsts = distinct.select("h", "g", "first").join(near, ["h", "g"], "left")
     found = lines.select("id", "tie", "pos", "h", "g").join(firsts, ["h", "g"])
     here = place.eqNullSafe(F.col("first"))
     return found.filter(~here | F.col("near")).select("id", "tie", "pos", here.alias("near"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """Per row: id, n_lines, n_exact and n_near (lines removed), removed (their places, ascending).
 
     The first of equal lines stays, unless a different line within `threshold` edits comes before it; that line
     need not itself stay. Lines end at line feeds; a null or empty text is one empty line and loses nothing.
     Rows of equal id and text share their decisions, so that repeated rows stay as they are; null ids come
     first. An empty table gives an empty result."""
-    gone = repeated_lines(docs, id_col, text_col, threshold, min_chars).distinct().groupBy("id", "tie").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.sort_array(F.collect_list("pos")).alias("removed"))
+    gone = repeated_lines(docs, id_col, text_col, threshold, min_chars, min_exact).distinct().groupBy("id", "tie").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.sort_array(F.collect_list("pos")).alias("removed"))
     rows = _rows(docs, id_col, text_col).select("id", "tie", F.size("lines").cast("bigint").alias("n_lines"))
     gone = gone.withColumnRenamed("id", "i").withColumnRenamed("tie", "t")
     out = rows.join(gone, F.col("id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")), "left")
     return out.select(F.col("id").alias(id_col), "tie", "n_lines", F.coalesce("n_exact", F.lit(0)).cast("bigint").alias("n_exact"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """The rows with their other columns, their texts without the lines that dedup_lines removes (possibly empty).
     Texts that lose nothing stay as they are, null ones too."""
-    gone = repeated_lines(docs, id_col, text_col, threshold, min_chars).groupBy(F.col("id").alias("gone_id"), F.col("tie").alias("gone_tie")).agg(F.collect_set("pos").alias("gone_at"))
+    gone = repeated_lines(docs, id_col, text_col, threshold, min_chars, min_exact).groupBy(F.col("id").alias("gone_id"), F.col("tie").alias("gone_tie")).agg(F.collect_set("pos").alias("gone_at"))
     tie = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("own_id"), tie.alias("own_tie"))
     met = rows.join(gone.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_tie") == F.col("gone_tie")), "left")

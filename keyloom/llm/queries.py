@@ -41,7 +41,7 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), min_exact=1)
     return found.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("removed", ",").alias("removed"))
 
 
