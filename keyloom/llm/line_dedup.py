@@ -1,27 +1,34 @@
 """Operator 7: line dedup by a segment-partition edit join, in DataFrame functions alone.
 
-A line is cut into threshold + 1 segments. Whatever `threshold` edits do to it, one segment survives, shifted
-by few places, in a line of nearly the same length. So each line is indexed by its segments, probes the
-indexes of its own and the shorter lengths with the substrings that can face a segment. Where many lines share
-a segment, the text on either side of it is cut in the same way, for the edits that can fall there. Pairs met are
-verified by an edit distance whose band of 2 * threshold + 1 diagonals is a machine word."""
+A line is cut into threshold + 1 segments, the threshold being that of its length. Whatever that many edits do to
+it, one segment survives, shifted by few places, in a line of nearly the same length. So each line is indexed by
+its segments, and probes the indexes of its own and the shorter lengths with the substrings that can face a
+segment. An edit also changes the counts of two characters at most, so that of 2 * threshold + 2 classes of
+characters two keep their counts: lines that share a segment meet only if they agree on two such classes. Pairs
+met are verified by an edit distance whose band of 2 * threshold + 1 diagonals is a machine word. As only the
+existence of an earlier near line is asked for, lines first meet the earliest ones under each key."""
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Edits within which two lines are the same, and characters that a line must have for that to be looked at.
-THRESHOLD, MIN_CHARS = 2, 20
-#: Lines under a segment's key from which on the key is made finer, by what is left and right of the segment.
-FREQUENT = 16
-#: Base of the numbers packed into a probe's way; thresholds are below it.
-_WAY = 16
+from .common import checkpointed
+
+#: (characters, edits): lines from so many characters on, up to the next such number, are near others of at most
+#: their length within so many edits. Shorter lines are compared for equality alone.
+EDITS = ((10, 1), (20, 2))
+#: Parts of a key's lines whose earliest ones are met, round by round, before all others are.
+LEADERS = (1, 16)
+#: Bits of the bitmap of candidates a candidate, and of the bitmap at most, as a power of two (128 MB).
+SPARSE, BITS = 16, 30
 
 
-def _segment(length: str, i: str, parts: str) -> tuple[str, str]:
+def _segment(length: str, i: int, parts: int) -> tuple[str, str]:
     """SQL of the first character (from 0) and the length of segment i of a line; the last ones are longer."""
-    base, short = f"cast({length} div ({parts}) as int)", f"({parts} - cast({length} % ({parts}) as int))"
+    base, short = f"cast(({length}) div {parts} as int)", f"({parts} - cast(({length}) % {parts} as int))"
     return f"({i} * {base} + greatest(0, {i} - {short}))", f"({base} + if({i} >= {short}, 1, 0))"
 
 
@@ -31,52 +38,27 @@ def _moves(i: int, edits: int, longer: int) -> range:
     return range(max(-i, longer - (edits - i)), min(i, longer + edits - i) + 1)
 
 
-def _each(names: str, rows: list[tuple[int, ...]]) -> Column:
-    """A row for each of these few tuples."""
-    return F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names.split(), r, strict=True)]) for r in rows]))
-
-
-def _index(lines: DataFrame, threshold: int) -> DataFrame:
-    """(key, h, way): each line under its segments. A key hashes the line's length, the segment's number and its
-    characters; way is the segment's number."""
-    at, n = _segment("chars", "way", f"{threshold + 1}")
-    return lines.select("h", "line", "chars", _each("way", [(i,) for i in range(threshold + 1)])).selectExpr(f"xxhash64(chars, way, substring(line, {at} + 1, {n})) as key", "h", "way")
-
-
-def _probes(lines: DataFrame, threshold: int) -> DataFrame:
-    """(key, h, way): the substrings of each line that can face a segment of one that is `less` shorter. way holds
-    the segment's number, `less` and the move, see _WAY."""
-    ways = [(less, i, move, i + _WAY * (less + _WAY * (move + threshold))) for less in range(threshold + 1) for i in range(threshold + 1) for move in _moves(i, threshold, less)]
-    at, n = _segment("(chars - less)", "i", f"{threshold + 1}")
-    tried = lines.select("h", "line", "chars", _each("less i move way", ways)).filter(f"{at} + move >= 0")
-    return tried.selectExpr(f"xxhash64(chars - less, i, substring(line, {at} + move + 1, {n})) as key", "h", "way")
-
-
-def _finer(rows: DataFrame, distinct: DataFrame, threshold: int, probing: bool) -> DataFrame:
-    """(fine, h) of rows under frequent keys. The edits fall to the left or to the right of the shared segment, so
-    for some x at most x are on the left and threshold - x on the right: one of x + 1 segments of what is left
-    of it survives, and one of threshold - x + 1 of what is right of it. Both together are the finer key."""
-    ways = []
-    for x in range(threshold + 1):
-        y = threshold - x
-        for j in range(x + 1):
-            for k in range(y + 1):
-                left = range(-x, x + 1) if probing else (0,)
-                right = range(-y, y + 1) if probing else (0,)
-                ways += [(x, j, k, u, v) for u in left for v in right]
-    if probing:
-        rows = rows.selectExpr("key", "h", f"way % {_WAY} as i", f"cast(way div {_WAY} as int) % {_WAY} as less", f"cast(way div {_WAY * _WAY} as int) - {threshold} as move")
-    else:
-        rows = rows.selectExpr("key", "h", "way as i", "0 as less", "0 as move")
-    at, n = _segment("(chars - less)", "i", f"{threshold + 1}")
-    rows = rows.join(distinct.select("h", "g"), "h").join(distinct.select("h", "g", "line"), ["h", "g"]).withColumn("chars", F.char_length("line"))
-    parts = rows.selectExpr("key", "h", "less", "move", f"{at} as wide_l", f"chars - less - {at} - {n} as wide_r", f"substring(line, 1, {at} + move) as l", f"substring(line, {at} + move + {n} + 1) as r")
-    parts = parts.select("*", _each("x j k u v", ways))
-    for side, piece, move, edits, longer in (("l", "j", "u", "x", "move"), ("r", "k", "v", f"({threshold} - x)", "(less - move)")):
-        at, n = _segment(f"wide_{side}", piece, f"{edits} + 1")
-        parts = parts.withColumns({f"at_{side}": F.expr(f"{at} + {move}"), f"n_{side}": F.expr(n)})
-        parts = parts.filter(f"at_{side} >= 0 and {move} between greatest(-{piece}, {longer} - ({edits} - {piece})) and least({piece}, {longer} + {edits} - {piece})")
-    return parts.selectExpr("xxhash64(key, x, j, k, substring(l, at_l + 1, n_l), substring(r, at_r + 1, n_r)) as fine", "h")
+def _ways(edits: int) -> list[tuple[int, int, int]]:
+    """(less, segment, move) of a line's substrings that can face a segment of a line that is `less` shorter. The
+    first ones, where nothing is less or moved, are its own segments, under which it is indexed too."""
+    own = [(0, i, 0) for i in range(edits + 1)]
+    return own + [w for less in range(edits + 1) for i in range(edits + 1) for move in _moves(i, edits, less) if (w := (less, i, move)) not in own]
+
+
+def _key(edits: int, less: int, i: int, move: int) -> str:
+    """SQL of the key: a hash of the threshold, the shorter line's length, the segment's number and characters."""
+    at, n = _segment(f"chars - {less}", i, edits + 1)
+    return f"if({at} + {move} >= 0, xxhash64({edits}, chars - {less}, {i}, substring(line, {at} + {move} + 1, {n})), null)"
+
+
+def _spans(edits) -> list[tuple[int, int, int]]:
+    """(edits, from, to) of the classes of lengths, in characters; the last one has no end."""
+    return [(e, low, high) for (low, e), (high, _) in zip(edits, [*edits[1:], (1 << 31, 0)], strict=True)]
+
+
+def _threshold(chars: str, edits) -> str:
+    """SQL of the threshold of a line of so many characters."""
+    return "case " + " ".join(f"when {chars} >= {low} and {chars} < {high} then {e}" for e, low, high in _spans(edits)) + " else 0 end"
 
 
 def edit_distance(a: str, b: str, threshold: int) -> Column:
@@ -112,71 +94,115 @@ def edit_distance(a: str, b: str, threshold: int) -> Column:
     return F.expr(f"case when {far} then {threshold + 1} when {tiny} then levenshtein({a}, {b}) when {ends} then {threshold + 1} else {whole} end")
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, tie, pos, line, h, g) of every line that is not empty; tie is a hash of the text, h and g are hashes of
+    the line, pos counts from 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), F.split(text, "\n").alias("lines"))
-
-
-def similar_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs of different lines within the threshold: (first, other: their first places; h, g: the later one's
-    hashes). distinct: h, g (hashes), line, first (place)."""
-    lines = distinct.select("h", "line", F.char_length("line").alias("chars"))
-    index, probe = _index(lines, threshold).repartition("key"), _probes(lines, threshold)
-    # conditions on way and h that are true of all make readers want the same columns, and so share one shuffle
-    often = index.groupBy("key").agg(F.count("*").alias("n"), F.max("h").alias("h"), F.max("way").alias("way")).filter(f"n > {FREQUENT} and h is not null and way >= 0").select("key", F.lit(True).alias("often"))
-    index, probe = index.join(often, "key", "left"), probe.join(often, "key", "left")
-    rare = [df.filter("often is null").select("key", F.col("h").alias(name), F.col("way").alias(f"way_{name}")) for df, name in ((index, "a"), (probe, "b"))]
-    rare = rare[0].join(rare[1], "key").filter("way_a <= way_b")
-    fine = [_finer(df.filter("often").drop("often"), distinct, threshold, probing) for df, probing in ((index, False), (probe, True))]
-    dense = fine[0].select("fine", F.col("h").alias("a")).join(fine[1].select("fine", F.col("h").alias("b")), "fine")
-    met = rare.select("a", "b").union(dense.select("a", "b")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for x in ("a", "b"):  # the second half of the lines' hashes, then their texts
-        met = met.join(distinct.select(F.col("h").alias(x), F.col("g").alias(f"g{x}")), x)
-    for x in ("a", "b"):
-        side = distinct.select(F.col("h").alias(x), F.col("g").alias(f"g{x}"), F.col("line").alias(f"line_{x}"), F.col("first").alias(f"first_{x}"))
-        met = met.join(side, [x, f"g{x}"])
-    near = met.filter(edit_distance("line_a", "line_b", threshold) <= threshold)
-    later = F.col("first_a") > F.col("first_b")
-    return near.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h"), F.when(later, F.col("ga")).otherwise(F.col("gb")).alias("g"), F.least("first_a", "first_b").alias("first"), F.greatest("first_a", "first_b").alias("other"))
-
-
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), F.posexplode(F.split(text, "\n")).alias("pos", "line")).filter("line <> ''")
+    return rows.withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit("g"), F.col("line"))})
+
+
+def _shared_keys(lines: DataFrame, edits) -> DataFrame:
+    """(key, h, own): the entries of all keys under which different lines meet, one of them at least by a segment
+    of its own. Equal lines are combined before anything is shuffled by key."""
+    spans, most = _spans(edits), max(e for _, e in edits)
+    width = max(len(_ways(e)) for e, _, _ in spans)
+    keys = {f"k{j}": "case " + " ".join(f"when chars >= {low} and chars < {high} then {_key(e, *_ways(e)[j])}" for e, low, high in spans if j < len(_ways(e))) + " end" for j in range(width)}
+    # lines a little too short for a class are indexed in it, for its lines to find
+    keys |= {f"s{i}": "case " + " ".join(f"when chars >= {low - e} and chars < {low} then {_key(e, 0, i, 0)}" for e, low, _ in spans if i <= e) + " end" for i in range(most + 1)}
+    long = lines.select("line", "h", "g", F.char_length("line").alias("chars")).filter(f"chars >= {min(low - e for e, low, _ in spans)}")
+    distinct = long.groupBy("h", "g", "chars").agg(*[F.min(F.expr(sql)).alias(name) for name, sql in keys.items()])  # equal lines have equal keys
+    entries = F.inline(F.array(*[F.struct(F.col(name).alias("key"), F.lit(1000 if name[0] == "s" else int(name[1:])).alias("way")) for name in keys]))
+    entries = distinct.select("h", "chars", entries).filter("key is not null").select("key", "h", F.expr(f"way >= 1000 or way <= {_threshold('chars', edits)}").alias("own")).repartition("key")
+    shared = entries.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("any")).filter("low < high and any").select("key")
+    return entries.join(shared.hint("shuffle_hash"), "key")
+
+
+def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines whose h is in `wanted` (and some others), by a bitmap that is broadcast: SPARSE bits a wanted
+    hash, 2**BITS bits at most; what passes is joined exactly."""
+    bits = min(BITS, max(15, (SPARSE * wanted.count()).bit_length()))
+    slot = F.expr(f"pmod(h, {1 << bits}L) + 1")
+    marks = wanted.select(slot.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("marks"))
+    met = lines.withColumn("slot", slot).withColumn("bucket", F.expr("bitmap_bucket_number(slot)")).join(F.broadcast(marks), "bucket")
+    byte = "cast(conv(hex(substring(marks, cast(bitmap_bit_position(slot) div 8 as int) + 1, 1)), 16, 10) as int)"
+    return met.filter(f"({byte} & shiftleft(1, cast(bitmap_bit_position(slot) % 8 as int))) <> 0").drop("bucket", "marks", "slot").join(wanted.hint("shuffle_hash"), "h", "left_semi")
+
+
+def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
+    """(h, g) of the lines that a different one within the longer line's threshold comes before, by first places.
+    lines: id, tie, pos (the place), line, h, g (hashes). edits: see EDITS."""
+    if not edits:
+        return lines.select("h", "g").limit(0)
+    most = max(e for _, e in edits)
+    alive = checkpointed(_shared_keys(lines, edits))
+    chosen = _marked(lines, alive.select("h").distinct())
+    distinct = chosen.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "pos")).alias("first"), F.first("line").alias("line"))
+    classes = 2 * most + 2
+    counts = f"transform(sequence(0, {classes - 1}), k -> aggregate(filter(split(line, ''), c -> pmod(ascii(c), {classes}) = k), 0L, (n, c) -> n + (xxhash64(c) & 2147483647L)))"
+    texts = checkpointed(distinct.withColumn("counts", F.expr(counts)))
+    pairs = F.inline(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in combinations(range(classes), 2)]))
+    entries = alive.join(texts.select("h", "g", "first", "counts"), "h").select("*", pairs)
+    entries = entries.select(F.expr("xxhash64(key, x, y, get(counts, x), get(counts, y))").alias("key"), "h", "g", "first", "own").groupBy("key", "h", "g").agg(F.max("own").alias("own"), F.first("first").alias("first"))
+    several = entries.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("any")).filter("low < high and any").select("key")
+    entries = checkpointed(entries.join(several, "key"))
+    near, open_ = None, entries
+    for parts in (*LEADERS, None):
+        if parts:  # the earliest line of each part of a key, among those indexed and among all
+            part = F.expr(f"pmod(h, {parts})").alias("part")
+            first = F.struct("first", "h", "g", "own")
+            lead = entries.groupBy("key", part).agg(F.min(F.when(F.col("own"), first)).alias("a"), F.min(first).alias("b"))
+            early = lead.select("key", F.explode(F.array("a", "b")).alias("e")).filter("e is not null").select("key", "e.*").distinct()
+        else:
+            early = entries
+        early = early.select("key", F.col("first").alias("early"), F.col("h").alias("eh"), F.col("g").alias("eg"), F.col("own").alias("eown"))
+        met = open_.join(early, "key").filter("early < first and (own or eown)").select("h", "g", "eh", "eg").distinct()
+        for h, g, line in (("h", "g", "line"), ("eh", "eg", "other")):
+            met = met.join(texts.select(F.col("h").alias(h), F.col("g").alias(g), F.col("line").alias(line)), [h, g])
+        longer = _threshold("greatest(char_length(line), char_length(other))", edits)
+        found = met.filter(edit_distance("line", "other", most) <= F.expr(longer)).select("h", "g").distinct()
+        near = found if near is None else near.union(found)
+        if parts:
+            near = checkpointed(near)
+            open_ = entries.join(near, ["h", "g"], "left_anti")
+    return near
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits=EDITS) -> DataFrame:
     """Lines to remove: (id, tie, pos, near), a row a line; tie is a hash of the text, pos counts from 0.
 
-    near is false where an equal line comes earlier (by id, text hash, place), true where only lines within
-    `threshold` edits of it first come earlier. Near lines are looked for among lines of min_chars characters or more, equal ones among
-    those of min_exact (without it, min_chars) or more."""
-    least = min_chars if min_exact is None else min(min_exact, min_chars)
-    lines = _rows(docs, id_col, text_col).select("id", "tie", F.posexplode("lines").alias("pos", "line")).filter(F.char_length("line") >= least)
-    lines = lines.withColumn("h", F.xxhash64("line")).withColumn("g", F.xxhash64(F.lit("g"), F.col("line")))
+    near is false where an equal line comes earlier (by id, text hash, place), true where only different lines
+    near it first come earlier. Empty lines are never removed; see EDITS for which lines are near others."""
+    lines = _lines(docs, id_col, text_col)
     place = F.struct("id", "tie", "pos")
-    # the filter is true of all: it makes all readers of the distinct lines want the same columns, and so share one shuffle
-    distinct = lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.first("line").alias("line")).filter("first.pos >= 0 and length(line) >= 0")
-    near = similar_lines(distinct if least == min_chars else distinct.filter(F.char_length("line") >= min_chars), threshold).select("h", "g").distinct().withColumn("near", F.lit(True))
-    firsts = distinct.select("h", "g", "first").join(near, ["h", "g"], "left")
-    found = lines.select("id", "tie", "pos", "h", "g").join(firsts, ["h", "g"])
+    narrow = lines.select("id", "tie", "pos", "h", "g")
+    near = near_lines(lines, edits).withColumn("near", F.lit(True))
+    firsts = narrow.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(near, ["h", "g"], "left").filter("n > 1 or near")
+    found = narrow.join(firsts.hint("shuffle_hash"), ["h", "g"])
     here = place.eqNullSafe(F.col("first"))
     return found.filter(~here | F.col("near")).select("id", "tie", "pos", here.alias("near"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
-    """Per row: id, n_lines, n_exact and n_near (lines removed), removed (their places, ascending).
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits=EDITS) -> DataFrame:
+    """Per row: id, tie (a hash of the text), n_lines, n_exact and n_near (lines removed), removed (their places,
+    ascending).
 
-    The first of equal lines stays, unless a different line within `threshold` edits comes before it; that line
-    need not itself stay. Lines end at line feeds; a null or empty text is one empty line and loses nothing.
-    Rows of equal id and text share their decisions, so that repeated rows stay as they are; null ids come
-    first. An empty table gives an empty result."""
-    gone = repeated_lines(docs, id_col, text_col, threshold, min_chars, min_exact).distinct().groupBy("id", "tie").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.sort_array(F.collect_list("pos")).alias("removed"))
-    rows = _rows(docs, id_col, text_col).select("id", "tie", F.size("lines").cast("bigint").alias("n_lines"))
+    The first of equal lines stays, unless a different line near it (see EDITS) comes before it; that line need
+    not itself stay. Lines end at line feeds and may be of any length; a null or empty text is one empty line and
+    loses nothing. Rows of equal id and text share their decisions, so that repeated rows stay as they are; null
+    ids come first. An empty table gives an empty result."""
+    gone = repeated_lines(docs, id_col, text_col, edits).distinct().groupBy("id", "tie").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.sort_array(F.collect_list("pos")).alias("removed"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), F.size(F.split(text, "\n")).cast("bigint").alias("n_lines"))
     gone = gone.withColumnRenamed("id", "i").withColumnRenamed("tie", "t")
     out = rows.join(gone, F.col("id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")), "left")
     return out.select(F.col("id").alias(id_col), "tie", "n_lines", F.coalesce("n_exact", F.lit(0)).cast("bigint").alias("n_exact"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits=EDITS) -> DataFrame:
     """The rows with their other columns, their texts without the lines that dedup_lines removes (possibly empty).
     Texts that lose nothing stay as they are, null ones too."""
-    gone = repeated_lines(docs, id_col, text_col, threshold, min_chars, min_exact).groupBy(F.col("id").alias("gone_id"), F.col("tie").alias("gone_tie")).agg(F.collect_set("pos").alias("gone_at"))
+    gone = repeated_lines(docs, id_col, text_col, edits).groupBy(F.col("id").alias("gone_id"), F.col("tie").alias("gone_tie")).agg(F.collect_set("pos").alias("gone_at"))
     tie = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("own_id"), tie.alias("own_tie"))
     met = rows.join(gone.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_tie") == F.col("gone_tie")), "left")

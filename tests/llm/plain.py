@@ -136,15 +136,16 @@ def edits(a: str, b: str) -> int:
     return row[-1]
 
 
-def repeated_lines(rows, threshold=2, min_chars=20):
-    """(id, lines, exact, near, places) of rows with distinct ids, none of them null."""
+def repeated_lines(rows, allowed=lambda n: 0 if n < 10 else 1 if n < 20 else 2):
+    """(id, lines, exact, near, places) of rows with distinct ids, none of them null. allowed: edits within which
+    lines are near, by the characters of the longer one."""
     first: dict[str, tuple] = {}
     for i, t in sorted(rows, key=lambda r: r[0]):
         for p, line in enumerate((t or "").split("\n")):
-            if len(line) >= min_chars:
+            if line:
                 first.setdefault(line, (i, p))
     known = list(first)
-    early = {x: any(first[y] < first[x] and abs(len(x) - len(y)) <= threshold and edits(x, y) <= threshold for y in known) for x in known}
+    early = {x: any(first[y] < first[x] and abs(len(x) - len(y)) <= (n := allowed(max(len(x), len(y)))) and n and edits(x, y) <= n for y in known) for x in known}
     out = []
     for i, t in rows:
         exact, near = [], []

@@ -18,8 +18,8 @@ def repeats(rows):
     return out
 
 
-def test_short_lines_are_compared_too(spark):
-    got = {r.doc_id: r for r in line_dedup.dedup_lines(table(spark, ONCE), min_exact=1).collect()}
+def test_lines_of_every_length_are_compared(spark):
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(table(spark, ONCE)).collect()}
     exact, near = repeats(ONCE), {i: {int(p) for p in x.split(",") if p} for i, *_, x in plain.repeated_lines(ONCE)}
     assert {i: set(r.removed) for i, r in got.items()} == {i: exact[i] | near[i] for i, _ in ONCE}
     assert {i: (r.n_exact, r.n_near) for i, r in got.items()} == {i: (len(exact[i]), len(near[i] - exact[i])) for i, _ in ONCE}

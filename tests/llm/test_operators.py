@@ -199,12 +199,11 @@ def test_line_dedup_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("frequent", [16, 0])
-def test_near_lines_of_every_kind_are_met(spark, monkeypatch, frequent):
-    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)  # 0: all keys are made finer
+@pytest.mark.parametrize("edits", [((10, 1), (20, 2)), ((5, 1), (12, 2), (24, 3)), ((20, 2),)])
+def test_near_lines_of_every_kind_are_met(spark, edits):
     rng = np.random.default_rng(4)
     letters = "abcde"
-    base = ["".join(rng.choice(list(letters), n)) for n in (20, 21, 22, 25, 31, 40) for _ in range(3)]
+    base = ["".join(rng.choice(list(letters), n)) for n in (9, 10, 11, 18, 20, 21, 22, 25, 31, 40) for _ in range(2)]
     made = []
     for k, line in enumerate(base):
         made.append((1000 + k, line))
@@ -214,8 +213,9 @@ def test_near_lines_of_every_kind_are_met(spark, monkeypatch, frequent):
                 p = int(rng.integers(0, len(x)))
                 x[p : p + int(rng.integers(0, 2))] = [str(rng.choice(list(letters)))] * int(rng.integers(0, 2))
             made.append((2000 + 20 * k + e, "".join(x)))
-    got = line_dedup.dedup_lines(table(spark, made)).withColumn("removed", F.array_join("removed", ","))
-    same(rows_of(got, "doc_id", "n_lines", "n_exact", "n_near", "removed"), plain.repeated_lines(made))
+    got = line_dedup.dedup_lines(table(spark, made), edits=edits).withColumn("removed", F.array_join("removed", ","))
+    allowed = lambda n: max((e for low, e in edits if n >= low), default=0)
+    same(rows_of(got, "doc_id", "n_lines", "n_exact", "n_near", "removed"), plain.repeated_lines(made, allowed))
 
 
 def test_edit_distance(spark):
