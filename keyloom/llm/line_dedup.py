@@ -3,15 +3,13 @@
 A line is cut into threshold + 1 segments, the threshold being that of its length. Whatever that many edits do to
 it, one segment survives, shifted by few places, in a line of nearly the same length. So each line is indexed by
 its segments, and probes the indexes of its own and the shorter lengths with the substrings that can face a
-segment. An edit also changes the counts of two characters at most, so that of 2 * threshold + 2 classes of
-characters two keep their counts: lines that share a segment meet only if they agree on two such classes. Pairs
-met are verified by an edit distance whose band of 2 * threshold + 1 diagonals is a machine word. As only the
-existence of an earlier near line is asked for, lines first meet the earliest ones under each key."""
+segment. Pairs that meet are compared by their numbers of common characters, of which an edit changes two by one
+at most, and then verified by an edit distance whose band of 2 * threshold + 1 diagonals is a machine word. As
+only the existence of an earlier near line is asked for, lines first meet the earliest ones under each key, ever
+more of them, and all others only where none of these is near."""
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +18,10 @@ from .common import checkpointed
 #: (characters, edits): lines from so many characters on, up to the next such number, are near others of at most
 #: their length within so many edits. Shorter lines are compared for equality alone.
 EDITS = ((10, 1), (20, 2))
-#: Parts of a key's lines whose earliest ones are met, round by round, before all others are.
-LEADERS = (1, 16)
+#: Parts of a key's lines whose earliest ones are met in the first round, and by how much they grow with each round.
+LEADERS, GROWTH = 8, 16
+#: Characters whose numbers in two lines are compared before the lines are; all others together are one more.
+COUNTED = "etaoinsrhldcumfgpbvyw "
 #: Bits of the bitmap of candidates a candidate, and of the bitmap at most, as a power of two (128 MB).
 SPARSE, BITS = 16, 30
 
@@ -88,10 +88,11 @@ def edit_distance(a: str, b: str, threshold: int) -> Column:
     chars_l = f"concat({pad}, split({longer}, ''), {pad})"
     whole = f"transform(array(named_struct('l', {chars_l}, 's', split({shorter}, ''))), c -> {inner})[0]"
     far = f"abs(char_length({a}) - char_length({b})) > {threshold}"
-    # within the threshold, stretches of equal length at either end differ by at most twice as much
-    ends = " or ".join(f"levenshtein({side}({a}, 24), {side}({b}, 24)) > {2 * threshold}" for side in ("left", "right"))
+    # within the threshold, stretches of equal length at the same place differ by at most twice as much
+    ends = " or ".join(f"levenshtein({side}({a}, 24), {side}({b}, 24), {2 * threshold}) < 0" for side in ("left", "right"))
+    inside = f"exists(sequence(0, cast(char_length({a}) div 48 as int)), k -> levenshtein(substring({a}, 48 * k + 1, 48), substring({b}, 48 * k + 1, 48), {2 * threshold}) < 0)"
     tiny = f"least(char_length({a}), char_length({b})) <= {threshold}"  # shorter than the band is wide
-    return F.expr(f"case when {far} then {threshold + 1} when {tiny} then levenshtein({a}, {b}) when {ends} then {threshold + 1} else {whole} end")
+    return F.expr(f"case when {far} then {threshold + 1} when {tiny} then levenshtein({a}, {b}) when {ends} or {inside} then {threshold + 1} else {whole} end")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -103,8 +104,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _shared_keys(lines: DataFrame, edits) -> DataFrame:
-    """(key, h, own): the entries of all keys under which different lines meet, one of them at least by a segment
-    of its own. Equal lines are combined before anything is shuffled by key."""
+    """(key, h, own, n): the entries of all keys under which different lines meet, one of them at least by a segment
+    of its own; n: so many of a key. Equal lines are combined before anything is shuffled by key."""
     spans, most = _spans(edits), max(e for _, e in edits)
     width = max(len(_ways(e)) for e, _, _ in spans)
     keys = {f"k{j}": "case " + " ".join(f"when chars >= {low} and chars < {high} then {_key(e, *_ways(e)[j])}" for e, low, high in spans if j < len(_ways(e))) + " end" for j in range(width)}
@@ -114,7 +115,7 @@ def _shared_keys(lines: DataFrame, edits) -> DataFrame:
     distinct = long.groupBy("h", "g", "chars").agg(*[F.min(F.expr(sql)).alias(name) for name, sql in keys.items()])  # equal lines have equal keys
     entries = F.inline(F.array(*[F.struct(F.col(name).alias("key"), F.lit(1000 if name[0] == "s" else int(name[1:])).alias("way")) for name in keys]))
     entries = distinct.select("h", "chars", entries).filter("key is not null").select("key", "h", F.expr(f"way >= 1000 or way <= {_threshold('chars', edits)}").alias("own")).repartition("key")
-    shared = entries.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("any")).filter("low < high and any").select("key")
+    shared = entries.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("any"), F.count("*").alias("n")).filter("low < high and any").select("key", "n")
     return entries.join(shared.hint("shuffle_hash"), "key")
 
 
@@ -126,7 +127,18 @@ def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     marks = wanted.select(slot.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("marks"))
     met = lines.withColumn("slot", slot).withColumn("bucket", F.expr("bitmap_bucket_number(slot)")).join(F.broadcast(marks), "bucket")
     byte = "cast(conv(hex(substring(marks, cast(bitmap_bit_position(slot) div 8 as int) + 1, 1)), 16, 10) as int)"
-    return met.filter(f"({byte} & shiftleft(1, cast(bitmap_bit_position(slot) % 8 as int))) <> 0").drop("bucket", "marks", "slot").join(wanted.hint("shuffle_hash"), "h", "left_semi")
+    return met.filter(f"({byte} & shiftleft(1, cast(bitmap_bit_position(slot) % 8 as int))) <> 0").drop("bucket", "marks", "slot").join(wanted.hint("shuffle_hash"), "h")
+
+
+def _counts(line: str) -> str:
+    """SQL of how many other characters than those of COUNTED the line has, and how many of each of these."""
+    plain = f"translate({line}, '{COUNTED}', '')"
+    return f"array(char_length({plain}), " + ", ".join(f"char_length({line}) - char_length(replace({line}, '{c}', ''))" for c in COUNTED) + ")"
+
+
+def _l1(a: str, b: str) -> str:
+    """SQL of how far the counts differ; an edit changes two of them by one at most."""
+    return " + ".join(f"abs(get({a}, {k}) - get({b}, {k}))" for k in range(len(COUNTED) + 1))
 
 
 def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
@@ -138,34 +150,29 @@ def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
     alive = checkpointed(_shared_keys(lines, edits))
     chosen = _marked(lines, alive.select("h").distinct())
     distinct = chosen.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "pos")).alias("first"), F.first("line").alias("line"))
-    classes = 2 * most + 2
-    counts = f"transform(sequence(0, {classes - 1}), k -> aggregate(filter(split(line, ''), c -> pmod(ascii(c), {classes}) = k), 0L, (n, c) -> n + (xxhash64(c) & 2147483647L)))"
-    texts = checkpointed(distinct.withColumn("counts", F.expr(counts)))
-    pairs = F.inline(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in combinations(range(classes), 2)]))
-    entries = alive.join(texts.select("h", "g", "first", "counts"), "h").select("*", pairs)
-    entries = entries.select(F.expr("xxhash64(key, x, y, get(counts, x), get(counts, y))").alias("key"), "h", "g", "first", "own").groupBy("key", "h", "g").agg(F.max("own").alias("own"), F.first("first").alias("first"))
-    several = entries.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("any")).filter("low < high and any").select("key")
-    entries = checkpointed(entries.join(several, "key"))
-    near, open_ = None, entries
-    for parts in (*LEADERS, None):
-        if parts:  # the earliest line of each part of a key, among those indexed and among all
-            part = F.expr(f"pmod(h, {parts})").alias("part")
-            first = F.struct("first", "h", "g", "own")
-            lead = entries.groupBy("key", part).agg(F.min(F.when(F.col("own"), first)).alias("a"), F.min(first).alias("b"))
-            early = lead.select("key", F.explode(F.array("a", "b")).alias("e")).filter("e is not null").select("key", "e.*").distinct()
-        else:
+    texts = checkpointed(distinct.withColumn("counts", F.expr(_counts("line"))))
+    # equal hashes h of different lines part here, as g is in the rows from now on
+    entries = checkpointed(alive.join(texts.drop("line"), "h"))
+    near, open_, parts, met_by = None, entries, LEADERS, 0
+    while True:
+        last = (open_.agg(F.max("n")).first()[0] or 0) <= 8 * met_by
+        entry = F.struct("first", "h", "g", "own", "counts")
+        if last:
             early = entries
-        early = early.select("key", F.col("first").alias("early"), F.col("h").alias("eh"), F.col("g").alias("eg"), F.col("own").alias("eown"))
-        met = open_.join(early, "key").filter("early < first and (own or eown)").select("h", "g", "eh", "eg").distinct()
+        else:  # the earliest line of each part of a key, among those indexed and among all
+            lead = entries.groupBy("key", F.expr(f"pmod(h, {parts})")).agg(F.min(F.when(F.col("own"), entry)).alias("a"), F.min(entry).alias("b"))
+            early = lead.select("key", F.explode(F.array("a", "b")).alias("e")).filter("e is not null").select("key", "e.*").distinct()
+        early = early.select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "own", "counts")])
+        met = open_.join(early, (open_["key"] == early["key"]) & F.expr(f"efirst < first and (own or eown) and {_l1('counts', 'ecounts')} <= {2 * most}")).select("h", "g", "eh", "eg").distinct()
         for h, g, line in (("h", "g", "line"), ("eh", "eg", "other")):
             met = met.join(texts.select(F.col("h").alias(h), F.col("g").alias(g), F.col("line").alias(line)), [h, g])
         longer = _threshold("greatest(char_length(line), char_length(other))", edits)
         found = met.filter(edit_distance("line", "other", most) <= F.expr(longer)).select("h", "g").distinct()
         near = found if near is None else near.union(found)
-        if parts:
-            near = checkpointed(near)
-            open_ = entries.join(near, ["h", "g"], "left_anti")
-    return near
+        if last:
+            return near
+        near, met_by, parts = checkpointed(near), parts, parts * GROWTH
+        open_ = entries.join(near, ["h", "g"], "left_anti")
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits=EDITS) -> DataFrame:
