@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from keyloom.llm import bpe, common, decontaminate, line_dedup, quality_crf, shingle_join
-from pyspark.sql import DataFrame, SparkSession
+from keyloom.llm import bpe, common, decontaminate, line_dedup, quality_crf, simhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,15 +17,22 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
 
 
+def _name(own: Column) -> Column:
+    """An id as a string that is never null, so that a join by it and what follows share one shuffle."""
+    return F.coalesce(F.concat(F.lit("="), own.cast("string")), F.lit(""))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier, fitted on labelled ones, predicts to be good."""
+    """Documents that the line classifier, fitted on labelled ones, predicts to be good. A null or empty text is
+    scored as one empty line; repeated rows share their fate; an empty table stays empty."""
     model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     common.bounded_batches(spark)
     return docs.filter(quality_crf.quality_score(model) >= 0.5)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier one has within two edits; n_chars follows the text."""
+    """All documents, without the lines that an earlier one equals or, within the edits of line_dedup.EDITS, nearly
+    equals; n_chars follows the text. Null and empty texts stay as they are; repeated rows lose the same lines."""
     kept = line_dedup.without_repeated_lines(docs)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
@@ -34,21 +41,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document with the smallest id of each group of texts that share 0.8 or more of their five-word
     shingles (Jaccard, exact); of rows with that id, the one with the smallest hash of its text. A group of null
     ids alone keeps one row of each text."""
-    groups = shingle_join.similar_groups(docs, words=5, similarity=0.8)
-    kept = groups.filter("doc_id <=> component_id and (tie = component_tie or doc_id is null)").select(F.col("doc_id").alias("id"), F.col("tie").alias("kept")).distinct()
-    rows = _packed(docs).join(kept, F.col("own").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("kept")), "left_semi")
-    return rows.dropDuplicates(["own", "tie"]).select("row.*")
+    groups = simhash.similar_groups(docs, words=5, similarity=0.8)
+    kept = groups.filter("doc_id <=> component_id and (tie = component_tie or doc_id is null)").select(_name(F.col("doc_id")).alias("name"), "tie").distinct()
+    rows = _packed(docs).withColumn("name", _name(F.col("own"))).join(kept, ["name", "tie"], "left_semi")
+    return rows.dropDuplicates(["name", "tie"]).select("row.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of ten words with a benchmark item."""
+    """Documents that share no window of ten words with a benchmark item. Null, empty and wordless texts share
+    none; repeated rows share their fate; without items all documents stay."""
     hit = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("id"), "tie").distinct()
     rows = _packed(docs).withColumnRenamed("tie", "own_tie")
     return rows.join(hit, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_tie") == F.col("tie")), "left_anti").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """doc_id, n_tokens, ids and the text that the ids decode to, of every row; a null text is an empty one."""
     made = bpe.bpe_encode(docs)
     return made.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("text"))
 

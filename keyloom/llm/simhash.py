@@ -17,9 +17,15 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, checkpointed, slices
 from .components import connected_components
+from .shingles import FP_WORDS, prefix_keys, prefix_rows, set_nodes, similar_sets, twice, whole_sets
+from .sketch import repeated_slots
 
 #: Fingerprints of a bucket that are compared in one group; larger buckets are split into pairs of parts.
 PART = 4096
+#: Of the 256 bits of a set's fingerprint, those that sets of similarity 0.8 may differ in: ones of LARGE shingles or
+#: more differ in 0.152 of them on average, smaller ones in up to 3/16 (5 shingles against 4), and 4.5 standard
+#: deviations are added to that. Then the bits within which sets count as close to each other.
+LARGE, SET_RADIUS, SMALL_RADIUS, SET_CLOSE = 32, 65, 76, 44
 #: (query, word of 64) entries compared at once.
 ENTRIES = 1 << 16
 _U = np.uint64
@@ -69,29 +75,45 @@ def tables_for(n: int, radius: int = 4, bucket: int = 1024) -> list[int]:
     return masks
 
 
-def _added(one, two, four, over, planes):
-    """Carry-save: count eight more planes of differences into the bits one, two, four (over: eight or more)."""
+def _csa(a, b, c):
+    """Carry-save adder: sum and carry of three bits, in every lane of a word."""
+    ab = a ^ b
+    return ab ^ c, (a & b) | (ab & c)
 
-    def csa(a, b, c):
-        ab = a ^ b
-        return ab ^ c, (a & b) | (ab & c)
 
-    one, t1 = csa(one, planes[0], planes[1])
-    one, t2 = csa(one, planes[2], planes[3])
-    two, f1 = csa(two, t1, t2)
-    one, t1 = csa(one, planes[4], planes[5])
-    one, t2 = csa(one, planes[6], planes[7])
-    two, f2 = csa(two, t1, t2)
-    four, e = csa(four, f1, f2)
-    return one, two, four, over | e
+def _added(counter: list, over, planes):
+    """Count eight more planes of differences into the bits of the counters; over: what they cannot hold."""
+    one, two, four, *high = counter
+    one, t1 = _csa(one, planes[0], planes[1])
+    one, t2 = _csa(one, planes[2], planes[3])
+    two, f1 = _csa(two, t1, t2)
+    one, t1 = _csa(one, planes[4], planes[5])
+    one, t2 = _csa(one, planes[6], planes[7])
+    two, f2 = _csa(two, t1, t2)
+    four, carry = _csa(four, f1, f2)
+    for k, bit in enumerate(high):
+        high[k], carry = bit ^ carry, bit & carry
+    return [one, two, four, *high], over | carry
 
 
-def close_pairs(fps: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int = 4):
-    """Yield (i, j) index arrays of all pairs within the radius that share a group (rows sorted by group).
-    side: 0 rows meet all rows of their group with a higher index; 1 and 2 rows meet only the other side."""
-    if not 0 <= radius < 7:
-        raise ValueError("the bit counters hold a radius below 7")
+def _beyond(counter: list, over, radius: int):
+    """The lanes whose counters are larger than the radius."""
+    more, equal = over, _ALL
+    for k in reversed(range(len(counter))):
+        if radius >> k & 1:
+            equal = equal & counter[k]
+        else:
+            more, equal = more | (equal & counter[k]), equal & ~counter[k]
+    return more
+
+
+def close_pairs(fps: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int = 4, asks: np.ndarray | None = None):
+    """Yield (i, j) index arrays of all pairs within the radius that share a group (rows sorted by group). fps: a
+    fingerprint a row, of one 64-bit word or several.
+    side: 0 rows meet all rows of their group with a higher index; 1 and 2 rows meet only the other side. Where
+    asks is given, pairs have a row for which it is true, and those rows come first in their groups."""
     n = len(fps)
+    parts = fps.reshape(n, -1)
     first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if n else np.zeros(0, np.int64)
     size = np.diff(np.concatenate([first, [n]]))
     pos = np.arange(n) - np.repeat(first, size)
@@ -99,10 +121,12 @@ def close_pairs(fps: np.ndarray, group: np.ndarray, side: np.ndarray, radius: in
     word0 = np.concatenate([[0], np.cumsum(words)])[:-1]
     word, lane = np.repeat(word0, size) + pos // 64, (pos % 64).astype(_U)
     begins = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if n else first
-    planes = [np.bitwise_or.reduceat(((fps >> _U(b)) & _U(1)) << lane, begins) for b in range(64)] if n else []
+    planes = [np.bitwise_or.reduceat(((parts[:, b >> 6] >> _U(b & 63)) & _U(1)) << lane, begins) for b in range(64 * parts.shape[1])] if n else []
     filled = np.bitwise_or.reduceat(_U(1) << lane, begins) if n else np.zeros(0, _U)
     base = begins  # row index of a word's lane 0
     per = np.repeat(words, size) - pos // 64  # a row meets its own word and the later ones
+    if asks is not None:
+        per = np.where(asks, per, 0)
     last = np.cumsum(per)
     at = 0
     while at < n:
@@ -110,17 +134,17 @@ def close_pairs(fps: np.ndarray, group: np.ndarray, side: np.ndarray, radius: in
         q = np.repeat(np.arange(at, to), per[at:to])
         w = word[q] + np.arange(len(q)) - np.repeat(last[at:to] - per[at:to] - (last[at - 1] if at else 0), per[at:to])
         at = to
-        one = two = four = over = np.zeros(len(q), _U)
-        for b in range(0, 64, 8):
-            d = [planes[b + k][w] ^ (_U(0) - ((fps[q] >> _U(b + k)) & _U(1))) for k in range(8)]
-            one, two, four, over = _added(one, two, four, over, d)
-            far = over
-            for value in range(radius + 1, 8):  # counters that hold a value beyond the radius
-                far = far | ((one if value & 1 else ~one) & (two if value & 2 else ~two) & (four if value & 4 else ~four))
+        over = np.zeros(len(q), _U)
+        counter = [over] * max(3, radius.bit_length())
+        for b in range(0, len(planes), 8):
+            d = [planes[b + k][w] ^ (_U(0) - ((parts[q, (b + k) >> 6] >> _U((b + k) & 63)) & _U(1))) for k in range(8)]
+            counter, over = _added(counter, over, d)
+            far = _beyond(counter, over, radius)
             if b >= 16:
                 live = (far & filled[w]) != filled[w]
                 if not live.all():
-                    q, w, one, two, four, over, far = (x[live] for x in (q, w, one, two, four, over, far))
+                    q, w, over, far = (x[live] for x in (q, w, over, far))
+                    counter = [x[live] for x in counter]
         near = ~far & filled[w] if len(q) else np.zeros(0, _U)
         hit = np.flatnonzero(near)
         if len(hit):
@@ -149,32 +173,48 @@ def _spanning(n: int, pairs) -> tuple[np.ndarray, np.ndarray]:
     return child, root[child]
 
 
-def _links(batches):
-    """Spanning links of each bucket, from rows sorted by bucket; a bucket's rows are kept until it ends."""
-    held = None
+def _by_bucket(keys: tuple[str, ...], made):
+    """Apply made(table, group of each row) to whole buckets of rows that come sorted by keys; a bucket's rows are
+    kept until it ends."""
 
-    def made(t):
-        if not t.num_rows:
-            return None
-        keys = [t.column(k).to_numpy() for k in ("t", "key", "lo", "hi")]
+    def whole(t):
         new = np.zeros(t.num_rows, np.int64)
-        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-        fps = t.column("fp").to_numpy().view(np.uint64)
-        a, b = _spanning(t.num_rows, close_pairs(fps, np.cumsum(new), t.column("side").to_numpy()))
-        return pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], names=["a", "b"])
-
-    for b in batches:
-        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-        last = [t.column(k)[-1].as_py() for k in ("t", "key", "lo", "hi")] if t.num_rows else None
-        if last is None:
-            continue
-        same = np.logical_and.reduce([t.column(k).to_numpy() == v for k, v in zip(("t", "key", "lo", "hi"), last, strict=True)])
-        cut = int(np.argmax(same))
-        if (out := made(t.slice(0, cut).combine_chunks())) is not None:
-            yield out
-        held = t.slice(cut)
-    if held is not None and (out := made(held.combine_chunks())) is not None:
-        yield out
+        if t.num_rows:
+            cols = [t.column(k).to_numpy() for k in keys]
+            new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in cols])
+        return made(t, np.cumsum(new)) if t.num_rows else ()
+
+    def run(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            same = np.logical_and.reduce([t.column(k).to_numpy() == t.column(k)[-1].as_py() for k in keys])
+            cut = int(np.argmax(same))
+            yield from whole(t.slice(0, cut).combine_chunks())
+            held = t.slice(cut)
+        if held is not None:
+            yield from whole(held.combine_chunks())
+
+    return run
+
+
+def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
+    """Rows of buckets (equal keys) of two rows or more, sorted by bucket; buckets of over PART rows are cut into
+    parts, by a hash of `name`, and every pair of parts is a bucket of its own (lo, hi; side tells the parts)."""
+    full = keyed.groupBy(*keys).agg(F.count("*").alias("many")).filter("many > 1").select(*keys, F.ceil(F.col("many") / PART).cast("int").alias("parts"))
+    dealt = keyed.join(full, list(keys)).withColumn("part", F.expr(f"cast(pmod(xxhash64({name}), parts) as int)"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other"), "side": F.expr("case when part = other then 0 when part < other then 1 else 2 end")})
+    return dealt.drop("parts", "part", "other").repartition(*keys, "lo", "hi").sortWithinPartitions(*keys, "lo", "hi")
+
+
+def _links(t, group):
+    """Spanning links of the buckets."""
+    fps = t.column("fp").to_numpy().view(np.uint64)
+    a, b = _spanning(t.num_rows, close_pairs(fps, group, t.column("side").to_numpy()))
+    yield pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], names=["a", "b"])
 
 
 def near_fingerprints(distinct: DataFrame, radius: int = 4) -> DataFrame:
@@ -183,12 +223,7 @@ def near_fingerprints(distinct: DataFrame, radius: int = 4) -> DataFrame:
     masks = tables_for(distinct.count(), radius)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("bigint")) for m in signed])).alias("t", "key"))
-    full = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1").select("t", "key", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
-    dealt = keyed.join(full, ["t", "key"]).withColumn("own", F.expr("cast(pmod(xxhash64(fp), parts) as int)"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("t", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.expr("case when own = other then 0 when own < other then 1 else 2 end").alias("side"), "fp")
-    parts = dealt.repartition("t", "key", "lo", "hi").sortWithinPartitions("t", "key", "lo", "hi")
-    return parts.mapInArrow(_links, "a bigint, b bigint")
+    return _dealt(keyed, ("t", "key"), "fp").mapInArrow(_by_bucket(("t", "key", "lo", "hi"), _links), "a bigint, b bigint")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
@@ -204,3 +239,98 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = placed.join(names, "component").select("fp", "component_id")
     return fps.join(by_fp, "fp", "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _set_pairs(similarity: float, every: bool):
+    """Pairs (a, b) of nodes in a bucket of different components, within the radius and of sizes that allow the
+    similarity: all of them, or for each node a the one that has most others close by (so many: score). Nodes of
+    a bucket's largest component are not compared with each other."""
+
+    def made(t, group):
+        component = t.column("component").to_numpy()
+        order = np.lexsort((component, group))
+        c, g = component[order], group[order]
+        lead = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (g[1:] != g[:-1])]))
+        many = np.diff(np.concatenate([lead, [len(c)]]))
+        largest = np.zeros(group[-1] + 1, np.int64)
+        np.maximum.at(largest, g[lead], many * len(lead) + np.arange(len(lead)))
+        asks = component != c[lead][largest % len(lead)][group]
+        asks |= (largest // len(lead) == 1)[group]  # each has a component of its own
+        t = t.take(pa.array(np.lexsort((~asks, group))))
+        asks = asks[np.lexsort((~asks, group))]
+        fps = np.stack([t.column(f"f{k}").to_numpy() for k in range(FP_WORDS)], 1).view(np.uint64)
+        node, component, size, side = (t.column(x).to_numpy() for x in ("node", "component", "n", "side"))
+
+        def pairs():
+            for i, j in close_pairs(fps, group, side, SMALL_RADIUS, asks):
+                ok = (component[i] != component[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
+                i, j = i[ok], j[ok]
+                apart = np.bitwise_count(fps[i] ^ fps[j]).sum(1, dtype=np.int64)
+                ok = apart <= np.where(np.minimum(size[i], size[j]) < LARGE, SMALL_RADIUS, SET_RADIUS)
+                yield i[ok], j[ok], apart[ok] <= SET_CLOSE
+
+        def batch(i, j, score):
+            return pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), pa.array(score)], names=["a", "b", "score"])
+
+        if every:
+            yield from (batch(i, j, np.zeros(len(i), np.int64)) for i, j, _ in pairs())
+            return
+        n = len(node)
+        degree, best = np.zeros(n, np.int64), np.full(n, -1)
+        for i, j, close in pairs():
+            degree += np.bincount(i[close], minlength=n) + np.bincount(j[close], minlength=n)
+        for i, j, _ in pairs():
+            np.maximum.at(best, i, degree[j] * n + n - 1 - j)
+            np.maximum.at(best, j, degree[i] * n + n - 1 - i)
+        own = np.flatnonzero((best >= 0) & asks)
+        yield batch(own, n - 1 - best[own] % n, best[own] // n)
+
+    return _by_bucket(("gram", "lo", "hi"), made)
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Per row: id, tie (a hash of the text), component_id (the smallest id that links of texts with that Jaccard
+    similarity of their shingles or more reach, itself included), component_tie (the smallest hash of a text with
+    that id in the group).
+
+    Sets that similar share a shingle of their prefixes, so equal shingles there bring candidates together. Within
+    such a bucket their SimHashes are compared as bit planes, and what is within the radius is verified on the
+    whole sets. Each node is first verified with the neighbour that has most others close by, in the bucket of its
+    smallest shingle, then in all; at last all pairs of a bucket that are still in different components are. Words are what ASCII white space separates,
+    without the case of A-Z. Texts without words are linked to each other alone; texts may be of any length. Null
+    ids get a component but name none. An empty table gives an empty result. Shingles and sets of equal 64-bit
+    hashes count as equal."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    nodes = checkpointed(rows.mapInArrow(set_nodes(words), "id bigint, tie bigint, node bigint"))
+    pages = spark.sparkContext.broadcast(repeated_slots(rows, prefix_keys(words, similarity)))  # its size has a fixed bound
+    fields = ["n", *[f"f{k}" for k in range(FP_WORDS)]]
+    found = rows.mapInArrow(prefix_rows(words, similarity, pages), "gram bigint, node bigint, " + ", ".join(f"{f} bigint" for f in fields))
+    prefix = found.groupBy("gram", "node").agg(*[F.min(f).alias(f) for f in fields])  # equal sets are one node
+    met = prefix.groupBy("gram").agg(F.count("*").alias("many")).filter("many > 1").select("gram")
+    there = checkpointed(prefix.join(met, "gram"))
+    links = None
+    placed = there.withColumn("component", F.col("node"))
+    for smallest, every in ((True, False), (False, False), (False, True)):
+        if smallest:
+            placed_in = placed.join(placed.groupBy("node").agg(F.min("gram").alias("gram")), ["node", "gram"])
+        else:
+            placed_in = placed.join(placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram"), "gram")
+        pairs = _dealt(placed_in, ("gram",), "node").mapInArrow(_set_pairs(similarity, every), "a bigint, b bigint, score bigint")
+        if not every:
+            pairs = pairs.groupBy("a").agg(F.max_by("b", "score").alias("b"))
+        pairs = checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        both = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = spark.sparkContext.broadcast(repeated_slots(both, twice))
+        sets = rows.mapInArrow(whole_sets(words, wanted), "node bigint, grams binary").join(both.hint("shuffle_hash"), "node").groupBy("node").agg(F.first("grams").alias("grams"))
+        for side, name in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("grams").alias(name)), side)
+        new = checkpointed(pairs.select("a", "b", "x", "y").mapInArrow(similar_sets(similarity), "a bigint, b bigint"))
+        links = new if links is None else links.union(new)
+        groups = connected_components(links, "a", "b")
+        placed = there.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    names = named.groupBy("component").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "tie"))).alias("least"))
+    return named.join(names, "component").select(F.col("id").alias(id_col), "tie", F.col("least.id").alias("component_id"), F.col("least.tie").alias("component_tie"))

@@ -108,7 +108,7 @@ def test_bit_sliced_comparison_finds_every_pair():
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     fps = np.concatenate([base] + [base ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (k, 40)).astype(np.uint64), axis=0) for k in range(1, 9)])
     group = np.sort(rng.integers(0, 3, len(fps)))
-    for radius in (0, 1, 4, 6):
+    for radius in (0, 1, 4, 6, 7, 20, 31):
         got = {(int(a), int(b)) for i, j in simhash.close_pairs(fps, group, np.zeros(len(fps), np.int64), radius) for a, b in zip(i, j, strict=True)}
         assert got == {(a, b) for a in range(len(fps)) for b in range(a + 1, len(fps)) if group[a] == group[b] and int(fps[a] ^ fps[b]).bit_count() <= radius}
 

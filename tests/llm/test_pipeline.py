@@ -7,6 +7,7 @@ from keyloom.llm import quality_crf
 from pyspark.sql import functions as F
 
 from . import plain
+from .test_shingles import similar
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +34,7 @@ def test_stages(spark):
 
     before, now = rows(now), stage["near_duplicates"](spark, now, SF)
     assert now.columns == columns
-    assert rows(now) == {i: before[i] for i, _, c in plain.simhashed(list(before.items())) if c == i}
+    assert rows(now) == {i: before[i] for i, c in similar(list(before.items())) if c == i}
 
     before, now = rows(now), stage["benchmark"](spark, now, SF)
     assert now.columns == columns

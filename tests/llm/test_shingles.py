@@ -6,7 +6,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from keyloom.llm import shingle_join
+from keyloom.llm import simhash
 
 from . import plain
 
@@ -43,15 +43,15 @@ def test_near_duplicates_of_the_pipeline_are_all_that_brute_force_finds(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()]
     want = similar(rows)
-    got = shingle_join.similar_groups(docs)
+    got = simhash.similar_groups(docs)
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == want
     kept = corpus_pipeline.near_duplicates(spark, docs, SF)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [i for i, c in want if i == c]
 
 
-@pytest.mark.parametrize("frequent", [100, 1])
-def test_similar_groups_of_edited_texts(spark, monkeypatch, frequent):
-    monkeypatch.setattr(shingle_join, "FREQUENT", frequent)
+@pytest.mark.parametrize("part", [4096, 7])
+def test_similar_groups_of_edited_texts(spark, monkeypatch, part):
+    monkeypatch.setattr(simhash, "PART", part)  # 7: buckets are cut into parts
     rng = np.random.default_rng(6)
     vocabulary, rows = [f"w{i}" for i in range(400)], [(1, ""), (2, " \n"), (3, "one"), (4, "One"), (5, "one two")]
     passage = [str(x) for x in rng.choice(vocabulary, 30)]
@@ -62,7 +62,7 @@ def test_similar_groups_of_edited_texts(spark, monkeypatch, frequent):
             for p in rng.integers(0, len(w), int(rng.integers(0, 4))).tolist():
                 w[p] = str(rng.choice(vocabulary))
             rows.append((100 + 10 * k + e, " ".join(w)))
-    got = shingle_join.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    got = simhash.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == similar(rows)
 
 
