@@ -20,6 +20,11 @@ BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 WORD_BASES = (0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
+def _only_local(sc) -> None:
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
@@ -27,6 +32,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     sc = spark.sparkContext
     top = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not top:
+        _only_local(sc)
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
         top = sc.getCheckpointDir()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -36,6 +42,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: lineage ends there and lost executors cost nothing."""
     sc = df.sparkSession.sparkContext
     if not (sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()):
+        _only_local(sc)
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
 
@@ -124,11 +131,16 @@ def word_spans(flat: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple
 
 
 def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A mixed 64-bit hash of each byte span; a function of its bytes alone."""
-    up, down = powers(BYTE_BASE, len(flat) + 1)
+    """A mixed 64-bit hash of each byte span; a function of its bytes alone. Every byte is mixed with its place, so
+    that no algebra of the places makes spans collide, and with the seed, so that two seeds are independent."""
     total = np.zeros(len(flat) + 1, dtype=np.uint64)
-    np.cumsum((flat.astype(np.uint64) + _U(1 + seed)) * up[: len(flat)], out=total[1:])
-    return fmix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    size = ends - starts
+    at = np.arange(int(size.sum())) + np.repeat(starts - (np.cumsum(size) - size), size)  # the bytes inside spans
+    place = (at - np.repeat(starts, size)).astype(np.uint64)
+    mixed = np.zeros(len(flat), dtype=np.uint64)
+    mixed[at] = fmix(place * _U(512) + flat[at] + _U((seed * 0xD6E8FEB86659FD93 + 1) & 0xFFFFFFFFFFFFFFFF))
+    np.cumsum(mixed, out=total[1:])
+    return fmix(total[ends] - total[starts] + size.astype(np.uint64))
 
 
 def window_hashes(words: np.ndarray, k: int, base: int) -> np.ndarray:

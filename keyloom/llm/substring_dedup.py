@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BASES, bounded_batches, flat_bytes, fmix, powers, slices, sliding_argmin, span_hashes, window_hashes, word_spans
+from .common import WORD_BASES, bounded_batches, flat_bytes, fmix, slices, sliding_argmin, span_hashes, window_hashes, word_spans
 from .sketch import SKETCH_BITS, Repeated, repeated_slots
 
 _U = np.uint64
@@ -42,10 +42,11 @@ class Windows:
         return window_hashes(self.words[which], size, WORD_BASES[which])
 
     def span_hash(self, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
-        up, down = powers(WORD_BASES[which], len(self.row) + 1)
-        total = np.zeros(len(self.row) + 1, _U)
-        np.cumsum(self.words[which] * up[: len(self.row)], out=total[1:])
-        return fmix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+        """Hashes of runs of words, each word mixed with its place in the run."""
+        size = end - start
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        mixed = fmix(self.words[which][place + np.repeat(start, size)] + place.astype(_U) * _U(WORD_BASES[which]))
+        return fmix(np.add.reduceat(mixed, np.cumsum(size) - size) + size.astype(_U))
 
 
 def _keys(window: int):
@@ -69,7 +70,7 @@ def _runs(window: int, bits: int, pages: dict[int, bytes]):
 
     def run(batches):
         repeated = Repeated(pages, bits)
-        kind = pa.schema([("id", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("size", pa.int32()), ("starts", pa.list_(pa.int32())), ("windows", pa.binary())])
+        kind = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("size", pa.int32()), ("starts", pa.list_(pa.int32())), ("windows", pa.binary())])
         for b in slices(batches, "text"):
             w = Windows(b, window)
             if not len(w.at):
@@ -89,16 +90,16 @@ def _runs(window: int, bits: int, pages: dict[int, bytes]):
             pair = np.stack([w.hashes(window, 0), w.hashes(window, 1)], 1)
             at = np.flatnonzero(lead)
             raw = [pair[s : s + n].tobytes() for s, n in zip(start[at].tolist(), size[at].tolist(), strict=True)]
-            ids = b.column("id").take(pa.array(row[at]))
+            ids = [b.column(c).take(pa.array(row[at])) for c in ("id", "tie")]
             places = pa.ListArray.from_arrays(pa.array(np.concatenate([at, [len(own)]]).astype(np.int32)), pa.array(own))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(r1[at].view(np.int64)), pa.array(r2[at].view(np.int64)), pa.array(size[at].astype(np.int32)), places, pa.array(raw, pa.binary())], schema=kind)
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(r1[at].view(np.int64)), pa.array(r2[at].view(np.int64)), pa.array(size[at].astype(np.int32)), places, pa.array(raw, pa.binary())], schema=kind)
 
     return run
 
 
 def _single_windows(batches):
     """Runs taken apart: a row a distinct window of the run, with all its starts in the document."""
-    kind = pa.schema([("id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("starts", pa.list_(pa.int32()))])
+    kind = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("starts", pa.list_(pa.int32()))])
     for b in batches:
         if not b.num_rows:
             continue
@@ -106,7 +107,7 @@ def _single_windows(batches):
         raw = np.frombuffer(b"".join(b.column("windows").to_pylist()), "<i8").reshape(-1, 2)
         row = np.repeat(np.arange(len(size)), size)
         off = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        ids = b.column("id").take(pa.array(row))
+        ids = [b.column(c).take(pa.array(row)) for c in ("id", "tie")]
         places = b.column("starts")
         lens = np.diff(np.asarray(places.offsets))
         flat = np.asarray(places.flatten())
@@ -115,7 +116,7 @@ def _single_windows(batches):
         else:
             lists = places.to_pylist()
             own = pa.array([[p + o for p in lists[r]] for r, o in zip(row.tolist(), off.tolist(), strict=True)], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(raw[:, 0]), pa.array(raw[:, 1]), own], schema=kind)
+        yield pa.RecordBatch.from_arrays([*ids, pa.array(raw[:, 0]), pa.array(raw[:, 1]), own], schema=kind)
 
 
 def _kept(window: int):
@@ -152,26 +153,28 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Words are what ASCII white space separates. A word goes if a window that covers it also starts in a row
     with a smaller id; windows are judged on the input. Null texts have no words. Rows of equal id do not count
-    as smaller, so repeated rows of one id stay; rows of null id have no order and stay whole. Tables that are
-    empty, and texts of fewer words than a window, lose nothing."""
+    as smaller, so repeated rows of one id stay, and each of its texts is judged by itself; rows of null id have no
+    order and stay whole. Tables that are empty, and texts of fewer words than a window, lose nothing; texts may be
+    of any length. Ids are cast to bigint. Runs and windows whose two 64-bit hashes are equal count as equal."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     ordered = rows.filter("id is not null")
     pages = spark.sparkContext.broadcast(repeated_slots(ordered, _keys(window), sketch_bits))  # its size has a fixed bound
 
     def runs(batches):
         yield from _runs(window, sketch_bits, pages.value)(batches)
 
-    found = ordered.mapInArrow(runs, "id bigint, r1 bigint, r2 bigint, size int, starts array<int>, windows binary")
+    found = ordered.mapInArrow(runs, "id bigint, tie bigint, r1 bigint, r2 bigint, size int, starts array<int>, windows binary")
     least = found.groupBy("r1", "r2").agg(F.min("id").alias("least"))
     placed = found.join(least, ["r1", "r2"])
-    later = placed.filter("id > least").select("id", "size", "starts")
+    later = placed.filter("id > least").select("id", "tie", "size", "starts")
     # a run's first holder: do its windows, one by one, start in a smaller document that has no such run?
-    single = placed.filter("id = least").select("id", "size", "starts", "windows").mapInArrow(_single_windows, "id bigint, h1 bigint, h2 bigint, starts array<int>")
+    single = placed.filter("id = least").select("id", "tie", "size", "starts", "windows").mapInArrow(_single_windows, "id bigint, tie bigint, h1 bigint, h2 bigint, starts array<int>")
     first = single.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("h1", "h2", "least")
-    alone = single.join(first, ["h1", "h2"]).filter("id > least").select("id", F.lit(1).alias("size"), "starts")
-    spans = later.union(alone).groupBy("id").agg(F.collect_list(F.struct("size", "starts")).alias("spans"))
-    whole = rows.join(spans.hint("shuffle_hash"), "id", "left")
+    alone = single.join(first, ["h1", "h2"]).filter("id > least").select("id", "tie", F.lit(1).alias("size"), "starts")
+    spans = later.union(alone).distinct().groupBy("id", "tie").agg(F.collect_list(F.struct("size", "starts")).alias("spans"))
+    whole = rows.join(spans.hint("shuffle_hash"), ["id", "tie"], "left").select("id", "text", "spans")
     kind = "id bigint, n_words bigint, n_removed bigint, kept string"
     return whole.mapInArrow(_kept(window), kind).withColumnRenamed("id", id_col)
