@@ -18,6 +18,8 @@ from .common import bounded_batches, flat_bytes, slices, span_hashes, word_spans
 
 #: Labelled documents that the model is fitted on at most (those with the smallest hashes of their ids).
 TRAIN_DOCS = 3000
+#: Lines of a document in that sample at most: longer ones are left out of it (features take 160 bytes a line).
+TRAIN_LINES = 500
 #: Steps and step size of the fit, and the weight of the squared parameters.
 STEPS, RATE, PENALTY = 150, 0.05, 1e-4
 
@@ -181,15 +183,18 @@ def _remainder(id_col: str) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", limit: int = TRAIN_DOCS) -> LineCRF:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", limit: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> LineCRF:
     """Fit on at most `limit` labelled documents for which crc32(id) mod 3 is not 1, whole texts each. Features
-    are made where the rows are; the driver gets those of the sample alone. Ids with several labels take the
-    smallest; null ids, null labels and other labels than 0 and 1 are left out."""
+    are made where the rows are; the driver gets those of the sample alone, at most `limit` times `max_lines` lines
+    of 160 bytes, as documents of more lines are left out of the sample. Ids with several labels take the smallest,
+    those on several rows the smallest text; null ids, null labels and other labels than 0 and 1 are left out. An
+    empty table, of documents or of labels, gives a model that scores every text 0.5."""
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(0, 1) & (_remainder(id_col) != 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(limit)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    chosen = rows.join(F.broadcast(sample), "id").select("id", "label", "text")  # at most `limit` rows
+    chosen = rows.filter(F.size(F.split("text", "\n")) <= max_lines).join(F.broadcast(sample), "id")  # the sample has at most `limit` rows
+    chosen = chosen.groupBy("id").agg(F.first("label").alias("label"), F.min("text").alias("text")).select("id", "label", "text")
 
     def features(batches):
         for b in slices(batches, "text"):
