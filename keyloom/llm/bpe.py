@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
+from collections import ChainMap
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -24,8 +26,10 @@ NONE = np.int32(0x7FFFFFFF)
 _EMPTY = np.int64(-1)
 #: Cells (rows times length) of a matrix at most, and encoded pre-tokens that a worker remembers.
 CELLS, MEMO = 1 << 20, 400_000
-#: From this length on, a round merges every occurrence of a row's lowest pair, not the leftmost alone.
+#: From this length on, a row is merged by itself with a heap: in a matrix each merge would move the whole row.
 LONG = 256
+#: Pre-tokens of so many characters or more are not remembered, so that what a worker remembers has a bound.
+REMEMBERED = 200
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,10 +62,6 @@ class PairTable:
             self.keys[first], self.vals[first] = keys[take], vals[take]
             left_over = np.setdiff1d(left_over, take, assume_unique=True)
             at[left_over] = (at[left_over] + 1) & ((1 << self.bits) - 1)
-        #: By id: True if no join of that token with another has a lower id than the token itself.
-        self.rising = np.ones(max(ranks.values(), default=0) + 1, bool)
-        for part in (keys >> 32, keys & 0xFFFFFFFF):
-            self.rising[part[vals < part]] = False
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -127,25 +127,35 @@ class ByteBPE:
         return done
 
     def _long(self, piece: bytes) -> np.ndarray:
-        """One long row. All occurrences of the lowest pair are merged in a round where that gives what one by
-        one would: where no join with the new token has a lower id than the token, so that no new pair comes
-        before an old one. Otherwise the leftmost alone is merged."""
-        m = self.byte_ids[np.frombuffer(piece, np.uint8)].copy()
-        rank = self.table.find(m[:-1], m[1:])
-        while len(rank) and (low := rank.min()) != NONE:
-            at = np.flatnonzero(rank == low)
-            if self.table.rising[low]:
-                lead = np.concatenate([[True], np.diff(at) > 1])
-                run = np.arange(len(at)) - np.flatnonzero(lead)[np.cumsum(lead) - 1]
-                at = at[run % 2 == 0]  # of overlapping pairs, those that merging from the left takes
-            else:
-                at = at[:1]
-            m[at] = low
-            keep = np.ones(len(m), bool)
-            keep[at + 1] = False
-            m = m[keep]
-            rank = self.table.find(m[:-1], m[1:])
-        return m
+        """One long row by itself: the pairs wait in a heap by rank and place, so that each merge looks at its two
+        neighbours alone, and a row of n bytes takes n log n steps."""
+        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, r in enumerate(self.table.find(np.array(ids[:-1]), np.array(ids[1:])).tolist()) if r != NONE]
+        heapify(heap)
+        get = self.joined.get
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j >= n or get((ids[i], ids[j])) != rank:
+                continue  # one of the pair has been merged since
+            ids[i], ids[j] = rank, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := get((rank, ids[k]))) is not None:
+                    heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := get((ids[h], rank))) is not None:
+                heappush(heap, (r, h))
+        return np.array([x for x in ids if x >= 0], np.int32)
+
+    @cached_property
+    def joined(self) -> dict[tuple[int, int], int]:
+        """(left id, right id) -> id of the joined token, for single look-ups."""
+        full = self.table.keys != _EMPTY
+        keys = self.table.keys[full]
+        return dict(zip(zip((keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist(), strict=True), self.table.vals[full].tolist(), strict=True))
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece; a piece that is itself a token is that token."""
@@ -174,9 +184,10 @@ class ByteBPE:
         if len(self.seen) > MEMO:  # the first half has the most frequent pieces, as they come early
             self.seen = dict(islice(self.seen.items(), MEMO // 2))
         new = list(set().union(*split) - self.seen.keys())
+        long: dict[str, bytes] = {}
         for piece, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
-            self.seen[piece] = ids.tobytes()
-        get = self.seen.__getitem__
+            (self.seen if len(piece) < REMEMBERED else long)[piece] = ids.tobytes()
+        get = (ChainMap(self.seen, long) if long else self.seen).__getitem__
         return [np.frombuffer(b"".join(map(get, pieces)), np.int32) for pieces in split]
 
     def decode(self, ids: list[int]) -> bytes:
