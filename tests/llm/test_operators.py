@@ -59,6 +59,18 @@ def test_substring_dedup(spark):
     same(rows_of(queries.op3_substring_dedup(spark, SF), "doc_id", "n_words", "n_removed", "kept_sha256"), plain.without_windows(DOCS))
 
 
+def test_substring_dedup_tells_apart_what_is_not_equal(spark):
+    a, b = "a", "b"
+    for _ in range(10):  # words on which polynomial hashes modulo a power of two collide
+        a, b = a + b, b + a
+    words = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([*words, a])), (2, " ".join([*words, b])), (3, " ".join(words + words)), (3, "w1 w2"), (4, " ".join(words + words))]
+    # whole runs of two words in the same pattern
+    rows += [(5, " ".join({"a": "x", "b": "y"}[c] for c in a + b)), (6, " ".join({"a": "x", "b": "y"}[c] for c in b + a))]
+    df = substring_dedup.dedup_windows(table(spark, rows)).withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256))
+    same(rows_of(df, "doc_id", "n_words", "n_removed", "kept_sha256"), plain.without_windows(rows))
+
+
 def test_suffix_dedup(spark):
     def digests(df):
         return rows_of(df.withColumn("kept_sha256", F.sha2("kept", 256)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -261,6 +273,12 @@ def test_byte_bpe(spark):
         assert bytes(r.decoded).decode() in {t or "" for _, t in plain.ROWS}
 
 
+def test_long_pieces(spark):
+    rng = np.random.default_rng(8)
+    rows = [(1, "".join(rng.choice(list("acgt"), 60000))), (2, "".join(rng.choice(list("abcdefghij"), 3000))), (3, "ab" * 5000), (4, "a" * 9999)]
+    same(rows_of(bpe.bpe_digests(table(spark, rows)), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"), plain.byte_bpe(rows))
+
+
 def test_forward_backward_sums_over_all_paths():
     rng = np.random.default_rng(6)
     first, trans = np.array([0, 1, 5, 8]), rng.normal(size=(2, 2))
@@ -290,6 +308,17 @@ def test_quality(spark):
     assert len(out) == len(plain.ROWS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
     none = quality_crf.classify(docs, quality_crf.train(docs, labels.limit(0)))
     assert none.count() == len(plain.ROWS)
+    empty = docs.limit(0)
+    assert quality_crf.classify(empty, quality_crf.train(empty, labels)).count() == 0
+    often = spark.createDataFrame([(7, f"text {i}\nof this id") for i in range(500)] + [(8, "line\n" * 600), (9, "other")], "doc_id bigint, text string")
+    two = spark.createDataFrame([(7, 1), (8, 0), (9, 0), (10, 0)], "doc_id bigint, quality int")
+    seen = []
+    fit, quality_crf.fit = quality_crf.fit, lambda x, size, first, label: seen.append(len(label)) or fit(x, size, first, label)
+    try:
+        quality_crf.train(often, two)
+    finally:
+        quality_crf.fit = fit
+    assert seen[0] <= 2  # a row an id, and none for the document of 600 lines
 
 
 def test_quality_learns_from_no_held_out_row(spark):
