@@ -63,11 +63,13 @@ class Shingles:
 
 
 def set_nodes(words: int):
-    """(id, tie, node) of every row: equal sets have equal nodes."""
+    """(id, tie, node, n, f0, f1, ...) of every row: equal sets have equal nodes, sizes n and fingerprints."""
 
     def run(batches):
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tie"), pa.array(Shingles(b, words).node)], names=["id", "tie", "node"])
+            s = Shingles(b, words)
+            fps = np.array([s.fingerprint(r) for r in range(len(s.n))], np.int64).reshape(-1, FP_WORDS)
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tie"), pa.array(s.node), pa.array(s.n), *[pa.array(fps[:, k]) for k in range(FP_WORDS)]], names=["id", "tie", "node", "n", *[f"f{k}" for k in range(FP_WORDS)]])
 
     return run
 
@@ -84,8 +86,7 @@ def prefix_keys(words: int, similarity: float):
 
 
 def prefix_rows(words: int, similarity: float, pages):
-    """(gram, node, n, f0, f1): a row a shingle of a prefix that the sketch has as repeated, with the size and the
-    fingerprint of the whole set."""
+    """(gram, node): a row a shingle of a prefix that the sketch has as repeated."""
 
     def run(batches):
         repeated = Repeated(pages.value)
@@ -93,10 +94,7 @@ def prefix_rows(words: int, similarity: float, pages):
             s = Shingles(b, words)
             at = s.prefix(similarity)
             at = at[repeated(s.gram[at])]
-            row = s.row[at]
-            have, index = np.unique(row, return_inverse=True)
-            fps = np.array([s.fingerprint(r) for r in have.tolist()], np.int64).reshape(-1, FP_WORDS)
-            yield pa.RecordBatch.from_arrays([pa.array(s.gram[at].view(np.int64)), pa.array(s.node[row]), pa.array(s.n[row]), *[pa.array(fps[index, k]) for k in range(FP_WORDS)]], names=["gram", "node", "n", *[f"f{k}" for k in range(FP_WORDS)]])
+            yield pa.RecordBatch.from_arrays([pa.array(s.gram[at].view(np.int64)), pa.array(s.node[s.row[at]])], names=["gram", "node"])
 
     return run
 

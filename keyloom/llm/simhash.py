@@ -304,11 +304,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bounded_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    nodes = checkpointed(rows.mapInArrow(set_nodes(words), "id bigint, tie bigint, node bigint"))
-    pages = spark.sparkContext.broadcast(repeated_slots(rows, prefix_keys(words, similarity)))  # its size has a fixed bound
     fields = ["n", *[f"f{k}" for k in range(FP_WORDS)]]
-    found = rows.mapInArrow(prefix_rows(words, similarity, pages), "gram bigint, node bigint, " + ", ".join(f"{f} bigint" for f in fields))
-    prefix = found.groupBy("gram", "node").agg(*[F.min(f).alias(f) for f in fields])  # equal sets are one node
+    nodes = checkpointed(rows.mapInArrow(set_nodes(words), "id bigint, tie bigint, node bigint, " + ", ".join(f"{f} bigint" for f in fields)))
+    prints = nodes.groupBy("node").agg(*[F.min(f).alias(f) for f in fields])
+    pages = spark.sparkContext.broadcast(repeated_slots(rows, prefix_keys(words, similarity)))  # its size has a fixed bound
+    prefix = rows.mapInArrow(prefix_rows(words, similarity, pages), "gram bigint, node bigint").distinct()  # equal sets are one node
     met = prefix.groupBy("gram").agg(F.count("*").alias("many")).filter("many > 1").select("gram")
     there = checkpointed(prefix.join(met, "gram"))
     links = None
@@ -318,7 +318,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             placed_in = placed.join(placed.groupBy("node").agg(F.min("gram").alias("gram")), ["node", "gram"])
         else:
             placed_in = placed.join(placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram"), "gram")
-        pairs = _dealt(placed_in, ("gram",), "node").mapInArrow(_set_pairs(similarity, every), "a bigint, b bigint, score bigint")
+        pairs = _dealt(placed_in.join(prints, "node"), ("gram",), "node").mapInArrow(_set_pairs(similarity, every), "a bigint, b bigint, score bigint")
         if not every:
             pairs = pairs.groupBy("a").agg(F.max_by("b", "score").alias("b"))
         pairs = checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -331,6 +331,6 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = new if links is None else links.union(new)
         groups = connected_components(links, "a", "b")
         placed = there.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.select("id", "tie", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "tie"))).alias("least"))
     return named.join(names, "component").select(F.col("id").alias(id_col), "tie", F.col("least.id").alias("component_id"), F.col("least.tie").alias("component_tie"))
