@@ -4,8 +4,9 @@ First pass: every window of `window` words is counted under its key, the smalles
 half its length (equal windows have equal keys), in count-min sketches; the partitions' sketches are added up.
 A sketch only overestimates, so a window that it counts once occurs in one document and needs no grouping.
 Second pass: the other windows are grouped exactly, by 128-bit hashes of their words. Neighbouring windows
-with the same key travel as one run: runs are grouped first, and only one occurrence of every distinct run is
-taken apart into its windows, which are grouped again."""
+with the same key travel as one run: runs are grouped first. Where a key has different runs, as a second sketch
+of the distinct runs' keys tells without missing any, one occurrence of each is taken apart into its windows,
+which are grouped again; a key's only run has windows that no other run has."""
 
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BASES, bounded_batches, flat_bytes, fmix, slices, sliding_argmin, span_hashes, window_hashes, word_spans
+from .common import WORD_BASES, bounded_batches, checkpointed, flat_bytes, fmix, slices, sliding_argmin, span_hashes, window_hashes, word_spans
 from .sketch import SKETCH_BITS, Repeated, repeated_slots
 
 _U = np.uint64
@@ -65,34 +66,44 @@ def _keys(window: int):
     return run
 
 
-def _runs(window: int, bits: int, pages: dict[int, bytes]):
-    """The second pass over the texts: runs of neighbouring windows that have the same, repeated key."""
+def _key_column(batches):
+    """Arrays of the keys of distinct runs."""
+    for b in batches:
+        yield b.column("key").to_numpy().view(_U)
+
+
+def _runs(window: int, bits: int, pages: dict[int, bytes], mixed: dict[int, bytes] | None = None):
+    """The second pass over the texts: runs of neighbouring windows that have the same, repeated key. With the
+    slots of keys of different runs (mixed), only theirs, with the hashes of their windows."""
+    ids = [("id", pa.int64()), ("tie", pa.int64()), ("key", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("size", pa.int32()), ("starts", pa.list_(pa.int32()))]
+    kind = pa.schema(ids if mixed is None else [*ids, ("windows", pa.binary())])
 
     def run(batches):
-        repeated = Repeated(pages, bits)
-        kind = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("size", pa.int32()), ("starts", pa.list_(pa.int32())), ("windows", pa.binary())])
+        tests = [Repeated(p, bits) for p in (pages, mixed) if p is not None]
         for b in slices(batches, "text"):
             w = Windows(b, window)
             if not len(w.at):
                 continue
             new = np.flatnonzero(np.concatenate([[True], (np.diff(w.chosen) != 0) | (np.diff(w.at) != 1)]))
             size = np.diff(np.concatenate([new, [len(w.at)]]))
-            ok = repeated(w.key[new])
+            ok = np.logical_and.reduce([t(w.key[new]) for t in tests])
             new, size = new[ok], size[ok]
             if not len(new):
                 continue
-            start, row = w.at[new], w.row[w.at[new]]
+            start, row, key = w.at[new], w.row[w.at[new]], w.key[new]
             r1, r2 = (w.span_hash(start, start + size + window - 1, k) for k in (0, 1))
             order = np.lexsort((start, r2, r1, row))
-            start, size, row, r1, r2 = (x[order] for x in (start, size, row, r1, r2))
+            start, size, row, key, r1, r2 = (x[order] for x in (start, size, row, key, r1, r2))
             lead = np.concatenate([[True], (np.diff(row) != 0) | (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])])
             own = (start - w.first[row]).astype(np.int32)  # places within the document
-            pair = np.stack([w.hashes(window, 0), w.hashes(window, 1)], 1)
             at = np.flatnonzero(lead)
-            raw = [pair[s : s + n].tobytes() for s, n in zip(start[at].tolist(), size[at].tolist(), strict=True)]
-            ids = [b.column(c).take(pa.array(row[at])) for c in ("id", "tie")]
-            places = pa.ListArray.from_arrays(pa.array(np.concatenate([at, [len(own)]]).astype(np.int32)), pa.array(own))
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(r1[at].view(np.int64)), pa.array(r2[at].view(np.int64)), pa.array(size[at].astype(np.int32)), places, pa.array(raw, pa.binary())], schema=kind)
+            columns = [b.column(c).take(pa.array(row[at])) for c in ("id", "tie")]
+            columns += [pa.array(x[at].view(np.int64)) for x in (key, r1, r2)]
+            columns += [pa.array(size[at].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.concatenate([at, [len(own)]]).astype(np.int32)), pa.array(own))]
+            if mixed is not None:
+                pair = np.stack([w.hashes(window, 0), w.hashes(window, 1)], 1)
+                columns.append(pa.array([pair[s : s + n].tobytes() for s, n in zip(start[at].tolist(), size[at].tolist(), strict=True)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, schema=kind)
 
     return run
 
@@ -163,15 +174,22 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ordered = rows.filter("id is not null")
     pages = spark.sparkContext.broadcast(repeated_slots(ordered, _keys(window), sketch_bits))  # its size has a fixed bound
 
+    fields = "id bigint, tie bigint, key bigint, r1 bigint, r2 bigint, size int, starts array<int>"
+
     def runs(batches):
         yield from _runs(window, sketch_bits, pages.value)(batches)
 
-    found = ordered.mapInArrow(runs, "id bigint, tie bigint, r1 bigint, r2 bigint, size int, starts array<int>, windows binary")
-    least = found.groupBy("r1", "r2").agg(F.min("id").alias("least"))
-    placed = found.join(least, ["r1", "r2"])
-    later = placed.filter("id > least").select("id", "tie", "size", "starts")
+    def mixed_runs(batches):
+        yield from _runs(window, sketch_bits, pages.value, mixed.value)(batches)
+
+    found = ordered.mapInArrow(runs, fields)
+    least = checkpointed(found.groupBy("r1", "r2").agg(F.min("id").alias("least"), F.min("key").alias("key")))
+    mixed = spark.sparkContext.broadcast(repeated_slots(least.select("key"), _key_column, sketch_bits))  # as large as the other at most
+    least = least.drop("key")
+    later = found.join(least, ["r1", "r2"]).filter("id > least").select("id", "tie", "size", "starts")
     # a run's first holder: do its windows, one by one, start in a smaller document that has no such run?
-    single = placed.filter("id = least").select("id", "tie", "size", "starts", "windows").mapInArrow(_single_windows, "id bigint, tie bigint, h1 bigint, h2 bigint, starts array<int>")
+    firsts = ordered.mapInArrow(mixed_runs, fields + ", windows binary").join(least, ["r1", "r2"]).filter("id = least")
+    single = firsts.select("id", "tie", "size", "starts", "windows").mapInArrow(_single_windows, "id bigint, tie bigint, h1 bigint, h2 bigint, starts array<int>")
     first = single.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("h1", "h2", "least")
     alone = single.join(first, ["h1", "h2"]).filter("id > least").select("id", "tie", F.lit(1).alias("size"), "starts")
     spans = later.union(alone).distinct().groupBy("id", "tie").agg(F.collect_list(F.struct("size", "starts")).alias("spans"))

@@ -3,6 +3,7 @@
 import itertools
 import tempfile
 from pathlib import Path
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,15 @@ def test_substring_dedup_tells_apart_what_is_not_equal(spark):
     same(rows_of(df, "doc_id", "n_words", "n_removed", "kept_sha256"), plain.without_windows(rows))
 
 
+def test_substring_dedup_of_runs_with_other_surroundings(spark):
+    random = Random(3)
+    parts = [" ".join(f"p{k}w{i}" for i in range(random.randrange(4, 30))) for k in range(8)]
+    rows = [(i, " ".join(random.choice(parts) if random.random() < 0.6 else f"own{i}x{j}" for j in range(12))) for i in range(60)]
+    for window in (5, 10):
+        df = substring_dedup.dedup_windows(table(spark, rows), window=window).withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256))
+        same(rows_of(df, "doc_id", "n_words", "n_removed", "kept_sha256"), plain.without_windows(rows, window))
+
+
 def test_suffix_dedup(spark):
     def digests(df):
         return rows_of(df.withColumn("kept_sha256", F.sha2("kept", 256)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
