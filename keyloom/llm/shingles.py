@@ -8,8 +8,8 @@ import pyarrow as pa
 from .common import WORD_BASES, flat_bytes, fmix, slices, span_hashes, window_hashes, word_spans
 from .sketch import Repeated
 
-#: 64-bit words of a set's fingerprint.
-FP_WORDS = 4
+#: 64-bit words of a set's fingerprint, and smallest shingles that travel beside it.
+FP_WORDS, LEADS = 4, 4
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -63,13 +63,17 @@ class Shingles:
 
 
 def set_nodes(words: int):
-    """(id, tie, node, n, f0, f1, ...) of every row: equal sets have equal nodes, sizes n and fingerprints."""
+    """(id, tie, node, n, f0, f1, ..., l0, l1, ...) of every row: equal sets have equal nodes, sizes n, fingerprints
+    and smallest shingles (the last one repeated where there are fewer, 0 without any)."""
 
     def run(batches):
         for b in slices(batches, "text"):
             s = Shingles(b, words)
             fps = np.array([s.fingerprint(r) for r in range(len(s.n))], np.int64).reshape(-1, FP_WORDS)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tie"), pa.array(s.node), pa.array(s.n), *[pa.array(fps[:, k]) for k in range(FP_WORDS)]], names=["id", "tie", "node", "n", *[f"f{k}" for k in range(FP_WORDS)]])
+            grams = np.concatenate([s.gram, np.zeros(1, _U)]).view(np.int64)
+            leads = [np.where(s.n > 0, grams[s.first[:-1] + np.clip(s.n - 1, 0, k)], 0) for k in range(LEADS)]
+            columns = [s.node, s.n, *[fps[:, k] for k in range(FP_WORDS)], *leads]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tie"), *map(pa.array, columns)], names=["id", "tie", "node", "n", *[f"f{k}" for k in range(FP_WORDS)], *[f"l{k}" for k in range(LEADS)]])
 
     return run
 
@@ -106,13 +110,14 @@ def twice(batches):
 
 
 def whole_sets(words: int, pages):
-    """The whole sets of the texts whose nodes are in the sketch."""
+    """The whole sets of the texts whose nodes are in the sketch; a task gives each node once."""
 
     def run(batches):
-        wanted = Repeated(pages.value)
+        wanted, given = Repeated(pages.value), set()
         for b in slices(batches, "text"):
             s = Shingles(b, words)
             rows = np.flatnonzero(wanted(s.node.view(_U)))
+            rows = np.array([r for r in rows.tolist() if not (s.node[r] in given or given.add(s.node[r]))], np.int64)
             raw = [s.gram[s.first[r] : s.first[r + 1]].tobytes() for r in rows.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(s.node[rows]), pa.array(raw, pa.binary())], names=["node", "grams"])
 

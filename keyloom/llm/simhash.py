@@ -17,17 +17,19 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, checkpointed, slices
 from .components import connected_components
-from .shingles import FP_WORDS, prefix_keys, prefix_rows, set_nodes, similar_sets, twice, whole_sets
+from .shingles import FP_WORDS, LEADS, prefix_keys, prefix_rows, set_nodes, similar_sets, twice, whole_sets
 from .sketch import repeated_slots
 
 #: Fingerprints of a bucket that are compared in one group; larger buckets are split into pairs of parts.
 PART = 4096
+#: Shingles of a bucket whose whole sets are compared in one group.
+PART_SHINGLES = 1 << 20
 #: Of the 256 bits of a set's fingerprint, those that sets of similarity 0.8 may differ in: ones of LARGE shingles or
 #: more differ in 0.152 of them on average, smaller ones in up to 3/16 (5 shingles against 4), and 4.5 standard
 #: deviations are added to that. Then the bits within which sets count as close to each other.
 LARGE, SET_RADIUS, SMALL_RADIUS, SET_CLOSE = 32, 65, 76, 44
-#: (query, word of 64) entries compared at once.
-ENTRIES = 1 << 16
+#: (query, word of 64) entries compared at once; different shingles and pairs of sets compared at once.
+ENTRIES, SHINGLE_BLOCK, PAIR_BLOCK = 1 << 16, 1 << 12, 1 << 14
 _U = np.uint64
 _ALL = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -200,10 +202,12 @@ def _by_bucket(keys: tuple[str, ...], made):
     return run
 
 
-def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
-    """Rows of buckets (equal keys) of two rows or more, sorted by bucket; buckets of over PART rows are cut into
-    parts, by a hash of `name`, and every pair of parts is a bucket of its own (lo, hi; side tells the parts)."""
-    full = keyed.groupBy(*keys).agg(F.count("*").alias("many")).filter("many > 1").select(*keys, F.ceil(F.col("many") / PART).cast("int").alias("parts"))
+def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str, whole: bool = False) -> DataFrame:
+    """Rows of buckets (equal keys) of two rows or more, sorted by bucket; buckets of over PART rows (or, where whole
+    sets travel, over PART_SHINGLES shingles, column n) are cut into parts, by a hash of `name`, and every pair of
+    parts is a bucket of its own (lo, hi; side tells the parts)."""
+    share = F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES) if whole else F.count("*") / PART
+    full = keyed.groupBy(*keys).agg(F.count("*").alias("many"), F.ceil(share).cast("int").alias("parts")).filter("many > 1").select(*keys, "parts")
     dealt = keyed.join(full, list(keys)).withColumn("part", F.expr(f"cast(pmod(xxhash64({name}), parts) as int)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other"), "side": F.expr("case when part = other then 0 when part < other then 1 else 2 end")})
@@ -241,12 +245,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return fps.join(by_fp, "fp", "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _set_pairs(similarity: float, every: bool):
-    """Pairs (a, b) of nodes in a bucket of different components, within the radius and of sizes that allow the
-    similarity: all of them, or for each node a the one that has most others close by (so many: score). Nodes of
-    a bucket's largest component are not compared with each other."""
+class _Bucket:
+    """Nodes of buckets, those first in each that ask: all but the ones of a bucket's largest component, which are
+    not compared with each other."""
 
-    def made(t, group):
+    def __init__(self, t, group, similarity: float):
         component = t.column("component").to_numpy()
         order = np.lexsort((component, group))
         c, g = component[order], group[order]
@@ -256,38 +259,112 @@ def _set_pairs(similarity: float, every: bool):
         np.maximum.at(largest, g[lead], many * len(lead) + np.arange(len(lead)))
         asks = component != c[lead][largest % len(lead)][group]
         asks |= (largest // len(lead) == 1)[group]  # each has a component of its own
-        t = t.take(pa.array(np.lexsort((~asks, group))))
-        asks = asks[np.lexsort((~asks, group))]
-        fps = np.stack([t.column(f"f{k}").to_numpy() for k in range(FP_WORDS)], 1).view(np.uint64)
-        node, component, size, side = (t.column(x).to_numpy() for x in ("node", "component", "n", "side"))
-
-        def pairs():
-            for i, j in close_pairs(fps, group, side, SMALL_RADIUS, asks):
-                ok = (component[i] != component[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
-                i, j = i[ok], j[ok]
-                apart = np.bitwise_count(fps[i] ^ fps[j]).sum(1, dtype=np.int64)
-                ok = apart <= np.where(np.minimum(size[i], size[j]) < LARGE, SMALL_RADIUS, SET_RADIUS)
-                yield i[ok], j[ok], apart[ok] <= SET_CLOSE
-
-        def batch(i, j, score):
-            return pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), pa.array(score)], names=["a", "b", "score"])
-
-        if every:
-            yield from (batch(i, j, np.zeros(len(i), np.int64)) for i, j, _ in pairs())
-            return
-        n = len(node)
+        order = np.lexsort((~asks, group))
+        self.t, self.asks, self.group, self.similarity = t.take(pa.array(order)), asks[order], group, similarity
+        self.fps = np.stack([self.t.column(f"f{k}").to_numpy() for k in range(FP_WORDS)], 1).view(np.uint64)
+        self.node, self.component, self.size, self.side = (self.t.column(x).to_numpy() for x in ("node", "component", "n", "side"))
+
+    def pairs(self):
+        """Pairs (i, j, distance) of different components, within the radius and of sizes that allow the similarity."""
+        for i, j in close_pairs(self.fps, self.group, self.side, SMALL_RADIUS, self.asks):
+            less, more = np.minimum(self.size[i], self.size[j]), np.maximum(self.size[i], self.size[j])
+            ok = (self.component[i] != self.component[j]) & (less >= self.similarity * more - 1e-9)
+            i, j, less = i[ok], j[ok], less[ok]
+            apart = np.bitwise_count(self.fps[i] ^ self.fps[j]).sum(1, dtype=np.int64)
+            ok = apart <= np.where(less < LARGE, SMALL_RADIUS, SET_RADIUS)
+            yield i[ok], j[ok], apart[ok]
+
+
+def _best_pairs(similarity: float):
+    """(a, b, score): for each node that asks, of its pairs the one with the node that has most others close by (so
+    many: score)."""
+
+    def made(t, group):
+        bucket = _Bucket(t, group, similarity)
+        n = len(bucket.node)
         degree, best = np.zeros(n, np.int64), np.full(n, -1)
-        for i, j, close in pairs():
+        for i, j, apart in bucket.pairs():
+            close = apart <= SET_CLOSE
             degree += np.bincount(i[close], minlength=n) + np.bincount(j[close], minlength=n)
-        for i, j, _ in pairs():
+        for i, j, _ in bucket.pairs():
             np.maximum.at(best, i, degree[j] * n + n - 1 - j)
             np.maximum.at(best, j, degree[i] * n + n - 1 - i)
-        own = np.flatnonzero((best >= 0) & asks)
-        yield batch(own, n - 1 - best[own] % n, best[own] // n)
+        own = np.flatnonzero((best >= 0) & bucket.asks)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.node[own]), pa.array(bucket.node[n - 1 - best[own] % n]), pa.array(best[own] // n)], names=["a", "b", "score"])
+
+    return _by_bucket(("gram", "lo", "hi"), made)
+
+
+def _paired(similarity: float, columns: list[str]):
+    """The nodes of a bucket that have a pair in it. A pair that shares one of both its LEADS smallest shingles is
+    looked at in the bucket of the smallest such, and in no later one."""
+
+    def made(t, group):
+        bucket = _Bucket(t, group, similarity)
+        gram = bucket.t.column("gram").to_numpy().view(np.uint64)
+        leads = np.stack([bucket.t.column(f"l{k}").to_numpy() for k in range(LEADS)], 1).view(np.uint64)
+        have = np.zeros(len(gram), bool)
+        for i, j, _ in bucket.pairs():
+            before = np.zeros(len(i), bool)
+            for x in range(LEADS):
+                same = np.logical_or.reduce([leads[i, x] == leads[j, y] for y in range(LEADS)])
+                before |= same & (leads[i, x] < gram[i])
+            have[i[~before]] = have[j[~before]] = True
+        yield from bucket.t.select(columns).take(pa.array(np.flatnonzero(have))).combine_chunks().to_batches()
+
+    return _by_bucket(("gram", "lo", "hi"), made)
+
+
+def _in_both(sets: pa.ChunkedArray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of each pair have in common: bits of the shingles that several sets have, a block
+    of them at a time."""
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    i, j = at[: len(i)], at[len(i) :]
+    raw = [np.frombuffer(x.as_buffer(), _U) for x in sets.take(pa.array(used))]
+    owner = np.repeat(np.arange(len(used)), [len(x) for x in raw])
+    _, gram, many = np.unique(np.concatenate([np.zeros(0, _U), *raw]), return_inverse=True, return_counts=True)
+    owner, gram = owner[many[gram] > 1], (np.cumsum(many > 1) - 1)[gram[many[gram] > 1]]
+    order = np.argsort(gram, kind="stable")
+    owner, gram = owner[order], gram[order]
+    both = np.zeros(len(i), np.int64)
+    for low in range(0, int(gram[-1]) + 1 if len(gram) else 0, SHINGLE_BLOCK):
+        lo, hi = np.searchsorted(gram, [low, low + SHINGLE_BLOCK])
+        bits = np.zeros((len(used), SHINGLE_BLOCK), bool)
+        bits[owner[lo:hi], gram[lo:hi] - low] = True
+        bits = np.packbits(bits, axis=1).view(np.uint64)
+        bits = bits[:, : -(-(int(gram[hi - 1]) - low + 1) // 64)]
+        for k in range(0, len(i), PAIR_BLOCK):
+            both[k : k + PAIR_BLOCK] += np.bitwise_count(bits[i[k : k + PAIR_BLOCK]] & bits[j[k : k + PAIR_BLOCK]]).sum(1, dtype=np.int64)
+    return both
+
+
+def _verified(similarity: float):
+    """Spanning links of a bucket's pairs whose whole sets (grams) have the similarity."""
+
+    def made(t, group):
+        bucket = _Bucket(t, group, similarity)
+        sets, size = bucket.t.column("grams"), bucket.size
+
+        def similar():
+            for i, j, _ in bucket.pairs():
+                for k in range(0, len(i), PAIR_BLOCK << 4):
+                    x, y = i[k : k + (PAIR_BLOCK << 4)], j[k : k + (PAIR_BLOCK << 4)]
+                    both = _in_both(sets, x, y)
+                    ok = both >= similarity * (size[x] + size[y] - both) - 1e-9
+                    yield x[ok], y[ok]
+
+        a, b = _spanning(t.num_rows, similar())
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.node[a]), pa.array(bucket.node[b])], names=["a", "b"])
 
     return _by_bucket(("gram", "lo", "hi"), made)
 
 
+def _sets_of(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, grams) of the given distinct nodes: the whole sets, from the texts."""
+    wanted = rows.sparkSession.sparkContext.broadcast(repeated_slots(nodes, twice))  # its size has a fixed bound
+    return rows.mapInArrow(whole_sets(words, wanted), "node bigint, grams binary").join(nodes.hint("shuffle_hash"), "node").groupBy("node").agg(F.first("grams").alias("grams"))
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Per row: id, tie (a hash of the text), component_id (the smallest id that links of texts with that Jaccard
     similarity of their shingles or more reach, itself included), component_tie (the smallest hash of a text with
@@ -296,41 +373,38 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Sets that similar share a shingle of their prefixes, so equal shingles there bring candidates together. Within
     such a bucket their SimHashes are compared as bit planes, and what is within the radius is verified on the
     whole sets. Each node is first verified with the neighbour that has most others close by, in the bucket of its
-    smallest shingle, then in all; at last all pairs of a bucket that are still in different components are. Words are what ASCII white space separates,
-    without the case of A-Z. Texts without words are linked to each other alone; texts may be of any length. Null
-    ids get a component but name none. An empty table gives an empty result. Shingles and sets of equal 64-bit
-    hashes count as equal."""
+    smallest shingle. Then every bucket with nodes of different components gets the whole sets of those that are
+    within the radius of another component's, and verifies all such pairs itself: it puts out links that connect
+    what is similar, never its pairs. Words are what ASCII white space separates, without the case of A-Z. Texts
+    without words are linked to each other alone; texts may be of any length. Null ids get a component but name
+    none. An empty table gives an empty result. Shingles and sets of equal 64-bit hashes count as equal."""
     spark = docs.sparkSession
     bounded_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    fields = ["n", *[f"f{k}" for k in range(FP_WORDS)]]
-    nodes = checkpointed(rows.mapInArrow(set_nodes(words), "id bigint, tie bigint, node bigint, " + ", ".join(f"{f} bigint" for f in fields)))
-    prints = nodes.groupBy("node").agg(*[F.min(f).alias(f) for f in fields])
+    fields, leads = ["n", *[f"f{k}" for k in range(FP_WORDS)]], [f"l{k}" for k in range(LEADS)]
+    nodes = checkpointed(rows.mapInArrow(set_nodes(words), "id bigint, tie bigint, node bigint, " + ", ".join(f"{f} bigint" for f in [*fields, *leads])))
+    prints = nodes.groupBy("node").agg(*[F.min(f).alias(f) for f in [*fields, *leads]])
     pages = spark.sparkContext.broadcast(repeated_slots(rows, prefix_keys(words, similarity)))  # its size has a fixed bound
     prefix = rows.mapInArrow(prefix_rows(words, similarity, pages), "gram bigint, node bigint").distinct()  # equal sets are one node
     met = prefix.groupBy("gram").agg(F.count("*").alias("many")).filter("many > 1").select("gram")
     there = checkpointed(prefix.join(met, "gram"))
-    links = None
-    placed = there.withColumn("component", F.col("node"))
-    for smallest, every in ((True, False), (False, False), (False, True)):
-        if smallest:
-            placed_in = placed.join(placed.groupBy("node").agg(F.min("gram").alias("gram")), ["node", "gram"])
-        else:
-            placed_in = placed.join(placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram"), "gram")
-        pairs = _dealt(placed_in.join(prints, "node"), ("gram",), "node").mapInArrow(_set_pairs(similarity, every), "a bigint, b bigint, score bigint")
-        if not every:
-            pairs = pairs.groupBy("a").agg(F.max_by("b", "score").alias("b"))
-        pairs = checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        both = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = spark.sparkContext.broadcast(repeated_slots(both, twice))
-        sets = rows.mapInArrow(whole_sets(words, wanted), "node bigint, grams binary").join(both.hint("shuffle_hash"), "node").groupBy("node").agg(F.first("grams").alias("grams"))
-        for side, name in (("a", "x"), ("b", "y")):
-            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("grams").alias(name)), side)
-        new = checkpointed(pairs.select("a", "b", "x", "y").mapInArrow(similar_sets(similarity), "a bigint, b bigint"))
-        links = new if links is None else links.union(new)
-        groups = connected_components(links, "a", "b")
-        placed = there.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = there.join(there.groupBy("node").agg(F.min("gram").alias("gram")), ["node", "gram"]).join(prints.select("node", *fields), "node").withColumn("component", F.col("node"))
+    pairs = _dealt(smallest, ("gram",), "node").mapInArrow(_best_pairs(similarity), "a bigint, b bigint, score bigint").groupBy("a").agg(F.max_by("b", "score").alias("b"))
+    pairs = checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    sets = _sets_of(rows, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), words)
+    for side, name in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("grams").alias(name)), side)
+    links = checkpointed(pairs.select("a", "b", "x", "y").mapInArrow(similar_sets(similarity), "a bigint, b bigint"))
+    first = connected_components(links, "a", "b")
+    placed = there.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
+    columns = ["gram", "node", "component", *fields]
+    paired = _dealt(placed.join(mixed, "gram").join(prints, "node"), ("gram",), "node").mapInArrow(_paired(similarity, columns), ", ".join(f"{c} bigint" for c in columns))
+    paired = checkpointed(paired.dropDuplicates(["gram", "node"]))
+    whole = paired.join(_sets_of(rows, paired.select("node").distinct(), words), "node")
+    more = _dealt(whole, ("gram",), "node", whole=True).mapInArrow(_verified(similarity), "a bigint, b bigint")
+    groups = connected_components(links.union(more), "a", "b")
     named = nodes.select("id", "tie", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "tie"))).alias("least"))
     return named.join(names, "component").select(F.col("id").alias(id_col), "tie", F.col("least.id").alias("component_id"), F.col("least.tie").alias("component_tie"))

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from keyloom.llm import simhash
@@ -52,6 +53,7 @@ def test_near_duplicates_of_the_pipeline_are_all_that_brute_force_finds(spark):
 @pytest.mark.parametrize("part", [4096, 7])
 def test_similar_groups_of_edited_texts(spark, monkeypatch, part):
     monkeypatch.setattr(simhash, "PART", part)  # 7: buckets are cut into parts
+    monkeypatch.setattr(simhash, "PART_SHINGLES", 60 * part)
     rng = np.random.default_rng(6)
     vocabulary, rows = [f"w{i}" for i in range(400)], [(1, ""), (2, " \n"), (3, "one"), (4, "One"), (5, "one two")]
     passage = [str(x) for x in rng.choice(vocabulary, 30)]
@@ -66,6 +68,17 @@ def test_similar_groups_of_edited_texts(spark, monkeypatch, part):
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == similar(rows)
 
 
+def test_shingles_in_both_sets_block_by_block(monkeypatch):
+    monkeypatch.setattr(simhash, "SHINGLE_BLOCK", 64)
+    monkeypatch.setattr(simhash, "PAIR_BLOCK", 10)
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(900, int(n), replace=False)).astype(np.uint64) for n in rng.integers(0, 300, 40)]
+    i, j = np.triu_indices(40, 1)
+    got = simhash._in_both(pa.chunked_array([pa.array([x.tobytes() for x in sets], pa.binary())]), i, j)
+    assert got.tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)]
+    assert simhash._in_both(pa.chunked_array([pa.array([b"", b""], pa.binary())]), i[:0], j[:0]).tolist() == []
+
+
 def test_an_id_on_two_texts_keeps_the_clean_one(spark):
     words = [[f"{name}{i}" for i in range(60)] for name in "abc"]
     texts = [" ".join(w) for w in words]
