@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step looks at; a longer text is a step of its own.
 SLICE_BYTES = 4 << 20
@@ -181,3 +182,20 @@ def merged_intervals(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np
     new[1:] = s[1:] > e[:-1]
     at = np.flatnonzero(new)
     return s[at], e[np.concatenate([at[1:] - 1, [len(s) - 1]])]
+
+
+#: A key with more than one of so many rows is a hot one: fewer than that many keys are.
+HOT = 1000
+
+
+def join_by_hot_key(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Rows with the facts of their keys, which have one row a key, the number of its rows (many) and are written
+    already. Keys that hold more than one of HOT rows are broadcast, fewer than HOT whatever the input; only the
+    others are shuffled, so that no task gets a hot key's rows."""
+    total = facts.agg(F.sum("many")).first()[0] or 0
+    hot = F.col("many") * HOT > total
+    rest = [c for c in facts.columns if c not in (key, "many")]
+    few = facts.filter(hot).select(key, F.struct(*rest).alias("hot_facts"))
+    marked = rows.join(F.broadcast(few), key, "left")
+    near = marked.filter("hot_facts is not null").select(*rows.columns, "hot_facts.*")
+    return near.union(marked.filter("hot_facts is null").select(*rows.columns).join(facts.filter(~hot).drop("many"), key).select(*rows.columns, *rest))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, conversation_repair, conversation_trie, decontaminate, line_dedup, media, quality_crf, simhash, substring_dedup, suffix_dedup, token_counts, token_files
+from . import bpe, common, conversation_repair, conversation_trie, decontaminate, line_dedup, media, minhash, quality_crf, simhash, substring_dedup, suffix_dedup, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,9 +64,13 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_groups(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_conversations(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op4_suffix_dedup, op5_simhash, op6_media, op7_line_dedup, op8_token_files, op9_quality, op10_byte_bpe, op11_conversation_trie, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op4_suffix_dedup, op5_simhash, op6_media, op7_line_dedup, op8_token_files, op9_quality, op10_byte_bpe, op11_conversation_trie, op12_minhash, op13_conversation_repair)}
 ORACLE_SQL: dict[str, str] = {}
