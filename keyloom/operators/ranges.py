@@ -1,18 +1,26 @@
-"""Algebra of key ranges as joins and windows. Ranges have columns start and end (see functions.keys).
+"""Algebra of key ranges as joins and scans. Ranges have columns start and end (see functions.keys).
 
-Range tables describe the layout of data, not the data: a row a region, file or worker span. Joins of keys
-with ranges broadcast the ranges only while they are few (BROADCAST_ROWS, counted first); larger ones are
-joined by buckets of leading bytes."""
+Layouts of few ranges (BROADCAST_ROWS, counted first) go to every task as a sorted array of starts, in which each
+key is searched. Larger ones are dealt by range together with the keys and scanned in order (see operators.scan), so
+that neither side is broadcast, nothing is compared that is not near, and no task sees all ranges."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from bisect import bisect_right
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions import keys as K
+from keyloom.operators import scan
 
-#: Range tables up to this many rows are broadcast; a row is two keys and a payload.
+#: Range tables up to this many rows are searched as a broadcast array; a row of it is a key.
 BROADCAST_ROWS = 100_000
+#: Range tables up to this many rows are compared with every row of another.
+FEW = 1000
+#: Ends of ranges in a cell in which two large tables of ranges meet.
+CELL = 64
 
 
 def small(ranges: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
@@ -20,37 +28,41 @@ def small(ranges: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return ranges.limit(limit + 1).count() <= limit
 
 
-def _lead(key: Column, n: int = 2) -> Column:
-    """The first n bytes of a key as a number, short keys padded with zero bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(key, 1, n)), 2 * n, "0"), 16, 10).cast("int")
+def _real(ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """Without empty ranges."""
+    return ranges.filter(F.col(end).isNull() | (F.col(start) < F.col(end)))
 
 
-def bucketed(ranges: DataFrame, start: str, end: str, n: int = 2) -> DataFrame:
-    """A row for every bucket of leading bytes that a range touches."""
-    last = F.coalesce(_lead(F.col(end), n), F.lit(256**n - 1))
-    return ranges.withColumn("bucket", F.explode(F.sequence(_lead(F.col(start), n), last)))
+def _start_at_or_below(ranges: DataFrame, key: str, start: str) -> Column:
+    """The largest start of few ranges that is not above the key; NULL for a null key or one below all."""
+    starts = ranges.sparkSession.sparkContext.broadcast(sorted(bytes(r[0]) for r in ranges.select(start).collect()))
 
+    @F.pandas_udf("binary")
+    def found(keys: pd.Series) -> pd.Series:
+        have = starts.value
+        at = [0 if k is None else bisect_right(have, bytes(k)) for k in keys]
+        return pd.Series([have[i - 1] if i else None for i in at], dtype=object)
 
-def locate(keys: DataFrame, ranges: DataFrame, key: str = "key", start: str = "start", end: str = "end", how: str = "inner") -> DataFrame:
-    """Each key with the range that holds it (ranges do not overlap; with how="left", keys outside keep NULLs)."""
-    inside = K.in_span(key, start, end)
-    if small(ranges):
-        return keys.join(F.broadcast(ranges), inside, how)
-    return keys.withColumn("bucket", _lead(F.col(key))).join(bucketed(ranges, start, end), ["bucket"], how).filter(inside | F.col(start).isNull()).drop("bucket") if how == "inner" else _locate_outer(keys, ranges, key, start, end)
+    return found(F.col(key))
 
 
-def _locate_outer(keys: DataFrame, ranges: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    own = keys.withColumn("bucket", _lead(F.col(key))).alias("k")
-    there = bucketed(ranges, start, end).alias("r")
-    return own.join(there, (F.col("k.bucket") == F.col("r.bucket")) & K.in_span(f"k.{key}", f"r.{start}", f"r.{end}"), "left").drop("bucket")
+def locate(keys: DataFrame, ranges: DataFrame, key: str = "key", start: str = "start", end: str = "end", how: str = "inner") -> DataFrame:
+    """Each key with the range that holds it (ranges do not overlap; with how="left", keys outside keep NULLs, and so
+    do null keys). Empty ranges hold nothing."""
+    real = _real(ranges, start, end)
+    if small(ranges):
+        met = keys.withColumn("start_below", _start_at_or_below(real, key, start))
+        return met.join(F.broadcast(real), (F.col("start_below") == F.col(start)) & K.in_span(key, start, end), how).drop("start_below")
+    met = scan.as_of(keys, real, key, start)
+    inside = K.in_span(key, f"found.{start}", f"found.{end}")
+    met = met.filter(inside) if how == "inner" else met.withColumn("found", F.when(inside, F.col("found")))
+    return met.select(*keys.columns, "found.*")
 
 
 def in_any(keys: DataFrame, ranges: DataFrame, key: str = "key", start: str = "start", end: str = "end") -> DataFrame:
     """Keys that some range holds, each once however many do."""
-    if small(ranges):
-        return keys.join(F.broadcast(ranges), K.in_span(key, start, end), "left_semi")
-    own, there = keys.withColumn("bucket", _lead(F.col(key))).alias("k"), bucketed(ranges, start, end).alias("r")
-    return own.join(there, (F.col("k.bucket") == F.col("r.bucket")) & K.in_span(f"k.{key}", f"r.{start}", f"r.{end}"), "left_semi").drop("bucket")
+    spans = covered(ranges.select(F.col(start).alias("start"), F.col(end).alias("end"))).toDF("span_start", "span_end")
+    return locate(keys, scan.written(spans), key, "span_start", "span_end").select(*keys.columns)
 
 
 def split_keys_by_range(split_keys: DataFrame, ranges: DataFrame, range_id: str, key: str = "key") -> DataFrame:
@@ -59,73 +71,113 @@ def split_keys_by_range(split_keys: DataFrame, ranges: DataFrame, range_id: str,
     return met.groupBy(range_id).agg(F.sort_array(F.collect_set(key)).alias("split_keys"))
 
 
+def _celled(sides: list[DataFrame]) -> list[DataFrame]:
+    """The tables of ranges with the cells of their starts (cell) and ends (last_cell): cells are CELL ends of ranges of
+    all tables, in their order, so that they are as fine as the ranges are dense."""
+    points = [p.select(F.col(c).alias("p")) for p in sides for c in ("start", "end")]
+    all_ = points[0].union(points[1]).union(points[2]).union(points[3]).filter("p is not null").distinct()
+    cells = scan.written(scan.in_order(all_, F.col("p").asc()).numbered().rows.select("p", F.expr(f"rank div {CELL}").alias("c")))
+    top = cells.agg(F.max("c")).first()[0] or 0
+    out = []
+    for side in sides:
+        met = side.join(cells.select(F.col("p").alias("start"), F.col("c").alias("cell")), "start")
+        met = met.join(cells.select(F.col("p").alias("end"), F.col("c").alias("last_cell")), "end", "left")
+        out.append(met.withColumn("last_cell", F.coalesce("last_cell", F.lit(top))))
+    return out
+
+
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Overlapping pairs of two range tables with their common range; other columns of both are kept."""
-    names = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}" if c in ("start", "end") else c) for c in df.columns])
-    left, right = names(a, "a"), names(b, "b")
+    """Overlapping pairs of two range tables with their common range; other columns of both are kept.
+
+    Of a pair one range starts in the other, so ranges meet in the cell of the later start: one side goes to the cell
+    of its start and the other to all cells that it reaches into, and then the other way round."""
+    rest = lambda df: [c for c in df.columns if c not in ("start", "end")]
+    names = lambda df, p, more=(): df.select(*[F.col(c).alias(f"{p}_{c}") for c in ("start", "end", *more)], *[c for c in rest(df) if c not in more])
     overlap = K.overlaps("a_start", "a_end", "b_start", "b_end")
-    if small(b):
-        met = left.join(F.broadcast(right), overlap)
-    else:  # a pair meets in the bucket in which the later of its starts lies
-        l, r = bucketed(left, "a_start", "a_end").withColumnRenamed("bucket", "ba"), bucketed(right, "b_start", "b_end")
-        met = l.join(r, F.col("ba") == F.col("bucket")).filter(overlap & (F.col("bucket") == F.greatest(_lead(F.col("a_start")), _lead(F.col("b_start"))))).drop("ba", "bucket")
+    columns = [*rest(a), *rest(b), "a_start", "a_end", "b_start", "b_end"]
+    if small(b, FEW):
+        met = names(a, "a").join(F.broadcast(names(b, "b")), overlap).select(*columns)
+    else:
+        more = ("cell", "last_cell")
+        left, right = (names(x, p, more) for x, p in zip(_celled([_real(a, "start", "end"), _real(b, "start", "end")]), "ab", strict=True))
+        reach = lambda df, p: df.withColumn("cell", F.explode(F.sequence(f"{p}_cell", f"{p}_last_cell")))
+        starts = lambda df, p: df.withColumn("cell", F.col(f"{p}_cell"))
+        in_a = reach(left, "a").join(starts(right, "b"), "cell").filter(overlap & (F.col("b_start") >= F.col("a_start")))
+        in_b = starts(left, "a").join(reach(right, "b"), "cell").filter(overlap & (F.col("a_start") > F.col("b_start")))
+        met = in_a.select(*columns).union(in_b.select(*columns))
     # greatest and least skip NULLs, which is right for unbounded ends
     return met.withColumns({"start": F.greatest("a_start", "b_start"), "end": F.least("a_end", "b_end")}).drop("a_start", "a_end", "b_start", "b_end")
 
 
+def _code(end: Column | str) -> Column:
+    """An end as a key that compares as ends do: unbounded ones are above all others."""
+    end = F.col(end) if isinstance(end, str) else end
+    return F.when(end.isNull(), F.lit(b"\x01")).otherwise(F.concat(F.lit(b"\x00"), end))
+
+
+def _decode(code: Column) -> Column:
+    return F.when(code != F.lit(b"\x01"), F.substring(code, 2, 2**31 - 1))
+
+
 def covered(ranges: DataFrame, within: str | None = None) -> DataFrame:
-    """Union of the ranges of each group as disjoint ranges that do not touch."""
-    part = [F.col(within)] if within else [F.lit(0)]
-    w = Window.partitionBy(*part).orderBy("start", F.coalesce(F.col("end").isNull(), F.lit(False)), "end")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    # the highest end so far: unbounded once one is
-    marked = ranges.withColumns({"open_before": F.coalesce(F.max(F.col("end").isNull()).over(before), F.lit(False)), "high": F.max("end").over(before)})
-    new = ~F.col("open_before") & (F.col("high").isNull() | (F.col("start") > F.col("high")))
-    island = marked.withColumn("island", F.sum(new.cast("int")).over(w))
-    out = island.groupBy(*([within] if within else []), "island").agg(F.min("start").alias("start"), F.when(~F.max(F.col("end").isNull()), F.max("end")).alias("end"))
-    return out.drop("island")
+    """Union of the ranges of each group as disjoint ranges that do not touch. Empty ranges cover nothing."""
+    group = F.coalesce(F.concat(F.lit("="), F.col(within).cast("string")), F.lit("")) if within else F.lit("")
+    real = _real(ranges, "start", "end").select(*([within] if within else []), "start", "end", group.alias("group_name"), _code("end").alias("end_code"))
+    mark = F.struct("group_name", "end_code")
+    rows = scan.in_order(real, F.col("group_name"), F.col("start"), F.col("end_code")).running(mark, "earlier")
+    rows = rows.with_column("before", F.greatest(F.max(mark).over(rows.over(high=-1)), F.col("earlier")))
+    joins = (F.col("before.group_name") == F.col("group_name")) & (_code("start") <= F.col("before.end_code"))
+    rows = rows.with_column("head", F.when(~F.coalesce(joins, F.lit(False)), F.struct("group_name", "start"))).carried(F.max("head"), "earlier_head", F.col("head").isNotNull())
+    island = F.coalesce(F.last("head", ignorenulls=True).over(rows.over()), F.col("earlier_head"))
+    out = rows.rows.withColumn("island", island).groupBy(*([within] if within else []), "island").agg(F.max("end_code").alias("end_code"))
+    return out.select(*([within] if within else []), F.col("island.start").alias("start"), _decode(F.col("end_code")).alias("end"))
 
 
 def gaps(ranges: DataFrame, start: bytes = b"", end: bytes | None = None) -> DataFrame:
     """The parts of [start, end) that no range covers. Ranges may overlap, touch or reach outside."""
     low, high = F.lit(start), F.lit(end).cast("binary")
-    whole = ranges.sparkSession.range(1).select(low.alias("start"), high.alias("end"))
-    clipped = intersect(ranges.select("start", "end"), whole)
-    islands = covered(clipped)
-    edges = islands.select("start", "end").union(ranges.sparkSession.range(1).select(high.alias("start"), F.lit(None).cast("binary").alias("end")) if end is not None else islands.limit(0).select("start", "end"))
-    w = Window.orderBy("start")  # a row an uncovered stretch of the layout, not of the data
-    open_before = F.coalesce(F.lag(F.col("end").isNull()).over(w), F.lit(False))
-    found = edges.withColumns({"from": F.coalesce(F.lag("end").over(w), F.when(~open_before, low)), "open": open_before})
-    inner = found.filter(~F.col("open") & (F.col("from") < F.col("start"))).select(F.col("from").alias("start"), F.col("start").alias("end"))
-    if end is not None:
-        return inner
-    last = islands.agg(F.max(F.col("end").isNull()).alias("open"), F.max("end").alias("high"))
-    tail = last.filter(~F.coalesce("open", F.lit(False))).select(F.coalesce("high", low).alias("start"), F.lit(None).cast("binary").alias("end"))
+    met = _real(ranges, "start", "end").filter(K.overlaps("start", "end", low, high))
+    islands = covered(met.select(F.greatest("start", low).alias("start"), F.least("end", high).alias("end")))
+    rows = scan.in_order(islands, F.col("start"), F.col("end")).carried(F.max_by(F.struct("end"), "start"), "earlier")
+    before = F.coalesce(F.lag(F.struct("end")).over(rows.window()), F.col("earlier"))
+    found = rows.rows.select(F.when(before.isNull(), low).otherwise(before["end"]).alias("from"), F.col("start").alias("to"))
+    inner = found.filter("`from` < `to`").select(F.col("from").alias("start"), F.col("to").alias("end"))
+    last = islands.agg(F.max(_code("end")).alias("e")).select(F.coalesce("e", F.concat(F.lit(b"\x00"), low)).alias("e"))
+    tail = last.filter(F.col("e") < _code(high)).select(_decode(F.col("e")).alias("start"), high.alias("end"))
     return inner.union(tail)
 
 
 def elementary(coverings: DataFrame, payload: str) -> DataFrame:
     """The coverings cut at all their ends: each piece with the payloads of the ranges over it, in the order of
     `payload`. Empty ranges are left out."""
-    real = coverings.filter(F.col("end").isNull() | (F.col("start") < F.col("end")))
+    real = _real(coverings, "start", "end")
     points = real.select(F.col("start").alias("p")).union(real.filter("end is not null").select("end")).distinct()
-    pieces = points.withColumn("q", F.lead("p").over(Window.orderBy("p"))).select(F.col("p").alias("start"), F.col("q").alias("end"))
-    met = intersect(pieces.withColumns({"piece": F.col("start"), "to": F.col("end")}), real)
+    rows = scan.in_order(points, F.col("p").asc()).carried(F.min("p"), "later", forward=False)
+    pieces = rows.rows.select(F.col("p").alias("start"), F.coalesce(F.lead("p").over(rows.window()), F.col("later")).alias("end"))
+    met = intersect(scan.written(pieces).withColumns({"piece": F.col("start"), "to": F.col("end")}), real)
     return met.groupBy(F.col("piece").alias("start"), F.col("to").alias("end")).agg(F.transform(F.array_sort(F.collect_list(F.struct(payload))), lambda s: s[payload]).alias("payloads"))
 
 
 def overwrite(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Put ranges into a set of ranges: every old one that a new one overlaps goes as a whole."""
-    a, b = old.alias("o"), new.alias("n")
-    stay = a.join(F.broadcast(b) if small(new) else b, K.overlaps("o.start", "o.end", "n.start", "n.end"), "left_anti")
+    """Put ranges into a set of ranges: every old one that a new one overlaps goes as a whole. Empty ranges overlap
+    nothing."""
+    if small(new, FEW):
+        a, b = old.alias("o"), _real(new, "start", "end").alias("n")
+        share = K.overlaps("o.start", "o.end", "n.start", "n.end") & (F.col("o.end").isNull() | (F.col("o.start") < F.col("o.end")))
+        stay = a.join(F.broadcast(b), share, "left_anti")
+    else:  # of the new ranges' union, the last that begins below an old range's end is the one that can reach into it
+        met = scan.as_of(old, covered(new.select("start", "end")), "end", "start", strict=True)
+        reaches = F.coalesce(F.col("found").isNotNull() & (F.col("found.end").isNull() | (F.col("found.end") > F.col("start"))) & (F.col("end").isNull() | (F.col("start") < F.col("end"))), F.lit(False))
+        stay = met.filter(~reaches).select(*old.columns)
     return stay.unionByName(new, allowMissingColumns=True)
 
 
 def contiguity(ranges: DataFrame, start: bytes, end: bytes | None, to_the_end: bool = True) -> DataFrame:
     """One row: contiguous, whether sorted ranges begin at or before start and each begins where the last ends;
     with to_the_end they must also reach end. No ranges are not contiguous."""
-    w = Window.orderBy("start")
-    chain = ranges.withColumn("linked", F.coalesce(F.col("start") == F.lag("end").over(w), F.row_number().over(w) == 1))
+    rows = scan.in_order(ranges.select("start", "end"), F.col("start"), _code("end")).carried(F.max_by(F.struct("end"), F.struct("start", _code("end"))), "earlier")
+    rows = rows.with_column("before", F.coalesce(F.lag(F.struct("end")).over(rows.window()), F.col("earlier")))
+    chain = rows.rows.withColumn("linked", F.coalesce(F.col("before").isNull() | (F.col("start") == F.col("before.end")), F.lit(False)))
     facts = chain.agg(F.min("start").alias("low"), F.bool_and("linked").alias("linked"), F.max(F.col("end").isNull()).alias("open"), F.max("end").alias("high"), F.count("*").alias("n"))
     reach = (F.col("open") | (F.lit(end is not None) & (F.col("high") >= F.lit(end or b"")))) if to_the_end else F.lit(True)
     return facts.select(F.coalesce((F.col("n") > 0) & (F.col("low") <= F.lit(start)) & F.col("linked") & reach, F.lit(False)).alias("contiguous"))
