@@ -2,42 +2,116 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-
-_OUT = "feed string, frontier bigint, emitted bigint"
-_STATE = "steps string, emitted bigint"
-
-
-def forward(steps: list[list], start: str, end: str | None, ts: int) -> list[list]:
-    """Steps [start, end, ts] (hex keys, end None: unbounded; ascending, disjoint) with [start, end) set to ts."""
-    out = []
-    for s, e, t in steps:
-        if (e is not None and e <= start) or (end is not None and s >= end):
-            out.append([s, e, t])
-            continue
-        if s < start:
-            out.append([s, start, t])
-        if end is not None and (e is None or e > end):
-            out.append([end, e, t])
-    return sorted([*out, [start, end, ts]], key=lambda x: x[0])
-
-
-def _update(key, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    steps, emitted = ([], 0) if not state.exists else (json.loads(state.get[0]), state.get[1])
-    marks = pd.concat(list(frames)).sort_values("arrival")
-    for m in marks.itertuples(index=False):
-        steps = forward(steps, bytes(m.start).hex(), None if m.end is None else bytes(m.end).hex(), int(m.resolved_ts))
-    low = min(s[2] for s in steps)
-    moved = max(emitted, low)
-    state.update((json.dumps(steps), moved))
-    yield pd.DataFrame({"feed": [key[0]], "frontier": [low], "emitted": [moved]})
-
-
-def frontier_stream(marks: DataFrame) -> DataFrame:
-    """From marks (feed, start, end, resolved_ts, arrival): after each batch a feed's frontier, which later marks
-    may lower, and the highest one so far, which is what may be emitted. The state is a step a range."""
-    return marks.groupBy("feed").applyInPandasWithState(_update, _OUT, _STATE, "update", "NoTimeout")
+import heapq
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from keyloom.functions import keys as K
+from keyloom.streaming.regions import keyed_state
+
+FRONTIER = "feed string, frontier bigint, emitted bigint, arrival bigint"
+
+
+class IntervalMap:
+    """Disjoint ranges [start, end) of keys (end None: unbounded) with timestamps, in order, and a heap of the
+    timestamps: setting a range costs a search, what it overwrites, and the logarithm of the number of ranges."""
+
+    def __init__(self, steps: list[tuple[bytes, bytes | None, int]] = ()):
+        self.starts = [s for s, _, _ in steps]
+        self.at = {s: (e, t) for s, e, t in steps}
+        self.heap = [(t, s) for s, (_, t) in self.at.items()]
+        heapq.heapify(self.heap)
+
+    def set(self, start: bytes, end: bytes | None, ts: int) -> None:
+        lo = bisect_right(self.starts, start) - 1
+        if lo < 0 or (self.at[self.starts[lo]][0] is not None and self.at[self.starts[lo]][0] <= start):
+            lo += 1
+        hi = len(self.starts) if end is None else bisect_left(self.starts, end)
+        made = []
+        if lo < hi:
+            first, (last_end, last_ts) = self.starts[lo], self.at[self.starts[hi - 1]]
+            if first < start:
+                made.append((first, start, self.at[first][1]))
+            made.append((start, end, ts))
+            if end is not None and (last_end is None or last_end > end):
+                made.append((end, last_end, last_ts))
+        else:
+            made.append((start, end, ts))
+        for s in self.starts[lo:hi]:
+            del self.at[s]
+        self.starts[lo:hi] = [s for s, _, _ in made]
+        for s, e, t in made:
+            self.at[s] = (e, t)
+            heapq.heappush(self.heap, (t, s))
+
+    def low(self) -> int | None:
+        """The lowest timestamp; heap entries of ranges that are gone are dropped on the way."""
+        while self.heap and self.at.get(self.heap[0][1], (None, None))[1] != self.heap[0][0]:
+            heapq.heappop(self.heap)
+        return self.heap[0][0] if self.heap else None
+
+
+class _PartFrontier(StatefulProcessor):
+    """The lowest timestamp of a feed's part of the key space: a state entry a range, rewritten only if it changes."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.steps = handle.getMapState("steps", "start binary", "end binary, ts bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = {bytes(k[0]): (None if v[0] is None else bytes(v[0]), v[1]) for k, v in self.steps.iterator()} if self.steps.exists() else {}
+        ranges = IntervalMap([(s, *kept[s]) for s in sorted(kept)])
+        last = None
+        for r in sorted(rows, key=lambda r: r.arrival):
+            ranges.set(bytes(r.start), None if r.end is None else bytes(r.end), r.resolved_ts)
+            last = r.arrival
+        for s in kept.keys() - ranges.at.keys():
+            self.steps.removeKey((s,))
+        for s, v in ranges.at.items():
+            if kept.get(s) != v:
+                self.steps.updateValue((s,), v)
+        yield Row(feed=key[0], part=key[1], low=ranges.low(), arrival=last)
+
+    def close(self) -> None:
+        pass
+
+
+class _FeedFrontier(StatefulProcessor):
+    """The lowest of the parts' timestamps, and the highest frontier so far."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.parts = handle.getMapState("parts", "part int", "low bigint, arrival bigint")
+        self.emitted = handle.getValueState("emitted", "ts bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in rows:
+            self.parts.updateValue((r.part,), (r.low, r.arrival))
+        parts = [v for _, v in self.parts.iterator()]
+        low = min(v[0] for v in parts)
+        before = self.emitted.get()[0] if self.emitted.exists() else None
+        now = low if before is None else max(before, low)
+        if now != before:
+            self.emitted.update((now,))
+        yield Row(feed=key[0], frontier=low, emitted=now, arrival=max(v[1] for v in parts))
+
+    def close(self) -> None:
+        pass
+
+
+def frontier_stream(marks: DataFrame, cuts: list[bytes] = ()) -> DataFrame:
+    """From marks (feed, start, end, resolved_ts, arrival): after each batch with marks a feed's frontier, which later
+    marks may lower, the highest one so far, which is what may be emitted, and the last mark's arrival.
+
+    The key space is cut at the given keys (ascending) into parts with a state of their own, and marks are cut with
+    it, so that a feed of many ranges is not one task; a feed's own state has a number a part. A null feed is one."""
+    keyed_state(marks.sparkSession)
+    edges = [b"", *cuts]
+    low, high = (F.array(*[F.lit(x).cast("binary") for x in xs]) for xs in (edges, [*cuts, None]))
+    pieces = marks.select("feed", "start", "end", "resolved_ts", "arrival", F.posexplode(F.arrays_zip(low.alias("from"), high.alias("to"))).alias("part", "piece"))
+    met = pieces.filter(K.overlaps("start", "end", "piece.from", "piece.to"))
+    cut = met.select("feed", "part", F.greatest("start", "piece.from").alias("start"), F.least("end", "piece.to").alias("end"), "resolved_ts", "arrival")
+    parts = cut.groupBy("feed", "part").transformWithState(_PartFrontier(), "feed string, part int, low bigint, arrival bigint", "append", "none")
+    return parts.groupBy("feed").transformWithState(_FeedFrontier(), FRONTIER, "append", "none")
