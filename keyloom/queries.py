@@ -17,7 +17,7 @@ from keyloom.functions import keys as K
 from keyloom.operators import changelog, checksums, folds, placement, ranges, watermarks
 from keyloom.plans import backups, bulkload, feeds
 from keyloom.sources import logs
-from keyloom.streaming import apply
+from keyloom.streaming import apply, frontier, regions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,8 +52,12 @@ def _text(c: str):
 
 
 def _shared(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share (a temporary one only where no checkpoint folder is set)."""
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    """A new folder that driver and executors share. Only local sessions may leave spark.checkpoint.dir out."""
+    sc = spark.sparkContext
+    top = sc.getConf().get("spark.checkpoint.dir")
+    if not top and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    top = top or tempfile.gettempdir()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -560,3 +564,74 @@ def stream_state_materialise(spark, d):
     events = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]")  # a pattern may match a single file too
     state = apply.materialise(logs.changes_of_events(events), _shared(spark, "stream"))
     return state.select(_text("key"), _text("value"), "crts", "sequence")
+
+
+# --- keyed state of a feed's regions ------------------------------------------------------------------------
+
+
+def _streamed(spark, rows: DataFrame, made, name: str) -> DataFrame:
+    """What a stream over the first and then the second half of the rows (by sequence) puts out; between the halves it
+    is stopped and goes on from its checkpoint."""
+    path, half = _shared(spark, name), F.broadcast(rows.agg(F.max("sequence").alias("last")))  # one row
+    for second in (False, True):
+        part = rows.crossJoin(half).filter((F.col("sequence") * 2 > F.col("last")) == F.lit(second)).drop("last")
+        part.write.mode("append").parquet(f"{path}/in")
+        out = made(spark.readStream.schema(rows.schema).parquet(f"{path}/in")).writeStream.format("parquet").option("path", f"{path}/out")
+        out.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
+def _initialized(events: DataFrame) -> DataFrame:
+    """A marker a region, between the events' rows: (region_id, sequence)."""
+    last = events.agg(F.max("event_id").alias("last"))
+    return events.select((F.col("user_id") % 7).alias("region_id")).distinct().crossJoin(F.broadcast(last)).select("region_id", F.expr("10 * (last * (region_id + 1) div 10) + 9").alias("sequence"))
+
+
+def _feed(spark, d) -> DataFrame:
+    """Events as a feed: a prewrite, for every fifth a sign of life, for errors a rollback, and a commit, which for
+    every eleventh comes before its prewrite."""
+    log = _log(spark, d).select((F.col("user_id") % 7).alias("region_id"), "key", "value", "crts", "event_id", "event_type")
+    early = F.col("event_id") % 11 == 0
+    none = F.lit(None).cast("binary")
+    kinds = F.array(
+        F.struct(F.lit("prewrite").alias("kind"), (F.col("event_id") * 10).alias("sequence"), F.col("value").alias("v")),
+        F.when(F.col("event_id") % 5 == 0, F.struct(F.lit("prewrite").alias("kind"), (F.col("event_id") * 10 + 1).alias("sequence"), none.alias("v"))),
+        F.when(F.col("event_type") == "error", F.struct(F.lit("rollback").alias("kind"), (F.col("event_id") * 10 + 2).alias("sequence"), none.alias("v"))),
+        F.struct(F.lit("commit").alias("kind"), (F.col("event_id") * 10 + F.when(early, -3).otherwise(3)).alias("sequence"), none.alias("v")),
+    )
+    rows = log.withColumn("e", F.explode(kinds)).filter("e is not null").select("region_id", "e.kind", "key", F.col("event_id").alias("start_ts"), "crts", F.lit(1).alias("op_type"), F.col("e.v").alias("value"), none.alias("old_value"), "e.sequence")
+    marks = _initialized(_t(spark, d, "events")).select("region_id", F.lit("initialized").alias("kind"), none.alias("key"), F.lit(None).cast("bigint").alias("start_ts"), F.lit(None).cast("bigint").alias("crts"), F.lit(1).alias("op_type"), none.alias("value"), none.alias("old_value"), "sequence")
+    return rows.union(marks)
+
+
+_INIT = "init AS (SELECT user_id % 7 AS region_id, 10 * ((SELECT max(event_id) FROM events) * (user_id % 7 + 1) // 10) + 9 AS seen FROM events GROUP BY 1, 2)"
+
+
+@query(f"""{_CH}, {_INIT}, c AS (SELECT user_id % 7 AS region_id, event_id, event_type, key, value, event_id * 10 + CASE WHEN event_id % 11 = 0 THEN -3 ELSE 3 END AS sequence FROM ch),
+  m AS (SELECT c.*, seen, event_type <> 'error' AND (event_id % 11 <> 0 OR (sequence < seen AND event_id * 10 < seen)) AS ok FROM c JOIN init USING (region_id))
+SELECT region_id, sequence, key, CASE WHEN ok THEN value END AS value, CASE WHEN NOT ok THEN 'commit without a prewrite' END AS error FROM m WHERE ok OR sequence > seen""")
+def matched_commits_stream(spark, d):
+    out = _streamed(spark, _feed(spark, d), regions.match_commits, "matched")
+    return out.select("region_id", "sequence", _text("key"), _text("value"), "error")
+
+
+@query(f"""{_CH}, {_INIT}, m AS (SELECT user_id % 7 AS region_id, event_id * 10 AS sequence, crts, seen FROM ch JOIN init ON user_id % 7 = region_id),
+  r AS (SELECT *, max(crts) OVER w AS high FROM m WHERE sequence > seen WINDOW w AS (PARTITION BY region_id ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  a AS (SELECT *, high IS NULL OR crts >= high AS ok, sum(CASE WHEN crts < high THEN 1 ELSE 0 END) OVER (PARTITION BY region_id ORDER BY sequence) AS regressed FROM r),
+  i AS (SELECT region_id, count(*) FILTER (WHERE sequence < seen) AS ignored FROM m GROUP BY region_id)
+SELECT region_id, sequence, crts AS resolved_ts, ignored, CAST(regressed AS BIGINT) AS regressed FROM a JOIN i USING (region_id) WHERE ok""")
+def region_clock_stream(spark, d):
+    none = F.lit(None).cast("bigint").alias("crts")
+    marks = _log(spark, d).select((F.col("user_id") % 7).alias("region_id"), F.lit("resolved").alias("kind"), "crts", (F.col("event_id") * 10).alias("sequence"))
+    rows = marks.union(_initialized(_t(spark, d, "events")).select("region_id", F.lit("initialized").alias("kind"), none, "sequence"))
+    return _streamed(spark, rows, regions.region_clocks, "clocks").select("region_id", "sequence", "resolved_ts", "ignored", "regressed")
+
+
+@query(f"""{_CH}, m AS (SELECT user_id % 7 AS region_id, event_id, crts, CASE WHEN event_id * 2 > (SELECT max(event_id) FROM events) THEN 2 ELSE 1 END AS half FROM ch),
+  low AS (SELECT b.half, min(last) AS frontier FROM (SELECT h.half, region_id, arg_max(crts, event_id) AS last FROM m JOIN (VALUES (1), (2)) h(half) ON m.half <= h.half GROUP BY h.half, region_id) b GROUP BY b.half)
+SELECT frontier, max(frontier) OVER (ORDER BY half) AS emitted FROM low""")
+def feed_frontier_stream(spark, d):
+    region = F.col("user_id") % 7
+    marks = _log(spark, d).select(F.lit("feed").alias("feed"), _key(region * 10).alias("start"), _key(region * 10 + 10).alias("end"), F.col("crts").alias("resolved_ts"), F.col("event_id").alias("arrival"), F.col("event_id").alias("sequence"))
+    cuts = [b"u00000025", b"u00000050"]
+    return _streamed(spark, marks, lambda s: frontier.frontier_stream(s, cuts), "frontier").select("frontier", "emitted")
