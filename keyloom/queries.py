@@ -16,7 +16,7 @@ from keyloom.functions import codec, hashes, timestamps
 from keyloom.functions import keys as K
 from keyloom.operators import changelog, checksums, folds, placement, ranges, watermarks
 from keyloom.plans import backups, bulkload, feeds
-from keyloom.sources import logs
+from keyloom.sources import feed, logs
 from keyloom.streaming import apply, frontier, regions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -635,3 +635,22 @@ def feed_frontier_stream(spark, d):
     marks = _log(spark, d).select(F.lit("feed").alias("feed"), _key(region * 10).alias("start"), _key(region * 10 + 10).alias("end"), F.col("crts").alias("resolved_ts"), F.col("event_id").alias("arrival"), F.col("event_id").alias("sequence"))
     cuts = [b"u00000025", b"u00000050"]
     return _streamed(spark, marks, lambda s: frontier.frontier_stream(s, cuts), "frontier").select("frontier", "emitted")
+
+
+@query(f"""{_CH}, b AS (SELECT min(crts) + {_DAY} AS low FROM ch), e AS (SELECT user_id % 5 AS region_id, key, value, crts FROM ch, b WHERE crts > low)
+SELECT region_id, 'committed' AS kind, key, value, crts FROM e
+UNION ALL SELECT region_id, 'resolved', '', '', max(crts) FROM e GROUP BY region_id UNION ALL SELECT DISTINCT user_id % 5, 'initialized', '', '', 0 FROM events""")
+def feed_source_stream(spark, d):
+    """A feed of two appends, read from a day after its first entry in batches of 256 KB, stopped between the appends."""
+    path, log = _shared(spark, "feed"), _log(spark, d)
+    low, high = log.agg(F.min("crts"), F.max("crts")).first()
+    entries = log.select((F.col("user_id") % 5).alias("region_id"), "key", F.col("crts").alias("start_ts"), "crts", "op_type", "value", F.lit(None).cast("binary").alias("old_value"))
+    for number, second in enumerate((False, True)):
+        feed.append_feed(entries.filter((F.col("crts") > (low + high) // 2) == second), f"{path}/feed", number, 32 << 10)
+        stream = feed.stream_feed(spark, f"{path}/feed", start_ts=low + _DAY, max_bytes=256 << 10, progress=f"{path}/progress")
+        running = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/progress").start()
+        running.processAllAvailable()
+        running.stop()
+    rows = spark.read.parquet(f"{path}/out").select("region_id", "kind", _text("key"), _text("value"), "crts").na.fill("").na.fill(0)
+    last = rows.filter("kind = 'resolved'").groupBy("region_id", "kind", "key", "value").agg(F.max("crts").alias("crts"))
+    return rows.filter("kind <> 'resolved'").union(last)
