@@ -17,7 +17,7 @@ from keyloom.functions import keys as K
 from keyloom.operators import changelog, checksums, folds, placement, ranges, watermarks
 from keyloom.plans import backups, bulkload, feeds
 from keyloom.sources import feed, logs
-from keyloom.streaming import apply, frontier, regions
+from keyloom.streaming import apply, frontier, regions, release, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -654,3 +654,36 @@ def feed_source_stream(spark, d):
     rows = spark.read.parquet(f"{path}/out").select("region_id", "kind", _text("key"), _text("value"), "crts").na.fill("").na.fill(0)
     last = rows.filter("kind = 'resolved'").groupBy("region_id", "kind", "key", "value").agg(F.max("crts").alias("crts"))
     return rows.filter("kind <> 'resolved'").union(last)
+
+
+@query(f"""{_CH}, e AS (SELECT user_id % 3 AS keyspan_id, crts, op_type, key, value, sequence * 2 AS sequence, CASE WHEN sequence * 4 > 2 * (SELECT max(sequence) FROM ch) + 1 THEN 2 ELSE 1 END AS half FROM ch),
+  m AS (SELECT keyspan_id, max(crts) - {_DAY} AS crts, 3 AS op_type, max(sequence) + 1 AS sequence, half FROM e GROUP BY keyspan_id, half),
+  r AS (SELECT a.keyspan_id, a.crts, a.op_type, a.key, a.value, a.sequence, min(m.half) AS batch FROM (SELECT * FROM e UNION ALL SELECT keyspan_id, crts, op_type, '' AS key, '' AS value, sequence, half FROM m) a
+    JOIN m ON a.keyspan_id = m.keyspan_id AND m.half >= a.half AND a.crts <= m.crts GROUP BY ALL)
+SELECT keyspan_id, row_number() OVER (PARTITION BY keyspan_id ORDER BY batch, crts, op_type = 3, sequence) - 1 AS place, crts, op_type, key, value FROM r""")
+def ordered_release_stream(spark, d):
+    """Entries of three spans in two batches, each with a marker a day behind its newest entry."""
+    log = _log(spark, d)
+    half = F.when(F.col("event_id") * 4 > F.col("last") * 2 + 1, 2).otherwise(1)
+    entries = log.crossJoin(F.broadcast(log.agg(F.max("event_id").alias("last")))).select((F.col("user_id") % 3).alias("keyspan_id"), "crts", "op_type", "key", "value", (F.col("event_id") * 2).alias("sequence"), half.alias("half"))
+    none = F.lit(None).cast("binary")
+    marks = entries.groupBy("keyspan_id", "half").agg((F.max("crts") - _DAY).alias("crts"), (F.max("sequence") + 1).alias("sequence"))
+    rows = entries.drop("half").unionByName(marks.select("keyspan_id", "crts", F.lit(changelog.RESOLVED).alias("op_type"), none.alias("key"), none.alias("value"), "sequence"))
+    out = _streamed(spark, rows, release.ordered_release, "release")
+    return out.select("keyspan_id", "place", "crts", "op_type", F.coalesce(F.decode("key", "UTF-8"), F.lit("")).alias("key"), F.coalesce(F.decode("value", "UTF-8"), F.lit("")).alias("value"))
+
+
+@query(f"""{_CH} SELECT op_type, key, value, crts, count(*) AS n FROM ch GROUP BY ALL
+UNION ALL SELECT 3, '', '', max(crts), 4 FROM ch""")
+def queue_sink_stream(spark, d):
+    """A log and its marker through a queue of four partitions, opened by URI."""
+    path, log = _shared(spark, "queue"), _log(spark, d).select("op_type", "key", "value", "crts", "sequence")
+    mark = log.agg(F.max("crts").alias("crts"), F.max("sequence").alias("sequence")).select(F.lit(changelog.RESOLVED).alias("op_type"), F.lit(None).cast("binary").alias("key"), F.lit(None).cast("binary").alias("value"), "crts", "sequence")
+    log.union(mark).write.parquet(f"{path}/in")
+    where = path.split("://", 1)
+    scheme, place = where if len(where) == 2 else ("file", where[0])
+    place = "/" + place.lstrip("/") if scheme == "file" else place
+    stream = spark.readStream.schema(log.schema).parquet(f"{path}/in")
+    sinks.open_sink(stream, f"queue://{place}/q?partitions=4&fs={scheme}").option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    rows = sinks.read_queue(spark, f"{scheme}://{place}/q").select("partition", "op_type", "crts", *[F.coalesce(F.decode(c, "UTF-8"), F.lit("")).alias(c) for c in ("key", "value")])
+    return rows.groupBy("op_type", "key", "value", "crts").agg(F.count("*").alias("n"))
