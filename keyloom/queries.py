@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from keyloom.functions import codec, hashes, timestamps
 from keyloom.functions import keys as K
 from keyloom.operators import changelog, checksums, folds, placement, ranges, watermarks
-from keyloom.plans import backups, bulkload, feeds
+from keyloom.plans import backups, bulkload, feeds, restore
 from keyloom.sources import feed, logs
 from keyloom.streaming import apply, frontier, regions, release, sinks
 
@@ -687,3 +687,14 @@ def queue_sink_stream(spark, d):
     sinks.open_sink(stream, f"queue://{place}/q?partitions=4&fs={scheme}").option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
     rows = sinks.read_queue(spark, f"{scheme}://{place}/q").select("partition", "op_type", "crts", *[F.coalesce(F.decode(c, "UTF-8"), F.lit("")).alias(c) for c in ("key", "value")])
     return rows.groupBy("op_type", "key", "value", "crts").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_REG}, p AS (SELECT {_K('o_orderkey')} AS key, any_value(o_orderstatus) AS value FROM orders GROUP BY o_orderkey)
+SELECT region_id, 'w' || key AS key, value FROM p JOIN reg ON key >= "start" AND ("end" IS NULL OR key < "end") WHERE key >= 'u00000020'""")
+def restore_by_region(spark, d):
+    """A backup of orders restored under another prefix, by cuts of files and regions."""
+    pairs = _t(spark, d, "orders").select(_key("o_orderkey").alias("key"), F.encode("o_orderstatus", "UTF-8").alias("value"))
+    path, moved = _shared(spark, "restore"), lambda c: F.concat(F.lit(b"w"), c)
+    backups.backup(pairs, path)
+    layout = _regions(spark, d).select("region_id", moved(F.col("start")).alias("start"), F.coalesce(moved(F.col("end")), F.lit(b"x")).alias("end"))
+    return restore.restore_regions(spark, path, layout, b"wu00000020", b"x", [(b"u", b"wu")]).select("region_id", _text("key"), _text("value"))
