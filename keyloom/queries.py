@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from keyloom.functions import codec, hashes, timestamps
 from keyloom.functions import keys as K
 from keyloom.operators import changelog, checksums, folds, placement, ranges, watermarks
-from keyloom.plans import backups, bulkload, feeds, restore
+from keyloom.plans import backups, bulkload, feeds, manifests, restore
 from keyloom.sources import feed, logs
 from keyloom.streaming import apply, frontier, regions, release, sinks
 
@@ -698,3 +698,12 @@ def restore_by_region(spark, d):
     backups.backup(pairs, path)
     layout = _regions(spark, d).select("region_id", moved(F.col("start")).alias("start"), F.coalesce(moved(F.col("end")), F.lit(b"x")).alias("end"))
     return restore.restore_regions(spark, path, layout, b"wu00000020", b"x", [(b"u", b"wu")]).select("region_id", _text("key"), _text("value"))
+
+
+@query("SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS name, 'default' AS cf, CAST(o_custkey AS BIGINT) AS total_kvs FROM orders")
+def encrypted_manifest(spark, d):
+    """A file an order in a manifest of encrypted documents, and what is read from it."""
+    files = _t(spark, d, "orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("name"), F.lit("default").alias("cf"), F.col("o_custkey").cast("bigint").alias("total_kvs"))
+    path, key = _shared(spark, "manifest"), backups.new_key()
+    manifests.write_manifest(files, path, key, 64 << 10)
+    return manifests.read_manifest(spark, path, "name string, cf string, total_kvs bigint", key)
