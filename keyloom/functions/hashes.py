@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the reflected polynomial of CRC-64/ECMA as used with all-ones start and end.
 ECMA = 0xC96C5795D7870F42
+#: Bytes of a padded table of values: rows are taken by length, so that one long value does not widen all.
+AREA = 16 << 20
 _U32, _U64 = np.uint32, np.uint64
 
 
@@ -95,9 +97,25 @@ def murmur3_64_values(values: pd.Series) -> np.ndarray:
     return mix(h1) + mix(h2)
 
 
+def by_length(kernel, values: pd.Series) -> np.ndarray:
+    """The kernel's values in the order of the rows, from tables of at most AREA bytes or of one row."""
+    size = np.fromiter((0 if v is None else len(v) for v in values), np.int64, len(values))
+    order, out, at = np.argsort(size, kind="stable"), None, 0
+    while at < len(order):
+        to = len(order)
+        while to - at > 1 and (to - at) * size[order[to - 1]] > AREA:
+            to = at + max(1, min((to - at) // 2, AREA // int(size[order[to - 1]])))
+        part = kernel(values.iloc[order[at:to]])
+        out = np.empty(len(order), part.dtype) if out is None else out
+        out[order[at:to]] = part
+        at = to
+    return kernel(values) if out is None else out
+
+
 def _udf(kernel, kind: str, signed):
     def run(values: pd.Series) -> pd.Series:
-        return pd.Series(kernel(values).view(signed) if signed else kernel(values).astype(np.int64)).where(values.notna().values, None).astype("Int64")
+        made = by_length(kernel, values)
+        return pd.Series(made.view(signed) if signed else made.astype(np.int64)).where(values.notna().values, None).astype("Int64")
 
     return F.pandas_udf(run, kind)
 

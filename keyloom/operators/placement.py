@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyloom.operators import scan
+
 
 def loads(workers: DataFrame, spans: DataFrame, worker: str = "capture_id", load: str | None = None) -> DataFrame:
     """Spans (or the sum of `load`) of each worker, 0 for idle ones."""
@@ -41,8 +43,8 @@ def rebalanced(workers: DataFrame, spans: DataFrame, worker: str = "capture_id",
     rank = Window.orderBy(F.col("load").desc(), worker)  # a row a worker
     room = have.withColumn("room", F.greatest(F.lit(0), F.lit(share) + (F.row_number().over(rank) <= extra).cast("int") - F.col("load")))
     slots = room.select(worker, F.explode(F.expr("if(room > 0, sequence(1, room), array())")).alias("k"))
-    numbered = slots.withColumn("slot", F.row_number().over(Window.orderBy("k", worker))).select("slot", F.col(worker).alias("to"))
-    queued = moving.withColumn("slot", F.row_number().over(Window.orderBy(span)))
+    numbered = scan.in_order(slots, F.col("k"), F.col(worker)).numbered("slot").rows.select("slot", F.col(worker).alias("to"))
+    queued = scan.in_order(moving, F.col(span)).numbered("slot").rows
     moved = queued.join(numbered, "slot").select(span, F.col("to").alias(worker))
     return left.select(span, worker).union(moved)
 

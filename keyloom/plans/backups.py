@@ -85,7 +85,8 @@ def restore(spark: SparkSession, path: str, start: bytes = b"", end: bytes | Non
     whole = spark.range(1).select(F.lit(b"").alias("start"), F.lit(None).cast("binary").alias("end"))
     names = select_files(files, whole, start, end).select("name")
     data = spark.read.parquet(f"{path}/data").withColumn("name", F.col("_metadata.file_name"))
-    return data.join(F.broadcast(names), "name", "left_semi").filter(K.in_span("key", F.lit(start), F.lit(end).cast("binary"))).select("key", "value")
+    names = F.broadcast(names) if ranges.small(names) else names
+    return data.join(names, "name", "left_semi").filter(K.in_span("key", F.lit(start), F.lit(end).cast("binary"))).select("key", "value")
 
 
 def verify(spark: SparkSession, path: str) -> DataFrame:

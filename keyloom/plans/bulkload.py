@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil, floor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.operators import changelog, ranges
+from keyloom.operators import changelog, ranges, scan
 
 #: Keys and bytes of a range, and the least and most splits.
 RANGE_KEYS, RANGE_BYTES = 960_000, 96 << 20
@@ -50,23 +50,20 @@ def sample_keys(pairs: DataFrame, count: int, size: int, seed: int = 42) -> Data
 
 def split_points(keys: DataFrame, n: int) -> DataFrame:
     """n keys that cut the sorted keys into n + 1 parts of equal counts (place, key), places from 1. Sorting is
-    by ranges; each partition learns from the counts before it which of its rows are cuts."""
+    by ranges, written once; each part learns from the counts before it which of its rows are cuts."""
     total = keys.count()
     step = total // (n + 1) if n > 0 else 0
     if not step:
         return keys.limit(0).select(F.lit(0).cast("bigint").alias("place"), "key")
-    dealt = keys.select("key").repartitionByRange("key").sortWithinPartitions("key").withColumn("part", F.spark_partition_id()).withColumn("order", F.monotonically_increasing_id())
-    counts = dealt.groupBy("part").agg(F.count("*").alias("n"), F.min("order").alias("first"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a partition
-    rank = dealt.join(F.broadcast(before.drop("n")), "part").withColumn("rank", F.col("before") + F.col("order") - F.col("first"))
+    rank = scan.in_order(keys.select("key"), F.col("key")).numbered().rows
     return rank.filter((F.col("rank") % step == 0) & (F.col("rank") > 0) & (F.col("rank") <= step * n)).select((F.col("rank") / step).cast("bigint").alias("place"), "key")
 
 
 def ranges_from(points: DataFrame) -> DataFrame:
     """The ranges between split points: range_id from 0, start, end."""
     firsts = points.select("key").union(points.sparkSession.range(1).select(F.lit(b"").alias("key"))).distinct()
-    w = Window.orderBy("key")  # a row a range
-    return firsts.select((F.row_number().over(w) - 1).alias("range_id"), F.col("key").alias("start"), F.lead("key").over(w).alias("end"))
+    rows = scan.in_order(firsts, F.col("key")).numbered("range_id").carried(F.min("key"), "later", forward=False)
+    return rows.rows.select("range_id", F.col("key").alias("start"), F.coalesce(F.lead("key").over(rows.window()), F.col("later")).alias("end"))
 
 
 def assign(pairs: DataFrame, layout: DataFrame, range_id: str = "range_id") -> DataFrame:
