@@ -66,3 +66,8 @@ def ready(wanted: DataFrame, status: DataFrame, related: DataFrame, span: str =
 def oldest(regions: DataFrame, n: int = 64, ts: str = "resolved_ts", key: str = "region_id") -> DataFrame:
     """The n regions that have waited longest (a top-k report)."""
     return regions.orderBy(ts, key).limit(n)
+
+
+def live_stores(stores: DataFrame, state: str = "state") -> DataFrame:
+    """Stores that are up: others are passed over, and what they hold is asked for elsewhere."""
+    return stores.filter(F.lower(F.col(state)) == "up")

@@ -206,3 +206,25 @@ def stale_or_gaps(locked: DataFrame, start: bytes, end: bytes | None, version: i
 def cut(files: DataFrame, ranges: DataFrame) -> DataFrame:
     """Every file against the ranges that it reaches into, with the common range; empty ones do not appear."""
     return intersect(files, ranges).filter(F.col("end").isNull() | (F.col("start") < F.col("end")))
+
+
+def inside_any(spans: DataFrame, parents: DataFrame, name: str = "inside") -> DataFrame:
+    """Spans with whether one parent holds each whole (a union of several does not count). An empty span raises an
+    error. Of the parents that begin at or before a span, the one with the highest end decides."""
+    bad = F.raise_error(F.lit("a span does not end after it starts")).cast("binary")
+    subs = spans.withColumn("start", F.when(F.col("end").isNull() | (F.col("start") < F.col("end")), F.col("start")).otherwise(bad))
+    best = parents.groupBy("start").agg(F.max(_code("end")).alias("reach")).select(F.lit("").alias("all"), "start", "reach")
+    mark = F.struct("all", "reach")
+    rows = scan.in_order(best, F.col("start")).running(mark, "earlier")
+    high = F.greatest(F.max(mark).over(rows.over()), F.col("earlier"))["reach"]
+    reached = rows.rows.select(F.col("start").alias("from"), high.alias("reach"))
+    met = scan.as_of(subs, reached, "start", "from")
+    return met.withColumn(name, F.coalesce(_code("end") <= F.col("found.reach"), F.lit(False))).drop("found")
+
+
+def region_count(regions: DataFrame, start: bytes = b"", end: bytes | None = None, encoded: bool = True) -> DataFrame:
+    """One row: how many regions share keys with [start, end). Where regions are bounded by memory-comparable codes, as
+    placement services have them, the ends of the range are encoded first."""
+    code = (lambda k: K.encode_memcomparable(F.lit(k))) if encoded else F.lit
+    low, high = code(start), F.lit(None).cast("binary") if end is None else code(end)
+    return regions.filter(K.overlaps("start", "end", low, high)).agg(F.count("*").alias("regions"))

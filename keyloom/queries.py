@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.functions import codec, hashes, timestamps
+from keyloom.functions import codec, hashes, timestamps, values
 from keyloom.functions import keys as K
 from keyloom.operators import changelog, checksums, folds, placement, ranges, watermarks
-from keyloom.plans import backups, bulkload, feeds, manifests, restore
+from keyloom.plans import backups, bulkload, feeds, manifests, restore, summary
 from keyloom.sources import feed, logs
 from keyloom.streaming import apply, frontier, regions, release, sinks
 
@@ -707,3 +707,41 @@ def encrypted_manifest(spark, d):
     path, key = _shared(spark, "manifest"), backups.new_key()
     manifests.write_manifest(files, path, key, 64 << 10)
     return manifests.read_manifest(spark, path, "name string, cf string, total_kvs bigint", key)
+
+
+@query(f"""{_CH}, {_SP(a=_K('n_nationkey * 6'), b=_K('n_nationkey * 6 + 9'))}
+SELECT event_id, EXISTS (SELECT 1 FROM sp WHERE "start" <= key AND {_K('user_id + 3')} <= "end") AS inside FROM ch""")
+def spans_inside_parents(spark, d):
+    """Three users' keys from each event's on as a span, against overlapping parents."""
+    spans = _log(spark, d).select("event_id", F.col("key").alias("start"), _key("user_id + 3").alias("end"))
+    return ranges.inside_any(spans, _spans(spark, d, 9)).select("event_id", "inside")
+
+
+@query(f"""WITH {_REG} SELECT count(*) AS regions FROM reg WHERE "start" < 'u00000077' AND ("end" IS NULL OR "end" > 'u00000021')""")
+def regions_in_range(spark, d):
+    regions_ = _regions(spark, d)
+    coded = regions_.select("region_id", K.encode_memcomparable("start").alias("start"), K.encode_memcomparable("end").alias("end"))
+    return ranges.region_count(coded, b"u00000021", b"u00000077")
+
+
+@query("""SELECT o_orderkey, greatest(5, least(90, o_custkey)) AS clamped, CAST(2 ** ceil(log2(o_orderkey + 1)) AS BIGINT) AS power,
+  o_custkey & 1 <> 0 AND o_custkey & 6 <> 0 AS both, o_custkey & 7 <> 0 AS one, o_custkey | 8 AS added, xor(o_custkey, 4) AS toggled FROM orders""")
+def flags_and_powers(spark, d):
+    n = F.col("o_custkey").cast("bigint")
+    return _t(spark, d, "orders").select(
+        "o_orderkey", values.clamp(F.col("o_custkey"), 5, 90).alias("clamped"), values.next_power_of_two(F.col("o_orderkey") + 1).alias("power"),
+        values.has_all(n, 1, 6).alias("both"), values.has_one(n, 1, 2, 4).alias("one"), values.with_flags(n, 8).alias("added"), values.toggled(n, 4).alias("toggled"),
+    )
+
+
+@query(f"""WITH p AS (SELECT DISTINCT {_K('o_orderkey')} AS key FROM orders)
+SELECT CAST(1 AS BIGINT) AS succeeded, CAST(0 AS BIGINT) AS failed, count(*) AS rows, CAST(sum(strlen(key) + 1) AS BIGINT) AS bytes FROM p WHERE key >= 'u00000100' AND key < 'u00000900'""")
+def restore_summary(spark, d):
+    """Units, rows and bytes of a restore, counted by the job that writes it."""
+    pairs = _t(spark, d, "orders").select(_key("o_orderkey").alias("key"), F.encode("o_orderstatus", "UTF-8").alias("value"))
+    path, run = _shared(spark, "summary"), summary.RunSummary()
+    backups.backup(pairs, path)
+    rows = run.counted(backups.restore(spark, path, b"u00000100", b"u00000900"), "restore", F.length("key") + F.length("value"))
+    with run.unit("restore"):
+        rows.write.parquet(f"{path}/restored")
+    return run.totals(spark).select("succeeded", "failed", "rows", "bytes")
