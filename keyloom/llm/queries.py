@@ -73,4 +73,29 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_substring_dedup, op4_suffix_dedup, op5_simhash, op6_media, op7_line_dedup, op8_token_files, op9_quality, op10_byte_bpe, op11_conversation_trie, op12_minhash, op13_conversation_repair)}
-ORACLE_SQL: dict[str, str] = {}
+
+#: CRC-32 of an id in decimal, by bits.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_conversation_trie": f"""WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS pos FROM t),
+h AS (SELECT c, {_CRC} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+parts AS (SELECT h.c, 0 AS part, pos, role, text FROM h JOIN own o ON o.c = h.c - h.c % 5 AND pos <= h UNION ALL SELECT h.c, 1, pos, role, text FROM h JOIN own o ON o.c = h.c AND pos > h),
+seq AS (SELECT h.c, coalesce(list({{'role': role, 'text': text}} ORDER BY part, pos) FILTER (WHERE part IS NOT NULL), []) AS turns FROM h LEFT JOIN parts USING (c) GROUP BY h.c),
+each AS (SELECT c, len(turns) AS size, d, turns[1:d] AS node FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM seq)),
+n AS (SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE size = d), '') AS ends,
+  CASE WHEN d = 0 THEN 0 ELSE strlen(node[d].text) END AS bytes FROM each GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+a AS (SELECT n.*, coalesce(kids, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+s AS (SELECT node[1:up] AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM a) GROUP BY ALL)
+SELECT a.conv_id, a.d AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM a JOIN s USING (node) LEFT JOIN n p ON a.d > 0 AND p.node = a.node[1:a.d - 1]""",
+    "op12_minhash": """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS s FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, x.b FROM r JOIN (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) x ON x.a = r.b)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(r.b) AS component_id, min(r.b) = doc_id AS kept FROM g JOIN r ON r.a = doc_id GROUP BY doc_id, g""",
+}
