@@ -220,10 +220,10 @@ def region_lookup(spark, d):
     return ranges.locate(_log(spark, d), _regions(spark, d)).groupBy("region_id").agg(F.count("*").alias("n"), F.count_distinct("key").alias("keys"))
 
 
-@query(f"""WITH {_REG}, k AS (SELECT DISTINCT {_K('s_suppkey % 200')} AS key FROM supplier)
+@query(f"""WITH {_REG}, k AS (SELECT DISTINCT {_K('s_suppkey')} AS key FROM supplier)
 SELECT region_id, string_agg(key, ',' ORDER BY key) AS split_keys FROM k JOIN reg ON key > "start" AND ("end" IS NULL OR key < "end") GROUP BY region_id""")
 def split_keys_by_region(spark, d):
-    keys = _t(spark, d, "supplier").select(_key("s_suppkey % 200").alias("key"))
+    keys = _t(spark, d, "supplier").select(_key("s_suppkey").alias("key"))
     met = ranges.split_keys_by_range(keys, _regions(spark, d), "region_id")
     return met.select("region_id", F.array_join(F.transform("split_keys", lambda k: F.decode(k, "UTF-8")), ",").alias("split_keys"))
 
