@@ -39,7 +39,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of texts that share 0.8 or more of their five-word
-    shingles (Jaccard, exact); of rows with that id, the one with the smallest hash of its text. A group of null
+    shingles (Jaccard, confirmed on whole sets; pairs beyond a SimHash radius are not compared, which loses a link
+    with a chance of some 1 in 10^5 or less); of rows with that id, the one with the smallest hash of its text. A group of null
     ids alone keeps one row of each text."""
     groups = simhash.similar_groups(docs, words=5, similarity=0.8)
     kept = groups.filter("doc_id <=> component_id and (tie = component_tie or doc_id is null)").select(_name(F.col("doc_id")).alias("name"), "tie").distinct()
