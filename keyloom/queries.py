@@ -690,7 +690,7 @@ def queue_sink_stream(spark, d):
 
 
 @query(f"""WITH {_REG}, p AS (SELECT {_K('o_orderkey')} AS key, any_value(o_orderstatus) AS value FROM orders GROUP BY o_orderkey)
-SELECT region_id, 'w' || key AS key, value FROM p JOIN reg ON key >= "start" AND ("end" IS NULL OR key < "end") WHERE key >= 'u00000020'""")
+SELECT CAST(region_id AS BIGINT) AS region_id, 'w' || key AS key, value FROM p JOIN reg ON key >= "start" AND ("end" IS NULL OR key < "end") WHERE key >= 'u00000020'""")
 def restore_by_region(spark, d):
     """A backup of orders restored under another prefix, by cuts of files and regions."""
     pairs = _t(spark, d, "orders").select(_key("o_orderkey").alias("key"), F.encode("o_orderstatus", "UTF-8").alias("value"))
