@@ -5,12 +5,15 @@ it, one segment survives, shifted by few places, in a line of nearly the same le
 its segments, and probes the indexes of its own and the shorter lengths with the substrings that can face a
 segment. Pairs that meet are compared by their numbers of common characters, of which an edit changes two by one
 at most, and then verified by an edit distance whose band of 2 * threshold + 1 diagonals is a machine word. As
-only the existence of an earlier near line is asked for, lines first meet the earliest ones under each key, ever
-more of them, and all others only where none of these is near."""
+only the existence of an earlier near line is asked for, lines first meet the earliest ones under each key. Where
+none of these is near, a line meets the others under its keys if few of them are still in question; under keys with
+many such lines, as those of a common phrase, it meets only those with which it shares a rare finer piece."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed
@@ -18,15 +21,18 @@ from .common import checkpointed
 #: (characters, edits): lines from so many characters on, up to the next such number, are near others of at most
 #: their length within so many edits. Shorter lines are compared for equality alone.
 EDITS = ((10, 1), (20, 2))
-#: Parts of a key's lines whose earliest ones are met in the first round, and by how much they grow with each round.
-LEADERS, GROWTH = 8, 16
+#: Parts of a key's lines whose earliest ones are met: under every key, then under those with over FEW lines that no
+#: earlier one is known to be near to. Such a line meets the rest of its key only where there are no more than FEW.
+LEADERS, FEW = (8, 128), 64
+#: Characters of a fine piece at least, and fine pieces of a line at most, step by step.
+PIECE, FINEST = 4, (32, 256, 1 << 30)
 #: Characters whose numbers in two lines are compared before the lines are; all others together are one more.
 COUNTED = "etaoinsrhldcumfgpbvyw "
 #: Bits of the bitmap of candidates a candidate, and of the bitmap at most, as a power of two (128 MB).
 SPARSE, BITS = 16, 30
 
 
-def _segment(length: str, i: int, parts: int) -> tuple[str, str]:
+def _segment(length: str, i: int | str, parts: int | str) -> tuple[str, str]:
     """SQL of the first character (from 0) and the length of segment i of a line; the last ones are longer."""
     base, short = f"cast(({length}) div {parts} as int)", f"({parts} - cast(({length}) % {parts} as int))"
     return f"({i} * {base} + greatest(0, {i} - {short}))", f"({base} + if({i} >= {short}, 1, 0))"
@@ -119,15 +125,15 @@ def _shared_keys(lines: DataFrame, edits) -> DataFrame:
     return entries.join(shared.hint("shuffle_hash"), "key")
 
 
-def _marked(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The lines whose h is in `wanted` (and some others), by a bitmap that is broadcast: SPARSE bits a wanted
-    hash, 2**BITS bits at most; what passes is joined exactly."""
+def _marked(lines: DataFrame, wanted: DataFrame, h: str) -> DataFrame:
+    """The rows whose hash h is in `wanted`, by a bitmap that is broadcast: SPARSE bits a wanted hash, 2**BITS bits
+    at most; what passes is joined exactly."""
     bits = min(BITS, max(15, (SPARSE * wanted.count()).bit_length()))
-    slot = F.expr(f"pmod(h, {1 << bits}L) + 1")
+    slot = F.expr(f"pmod({h}, {1 << bits}L) + 1")
     marks = wanted.select(slot.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("marks"))
     met = lines.withColumn("slot", slot).withColumn("bucket", F.expr("bitmap_bucket_number(slot)")).join(F.broadcast(marks), "bucket")
     byte = "cast(conv(hex(substring(marks, cast(bitmap_bit_position(slot) div 8 as int) + 1, 1)), 16, 10) as int)"
-    return met.filter(f"({byte} & shiftleft(1, cast(bitmap_bit_position(slot) % 8 as int))) <> 0").drop("bucket", "marks", "slot").join(wanted.hint("shuffle_hash"), "h")
+    return met.filter(f"({byte} & shiftleft(1, cast(bitmap_bit_position(slot) % 8 as int))) <> 0").drop("bucket", "marks", "slot").join(wanted.hint("shuffle_hash"), h)
 
 
 def _counts(line: str) -> str:
@@ -141,6 +147,73 @@ def _l1(a: str, b: str) -> str:
     return " + ".join(f"abs(get({a}, {k}) - get({b}, {k}))" for k in range(len(COUNTED) + 1))
 
 
+def _met(later: DataFrame, early: DataFrame, most: int) -> DataFrame:
+    """(h, g, eh, eg): the pairs under a key whose numbers of characters allow so many edits, the earlier line as e."""
+    early = early.select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "own", "counts")])
+    return later.join(early, "key").filter(f"efirst < first and (own or eown) and {_l1('counts', 'ecounts')} <= {2 * most}").select("h", "g", "eh", "eg").distinct()
+
+
+def _found(met: DataFrame, texts: DataFrame, edits) -> DataFrame:
+    """(h, g) of the pairs that are near."""
+    for h, g, line in (("h", "g", "line"), ("eh", "eg", "other")):
+        met = met.join(texts.select(F.col("h").alias(h), F.col("g").alias(g), F.col("line").alias(line)), [h, g])
+    longer = _threshold("greatest(char_length(line), char_length(other))", edits)
+    return met.filter(edit_distance("line", "other", max(e for _, e in edits)) <= F.expr(longer)).select("h", "g").distinct()
+
+
+def _pieces(chars: str, edits: int, finest: int) -> str:
+    """SQL of the number of fine pieces of a line of so many characters."""
+    return f"cast(greatest({edits + 1}, ({chars}) div greatest({PIECE}, ({chars}) div {finest})) as int)"
+
+
+def _fine_keys(chars: str, edits: int, finest: int, move: int) -> str:
+    """SQL of the keys of all fine pieces of a line of `chars` characters, looked for so many places further on."""
+    m = _pieces(chars, edits, finest)
+    at, n = _segment(chars, "i", m)
+    key = f"if({at} + {move} >= 0, xxhash64('fine', {edits}, {chars}, {m}, i, substring(line, {at} + {move} + 1, {n})), null)"
+    return f"transform(sequence(0, {m} - 1), i -> {key})"
+
+
+def _exploded(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.withColumn("key", F.explode(F.expr(f"flatten(array({', '.join(keys)}))"))).drop("line", "chars").filter("key is not null")
+
+
+def _crowded(lines: DataFrame, edits) -> DataFrame:
+    """(h, g, eh, eg): pairs of lines that share segments with very many others. lines: h, g, first, line, counts,
+    own (indexed by a segment that many share), open (no near line is known yet).
+
+    A line is cut into ever finer pieces, many more than its threshold. Whatever the edits, one of any threshold + 1
+    of them survives, so it is indexed by those alone that fewest lines have, and others look for all of theirs. A
+    line that has no such rare ones is cut finer; at the finest, all that meet are compared."""
+    spans, most = _spans(edits), max(e for _, e in edits)
+    rows = checkpointed(lines.withColumn("chars", F.char_length("line")))
+    waiting, pairs = rows.filter("own"), None
+    for step, finest in enumerate(FINEST):
+        parts = [_exploded(waiting.filter(f"chars >= {low - e} and chars < {high}"), [_fine_keys("chars", e, finest, 0)]).withColumn("edits", F.lit(e)) for e, low, high in spans]
+        pieces = checkpointed(reduce(DataFrame.union, parts))
+        rare = Window.partitionBy("h", "g", "edits").orderBy("having", "key")
+        ranked = pieces.join(pieces.groupBy("key").agg(F.count("*").alias("having")), "key").withColumn("rank", F.row_number().over(rare))
+        index = checkpointed(ranked.filter("rank <= edits + 1").drop("rank", "having", "edits", "own"))
+        probes = []
+        for e, low, high in spans:
+            moves = [(less, move) for less in range(e + 1) for move in range(-e, e + 1) if abs(move) + abs(less - move) <= e]
+            probes.append(_exploded(rows.filter(f"chars >= {low} and chars < {high}"), [_fine_keys(f"(chars - {less})", e, finest, move) for less, move in moves]).drop("own"))
+        asked = checkpointed(_marked(reduce(DataFrame.union, probes), index.select("key").distinct(), "key"))
+        if step + 1 < len(FINEST):
+            busy = index.groupBy("key").agg(F.count("*").alias("n")).join(asked.groupBy("key").agg(F.count("*").alias("m")), "key").filter(f"least(n, m) > {FEW}").select("key")
+            late = checkpointed(index.join(busy, "key", "left_semi").select("h", "g").distinct())
+            index = index.join(late, ["h", "g"], "left_anti")
+            waiting = waiting.join(late, ["h", "g"], "left_semi")
+        other = index.select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "counts", "open")])
+        met = asked.join(other, "key").filter(f"first <> efirst and if(efirst < first, open, eopen) and {_l1('counts', 'ecounts')} <= {2 * most}")
+        pair = F.expr("if(efirst < first, struct(h, g, eh, eg), struct(eh as h, eg as g, h as eh, g as eg))")
+        met = checkpointed(met.select(pair.alias("p")).select("p.*").distinct())
+        pairs = met if pairs is None else pairs.union(met)
+        if step + 1 < len(FINEST) and late.isEmpty():
+            break
+    return pairs.distinct()
+
+
 def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
     """(h, g) of the lines that a different one within the longer line's threshold comes before, by first places.
     lines: id, tie, pos (the place), line, h, g (hashes). edits: see EDITS."""
@@ -148,31 +221,29 @@ def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
         return lines.select("h", "g").limit(0)
     most = max(e for _, e in edits)
     alive = checkpointed(_shared_keys(lines, edits))
-    chosen = _marked(lines, alive.select("h").distinct())
+    chosen = _marked(lines, alive.select("h").distinct(), "h")
     distinct = chosen.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "pos")).alias("first"), F.first("line").alias("line"))
     texts = checkpointed(distinct.withColumn("counts", F.expr(_counts("line"))))
     # equal hashes h of different lines part here, as g is in the rows from now on
     entries = checkpointed(alive.join(texts.drop("line"), "h"))
-    near, open_, parts, met_by = None, entries, LEADERS, 0
-    while True:
-        last = (open_.agg(F.max("n")).first()[0] or 0) <= 8 * met_by
+    near, open_, crowds = None, entries, None
+    for parts in LEADERS:  # the earliest line of each part of a key, among those indexed and among all
         entry = F.struct("first", "h", "g", "own", "counts")
-        if last:
-            early = entries
-        else:  # the earliest line of each part of a key, among those indexed and among all
-            lead = entries.groupBy("key", F.expr(f"pmod(h, {parts})")).agg(F.min(F.when(F.col("own"), entry)).alias("a"), F.min(entry).alias("b"))
-            early = lead.select("key", F.explode(F.array("a", "b")).alias("e")).filter("e is not null").select("key", "e.*").distinct()
-        early = early.select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "own", "counts")])
-        met = open_.join(early, (open_["key"] == early["key"]) & F.expr(f"efirst < first and (own or eown) and {_l1('counts', 'ecounts')} <= {2 * most}")).select("h", "g", "eh", "eg").distinct()
-        for h, g, line in (("h", "g", "line"), ("eh", "eg", "other")):
-            met = met.join(texts.select(F.col("h").alias(h), F.col("g").alias(g), F.col("line").alias(line)), [h, g])
-        longer = _threshold("greatest(char_length(line), char_length(other))", edits)
-        found = met.filter(edit_distance("line", "other", most) <= F.expr(longer)).select("h", "g").distinct()
-        near = found if near is None else near.union(found)
-        if last:
-            return near
-        near, met_by, parts = checkpointed(near), parts, parts * GROWTH
+        many = entries if crowds is None else entries.join(crowds, "key", "left_semi")
+        lead = many.groupBy("key", F.expr(f"pmod(h, {parts})")).agg(F.min(F.when(F.col("own"), entry)).alias("a"), F.min(entry).alias("b"))
+        early = lead.select("key", F.explode(F.array("a", "b")).alias("e")).filter("e is not null").select("key", "e.*").distinct()
+        found = _found(_met(open_, early, most), texts, edits)
+        near = checkpointed(found if near is None else near.union(found))
         open_ = entries.join(near, ["h", "g"], "left_anti")
+        crowds = checkpointed(open_.groupBy("key").agg(F.count("*").alias("n")).filter(f"n > {FEW}").select("key"))
+        if crowds.isEmpty():
+            return near.union(_found(_met(open_, entries, most), texts, edits))
+    near = near.union(_found(_met(open_.join(crowds, "key", "left_anti"), entries, most), texts, edits))
+    near = checkpointed(near.distinct())
+    crowd = entries.join(crowds, "key", "left_semi").groupBy("h", "g").agg(F.max("own").alias("own"))
+    known = near.withColumn("known", F.lit(True))
+    rows = texts.join(crowd, ["h", "g"]).join(known, ["h", "g"], "left").withColumn("open", F.col("known").isNull()).drop("known")
+    return near.union(_found(_crowded(rows, edits), texts, edits))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits=EDITS) -> DataFrame:
