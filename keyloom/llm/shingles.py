@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from .common import WORD_BASES, flat_bytes, fmix, slices, span_hashes, window_hashes, word_spans
-from .sketch import Repeated
+from .sketch import Magnitudes, Repeated
 
 #: 64-bit words of a set's fingerprint, and smallest shingles that travel beside it.
 FP_WORDS, LEADS = 4, 4
@@ -44,9 +44,15 @@ class Shingles:
         total = np.concatenate([np.zeros(1, _U), np.cumsum(fmix(self.gram + _U(WORD_BASES[1])), dtype=_U)])
         self.node = np.where(self.n > 0, fmix(total[self.first[1:]] - total[self.first[:-1]] + self.n.astype(_U)), _U(0)).view(np.int64)
 
+    def ordered(self, often: Magnitudes) -> np.ndarray:
+        """Keys of the shingles, ascending in each row: how often a shingle occurs (a magnitude), then most of its
+        hash. Any order that all rows share makes prefixes meet; this one keeps common passages out of them."""
+        key = (often(self.gram).astype(_U) << _U(57)) | (self.gram >> _U(7))
+        return key[np.lexsort((key, self.row))]
+
     def prefix(self, similarity: float) -> np.ndarray:
-        """Places of the shingles in the rows' prefixes: of two sets whose similarity is at least that, each has a
-        shingle in its own prefix that is in the other's."""
+        """Places of the ordered shingles in the rows' prefixes: of two sets whose similarity is at least that, each
+        has a shingle in its own prefix that is in the other's."""
         wide = self.n - np.ceil(similarity * self.n - 1e-9).astype(np.int64) + 1
         return np.flatnonzero(np.arange(len(self.gram)) - np.repeat(self.first[:-1], self.n) < np.repeat(wide, self.n))
 
@@ -62,15 +68,32 @@ class Shingles:
         return out
 
 
-def set_nodes(words: int):
+def shingle_bits(text_bytes: int) -> int:
+    """Bits of a sketch of how often shingles occur: a counter for some 256 words, 2**24 (32 MB in all) at most. With
+    more words than that, only passages in ever more texts stand out."""
+    return min(24, max(16, (text_bytes // (6 * 256)).bit_length()))
+
+
+def all_keys(words: int):
+    """Arrays of the shingles of whole sets."""
+
+    def run(batches):
+        for b in slices(batches, "text"):
+            yield Shingles(b, words).gram
+
+    return run
+
+
+def set_nodes(words: int, pages, bits: int):
     """(id, tie, node, n, f0, f1, ..., l0, l1, ...) of every row: equal sets have equal nodes, sizes n, fingerprints
-    and smallest shingles (the last one repeated where there are fewer, 0 without any)."""
+    and first shingles in their order (the last one repeated where there are fewer, 0 without any)."""
 
     def run(batches):
+        often = Magnitudes(pages.value, bits)
         for b in slices(batches, "text"):
             s = Shingles(b, words)
             fps = np.array([s.fingerprint(r) for r in range(len(s.n))], np.int64).reshape(-1, FP_WORDS)
-            grams = np.concatenate([s.gram, np.zeros(1, _U)]).view(np.int64)
+            grams = np.concatenate([s.ordered(often), np.zeros(1, _U)]).view(np.int64)
             leads = [np.where(s.n > 0, grams[s.first[:-1] + np.clip(s.n - 1, 0, k)], 0) for k in range(LEADS)]
             columns = [s.node, s.n, *[fps[:, k] for k in range(FP_WORDS)], *leads]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tie"), *map(pa.array, columns)], names=["id", "tie", "node", "n", *[f"f{k}" for k in range(FP_WORDS)], *[f"l{k}" for k in range(LEADS)]])
@@ -78,27 +101,28 @@ def set_nodes(words: int):
     return run
 
 
-def prefix_keys(words: int, similarity: float):
-    """Arrays of the shingles in prefixes."""
+def prefix_keys(words: int, similarity: float, pages, bits: int):
+    """Arrays of the ordered shingles in prefixes."""
 
     def run(batches):
+        often = Magnitudes(pages.value, bits)
         for b in slices(batches, "text"):
             s = Shingles(b, words)
-            yield s.gram[s.prefix(similarity)]
+            yield s.ordered(often)[s.prefix(similarity)]
 
     return run
 
 
-def prefix_rows(words: int, similarity: float, pages):
-    """(gram, node): a row a shingle of a prefix that the sketch has as repeated."""
+def prefix_rows(words: int, similarity: float, pages, bits: int, repeats):
+    """(gram, node): a row an ordered shingle of a prefix that the sketch has as repeated."""
 
     def run(batches):
-        repeated = Repeated(pages.value)
+        often, repeated = Magnitudes(pages.value, bits), Repeated(repeats.value)
         for b in slices(batches, "text"):
             s = Shingles(b, words)
-            at = s.prefix(similarity)
-            at = at[repeated(s.gram[at])]
-            yield pa.RecordBatch.from_arrays([pa.array(s.gram[at].view(np.int64)), pa.array(s.node[s.row[at]])], names=["gram", "node"])
+            at, gram = s.prefix(similarity), s.ordered(often)
+            at = at[repeated(gram[at])]
+            yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int64)), pa.array(s.node[s.row[at]])], names=["gram", "node"])
 
     return run
 

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, checkpointed, slices
 from .components import connected_components
-from .shingles import FP_WORDS, LEADS, prefix_keys, prefix_rows, set_nodes, similar_sets, twice, whole_sets
-from .sketch import repeated_slots
+from .shingles import FP_WORDS, LEADS, all_keys, prefix_keys, prefix_rows, set_nodes, shingle_bits, similar_sets, twice, whole_sets
+from .sketch import magnitudes, repeated_slots
 
 #: Fingerprints of a bucket that are compared in one group; larger buckets are split into pairs of parts.
 PART = 4096
@@ -370,7 +370,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     similarity of their shingles or more reach, itself included), component_tie (the smallest hash of a text with
     that id in the group).
 
-    Sets that similar share a shingle of their prefixes, so equal shingles there bring candidates together. Within
+    Sets that similar share a shingle of their prefixes, so equal shingles there bring candidates together; prefixes
+    take the rarest shingles first, by a sketch of how often each occurs. Within
     such a bucket their SimHashes are compared as bit planes, and what is within the radius is verified on the
     whole sets. Each node is first verified with the neighbour that has most others close by, in the bucket of its
     smallest shingle. Then every bucket with nodes of different components gets the whole sets of those that are
@@ -383,10 +384,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     fields, leads = ["n", *[f"f{k}" for k in range(FP_WORDS)]], [f"l{k}" for k in range(LEADS)]
-    nodes = checkpointed(rows.mapInArrow(set_nodes(words), "id bigint, tie bigint, node bigint, " + ", ".join(f"{f} bigint" for f in [*fields, *leads])))
+    bits = shingle_bits(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    often = spark.sparkContext.broadcast(magnitudes(rows, all_keys(words), bits))  # its size has a fixed bound
+    nodes = checkpointed(rows.mapInArrow(set_nodes(words, often, bits), "id bigint, tie bigint, node bigint, " + ", ".join(f"{f} bigint" for f in [*fields, *leads])))
     prints = nodes.groupBy("node").agg(*[F.min(f).alias(f) for f in [*fields, *leads]])
-    pages = spark.sparkContext.broadcast(repeated_slots(rows, prefix_keys(words, similarity)))  # its size has a fixed bound
-    prefix = rows.mapInArrow(prefix_rows(words, similarity, pages), "gram bigint, node bigint").distinct()  # equal sets are one node
+    repeats = spark.sparkContext.broadcast(repeated_slots(rows, prefix_keys(words, similarity, often, bits)))  # its size has a fixed bound
+    prefix = rows.mapInArrow(prefix_rows(words, similarity, often, bits, repeats), "gram bigint, node bigint").distinct()  # equal sets are one node
     met = prefix.groupBy("gram").agg(F.count("*").alias("many")).filter("many > 1").select("gram")
     there = checkpointed(prefix.join(met, "gram"))
     smallest = there.join(there.groupBy("node").agg(F.min("gram").alias("gram")), ["node", "gram"]).join(prints.select("node", *fields), "node").withColumn("component", F.col("node"))

@@ -1,5 +1,6 @@
 """Count-min sketches of 64-bit keys: partial ones where the rows are, added up page by page, then tested for
-counts above one. An estimate is never too small, so a key that it counts once does occur once."""
+counts above one, or read as magnitudes of counts. An estimate is never too small, so a key that it counts once does
+occur once."""
 
 from __future__ import annotations
 
@@ -95,3 +96,72 @@ class Repeated:
         for m, slot in zip(self.marks, _slots(keys, self.bits), strict=True):
             ok &= (m[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
         return ok
+
+
+def _totals(keys_of, bits: int):
+    """A partition's counts, page by page, saturated at 65535."""
+    low, size = min(bits, PAGE_BITS), 1 << min(bits, PAGE_BITS)
+
+    def run(batches):
+        count = [np.zeros(1 << bits, np.uint16) for _ in _ROWS]
+
+        def add(held):
+            for c, slot in zip(count, _slots(np.concatenate(held), bits), strict=True):
+                at, n = np.unique(slot, return_counts=True)
+                c[at] = np.minimum(c[at] + n, 65535)
+
+        held, n = [], 0
+        for keys in keys_of(batches):
+            held.append(keys)
+            n += len(keys)
+            if n > _KEYS_HELD:
+                add(held)
+                held, n = [], 0
+        if held:
+            add(held)
+        for r, c in enumerate(count):
+            for k in range(1 << (bits - low)):
+                part = c[k * size : (k + 1) * size]
+                if part.any():
+                    yield pa.RecordBatch.from_pydict({"page": pa.array([(r << 40) | k], pa.int64()), "counts": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
+
+    return run
+
+
+def _magnitudes(batches):
+    """Of rows sorted by page: the binary logarithms of the pages' total counts, compressed. One page is held."""
+    page, total = None, None
+
+    def made():
+        log = np.ceil(np.log2(np.maximum(total, 1))).astype(np.uint8)
+        return pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int64()), "logs": pa.array([zlib.compress(log.tobytes(), 1)], pa.binary())})
+
+    for b in batches:
+        for p, raw in zip(b.column("page").to_pylist(), b.column("counts").to_pylist(), strict=True):
+            if p != page:
+                if page is not None:
+                    yield made()
+                page, total = p, 0
+            total = total + np.frombuffer(zlib.decompress(raw), np.uint16).astype(np.int64)
+    if page is not None:
+        yield made()
+
+
+def magnitudes(rows: DataFrame, keys_of, bits: int) -> dict[int, bytes]:
+    """The pages of binary logarithms of all keys' counts: 2 * 2**bits bytes at most, before compression."""
+    partial = rows.mapInArrow(_totals(keys_of, bits), "page bigint, counts binary")
+    added = partial.repartition("page").sortWithinPartitions("page").mapInArrow(_magnitudes, "page bigint, logs binary")
+    return {r.page: bytes(r.logs) for r in added.collect()}
+
+
+class Magnitudes:
+    """Binary logarithms of keys' counts, rounded up, from the pages of magnitudes."""
+
+    def __init__(self, pages: dict[int, bytes], bits: int):
+        self.bits, self.logs = bits, [np.zeros(1 << bits, np.uint8) for _ in _ROWS]
+        for p, raw in pages.items():
+            part, at = np.frombuffer(zlib.decompress(raw), np.uint8), (p & ((1 << 40) - 1)) << min(bits, PAGE_BITS)
+            self.logs[p >> 40][at : at + len(part)] = part
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        return np.minimum.reduce([x[slot] for x, slot in zip(self.logs, _slots(keys, self.bits), strict=True)])

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from keyloom.llm import simhash
+from keyloom.llm import shingles, simhash, sketch
 
 from . import plain
 
@@ -88,3 +88,21 @@ def test_an_id_on_two_texts_keeps_the_clean_one(spark):
         kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
         assert len(kept) == 5 and {(1, texts[0]), (2, texts[1]), (None, "alone"), (None, "Alone")} <= set(kept)
         assert [t in (texts[2], texts[2] + " end") for i, t in kept if i == 3] == [True]
+
+
+@pytest.mark.parametrize("bits", [8, 21])
+def test_magnitudes_are_never_too_small_and_common_passages_leave_the_prefixes(spark, bits):
+    rng = np.random.default_rng(9)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [" ".join([*passage, *(f"w{x}" for x in rng.integers(0, 10**9, 60))]) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, "", "few words"]], "text string").repartition(3)
+    often = sketch.Magnitudes(sketch.magnitudes(docs, shingles.all_keys(5), bits), bits)
+    s = shingles.Shingles(pa.record_batch({"text": pa.array(texts)}), 5)
+    gram, count = np.unique(s.gram, return_counts=True)
+    assert (2.0 ** often(gram) >= count).all()
+    key, at = s.ordered(often), s.prefix(0.8)
+    assert all((np.diff(key[a:b].astype(np.int64)) > 0).all() for a, b in zip(s.first, s.first[1:], strict=False))
+    if bits == 21:
+        assert np.unique(key[at], return_counts=True)[1].max() == 1
+    else:  # too small a sketch tells nothing apart, and is still an order
+        assert len(at) == 18 * len(texts)
