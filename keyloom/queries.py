@@ -527,12 +527,49 @@ def backup_restore(spark, d):
     return backups.restore(spark, path, b"u00000100", b"u00000900").select(_text("key"), _text("value"))
 
 
-@query()
+#: CRC-64 of a string of ASCII characters after the prefix of the second format, by bits, as a BIGINT's bit pattern.
+_CRC64 = """xor(list_reduce(list_prepend(18446744073709551615::UBIGINT, list_concat([114, 0, 0, 0]::UBIGINT[], list_transform(string_split({}, ''), lambda x: CAST(ord(x) AS UBIGINT)))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 14514072000185962306::UBIGINT) ELSE x >> 1 END)), 18446744073709551615::UBIGINT)""".format
+_SIGNED = "CAST(CASE WHEN {0} > 9223372036854775807 THEN CAST({0} AS HUGEINT) - 18446744073709551616 ELSE CAST({0} AS HUGEINT) END AS BIGINT)".format
+
+
+@query(f"""{_CH}, each AS (SELECT event_type, {_CRC64("key || value")} AS crc, 4 + strlen(key) + strlen(value) AS bytes FROM ch)
+SELECT event_type, {_SIGNED("bit_xor(crc)")} AS crc64_xor, count(*) AS total_kvs, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM each GROUP BY event_type""")
 def crc64_checksum(spark, d):
     return checksums.checksum(_log(spark, d), "event_type")
 
 
-@query()
+_M32, _M64 = "CAST(({}) & 4294967295 AS UBIGINT)".format, "(({}) & 18446744073709551615::UHUGEINT)".format
+_ROT32, _ROT64 = "((({0}) << {1}) | (({0}) >> (32 - {1}))) & 4294967295".format, "((({0}) << {1}::UHUGEINT) | (({0}) >> (64 - {1})::UHUGEINT)) & 18446744073709551615::UHUGEINT".format
+
+
+def _bytes_of(first: int, n: int, kind: str) -> str:
+    """SQL of n characters of a key, from the given one, as a little-endian number."""
+    return "(" + " + ".join(f"CAST(ord(substr(key, {first + i}, 1)) AS {kind}) * {256**i}::{kind}" for i in range(n)) + ")"
+
+
+def _murmur_steps() -> str:
+    """SQL of both hashes of keys of nine bytes: two words (or one of eight bytes) and a tail of one byte."""
+    steps = [("b0", "SELECT event_id, key, 0::UBIGINT AS h FROM ch")]
+    for n, word in enumerate((_bytes_of(1, 4, "UBIGINT"), _bytes_of(5, 4, "UBIGINT"))):
+        steps.append((f"k{n}", f"SELECT *, {_M32(f'{word} * 3432918353::UBIGINT')} AS k FROM b{n}"))
+        steps.append((f"r{n}", f"SELECT event_id, key, h, {_M32(f'({_ROT32('k', 15)}) * 461845907::UBIGINT')} AS k FROM k{n}"))
+        steps.append((f"b{n + 1}", f"SELECT event_id, key, {_M32(f'({_ROT32('xor(h, k)', 13)}) * 5 + 3864292196::UBIGINT')} AS h FROM r{n}"))
+    steps.append(("t0", f"SELECT event_id, key, h, {_M32(f'{_bytes_of(9, 1, "UBIGINT")} * 3432918353::UBIGINT')} AS k FROM b2"))
+    steps.append(("t1", f"SELECT event_id, key, xor(xor(h, {_M32(f'({_ROT32('k', 15)}) * 461845907::UBIGINT')}), 9::UBIGINT) AS h FROM t0"))
+    steps.append(("t2", f"SELECT event_id, key, {_M32('xor(h, h >> 16) * 2246822507::UBIGINT')} AS h FROM t1"))
+    steps.append(("t3", f"SELECT event_id, key, {_M32('xor(h, h >> 13) * 3266489909::UBIGINT')} AS h FROM t2"))
+    c1, c2 = "9782798678568883157::UHUGEINT", "5545529020109919103::UHUGEINT"
+    steps.append(("w0", f"SELECT event_id, xor(h, h >> 16) % 16 AS bucket, {_M64(f'{_bytes_of(1, 8, "UHUGEINT")} * {c1}')} AS a, {_M64(f'{_bytes_of(9, 1, "UHUGEINT")} * {c2}')} AS b FROM t3"))
+    steps.append(("w1", f"SELECT event_id, bucket, xor({_M64(f'({_ROT64('a', 31)}) * {c2}')}, 9::UHUGEINT) AS a, xor({_M64(f'({_ROT64('b', 33)}) * {c1}')}, 9::UHUGEINT) AS b FROM w0"))
+    steps.append(("w2", f"SELECT event_id, bucket, {_M64('a + b')} AS a, {_M64('a + b + b')} AS b FROM w1"))
+    for n, by in ((2, "18397679294719823053::UHUGEINT"), (3, "14181476777654086739::UHUGEINT")):
+        steps.append((f"w{n + 1}", f"SELECT event_id, bucket, {_M64(f'xor(a, a >> 33::UHUGEINT) * {by}')} AS a, {_M64(f'xor(b, b >> 33::UHUGEINT) * {by}')} AS b FROM w{n}"))
+    steps.append(("w5", f"SELECT event_id, bucket, {_M64('xor(a, a >> 33::UHUGEINT) + xor(b, b >> 33::UHUGEINT)')} AS id FROM w4"))
+    return ", ".join(f"{name} AS ({sql})" for name, sql in steps)
+
+
+@query(f"""{_CH}, {_murmur_steps()} SELECT event_id, CAST(bucket AS INTEGER) AS bucket, {_SIGNED("id")} AS id FROM w5""")
 def span_hash_dispatch(spark, d):
     return _log(spark, d).select("event_id", hashes.dispatch("key", 16).alias("bucket"), hashes.murmur3_64("key").alias("id"))
 
@@ -540,7 +577,13 @@ def span_hash_dispatch(spark, d):
 # --- messages and streams -----------------------------------------------------------------------------------
 
 
-@query()
+@query(f"""WITH RECURSIVE {_CH.removeprefix("WITH ")},
+e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY crts, sequence) AS n, strlen('{{"ts":' || crts || ',"k":"' || to_base64(encode(key)) || '","t":4}}')
+  + strlen('{{"op":' || op_type || ',"v":"' || to_base64(encode(value)) || '"' || CASE WHEN expired_ts <> 0 THEN ',"ex":' || expired_ts ELSE '' END || '}}') AS size FROM ch),
+f AS (SELECT user_id, n, size, CAST(0 AS BIGINT) AS grp, size + 60 AS held, 1 AS entries FROM e WHERE n = 1
+  UNION ALL SELECT e.user_id, e.n, e.size, CASE WHEN cut THEN grp + 1 ELSE grp END, CASE WHEN cut THEN e.size + 60 ELSE held + e.size + 16 END, CASE WHEN cut THEN 1 ELSE entries + 1 END
+  FROM (SELECT *, n + 1 AS next FROM f) f JOIN e ON e.user_id = f.user_id AND e.n = f.next, LATERAL (SELECT entries >= 8 OR held + e.size + 16 > 1024 AS cut))
+SELECT user_id, grp AS "group", count(*) AS entries, CAST(sum(size) AS BIGINT) AS bytes FROM f GROUP BY user_id, grp""")
 def message_packing(spark, d):
     sizes = _log(spark, d).withColumns({"key_bytes": F.length(codec.entry_key()), "value_bytes": F.length(codec.entry_value())}).select("user_id", "crts", "sequence", "key_bytes", "value_bytes")
     return folds.pack_messages(sizes, "user_id", ["crts", "sequence"], 1024, 8).groupBy("user_id", "group").agg(F.count("*").alias("entries"), F.sum(F.col("key_bytes") + F.col("value_bytes")).alias("bytes"))
