@@ -17,7 +17,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("tie")
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("items", "tie")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,50 @@ QUERIES = {f.__name__: f for f in (op1_token_counts, op2_decontaminate, op3_subs
 _CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
   lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+
+#: One row of an edit distance between x and y on five diagonals: d(k) is the distance of the first i characters of x
+#: and the first i + k of y (9: more than two, or no such prefix).
+_ROW = """list_reduce(list_prepend([0, 9, 9, 0, 1, 2]::BIGINT[], list_transform(string_split(x, ''), lambda c: [ord(c)]::BIGINT[])),
+  lambda d, c: list_prepend(d[1] + 1, list_transform(range(-2, 3), lambda k: list_min(list_transform(range(-2, k + 1), lambda m: k - m + CASE WHEN d[1] + 1 + m < 0 OR d[1] + 1 + m > length(y) THEN 9
+    ELSE least(d[m + 4] + CASE WHEN d[1] + 1 + m > 0 AND yc[d[1] + 1 + m] = c[1] THEN 0 ELSE 1 END, CASE WHEN m < 2 THEN d[m + 5] + 1 ELSE 9 END, 9) END)))))"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(len(w), 10) AS size, unnest(list_transform(range(1, greatest(len(w) - 8, 2)), lambda i: array_to_string(w[i:i + 9], ' '))) AS win FROM b WHERE len(w) > 0),
+dw AS (SELECT doc_id, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: {{'pos': i, 'win': array_to_string(w[i:i + size - 1], ' ')}})) AS x FROM d, (SELECT DISTINCT size FROM iw)),
+hit AS (SELECT doc_id, x.pos AS pos, dw.size, item FROM dw JOIN iw ON iw.size = dw.size AND iw.win = x.win),
+n AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM hit) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)""",
+    "op3_substring_dedup": """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 48), lambda i: {'pos': i, 'win': md5(array_to_string(w[i:i + 49], ' '))})) AS x FROM d),
+e AS (SELECT doc_id, x.pos AS pos, doc_id > min(doc_id) OVER (PARTITION BY x.win) AS again FROM x),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS place FROM e WHERE again),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d) ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)""",
+    "op4_suffix_dedup": """WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(coalesce(text, '')) AS h FROM documents),
+blocks AS (SELECT doc_id, n, pos, substr(h, 2 * pos + 1, 2 * 799) AS part FROM (SELECT *, unnest(range(0, n - 199, 600)) AS pos FROM d)),
+x AS (SELECT doc_id, pos + i AS pos, md5(substr(part, 2 * i + 1, 400)) AS s FROM (SELECT *, unnest(range(0, least(600, n - 199 - pos))) AS i FROM blocks)),
+r AS (SELECT doc_id, pos FROM (SELECT *, count(*) OVER (PARTITION BY s) AS many FROM x) WHERE many > 1),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM (SELECT *, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 200 THEN 0 ELSE 1 END AS new FROM r)),
+spans AS (SELECT doc_id, min(pos) AS a, max(pos) + 200 AS z FROM runs GROUP BY doc_id, run),
+edges AS (SELECT doc_id, a, z FROM spans UNION ALL SELECT doc_id, n, n FROM d),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a, z), 0) AS since FROM edges) JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, d.n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op7_line_dedup": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+l AS (SELECT doc_id, place, line, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS nth FROM (SELECT doc_id, unnest(w) AS line, unnest(range(0, len(w))) AS place FROM d) WHERE line <> ''),
+f AS (SELECT doc_id, place, line, length(line) AS n, CASE WHEN length(line) >= 20 THEN 2 WHEN length(line) >= 10 THEN 1 ELSE 0 END AS most FROM l WHERE nth = 1),
+c AS (SELECT b.line, a.line AS y, b.line AS x, greatest(a.most, b.most) AS most, list_transform(string_split(a.line, ''), lambda c: CAST(ord(c) AS BIGINT)) AS yc FROM f a JOIN f b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND greatest(a.most, b.most) > 0 AND (a.doc_id, a.place) < (b.doc_id, b.place)
+  AND (contains(b.line, substr(a.line, 1, a.n // 3)) OR contains(b.line, substr(a.line, a.n // 3 + 1, a.n // 3)) OR contains(b.line, substr(a.line, 2 * (a.n // 3) + 1)))),
+near AS (SELECT DISTINCT line FROM (SELECT line, most, ({_ROW})[length(y) - length(x) + 4] AS edits FROM c) WHERE edits <= most),
+gone AS (SELECT doc_id, place, nth = 1 AS near FROM l WHERE nth > 1 OR line IN (SELECT line FROM near)),
+n AS (SELECT doc_id, count(*) FILTER (WHERE NOT near) AS n_exact, count(*) FILTER (WHERE near) AS n_near, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS removed FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed FROM d LEFT JOIN n USING (doc_id)""",
     "op11_conversation_trie": f"""WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 own AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS pos FROM t),
 h AS (SELECT c, {_CRC} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
