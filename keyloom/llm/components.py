@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
+#: Links in a part, some 4 MB: tables of few links are not kept in many small files.
+PART_LINKS = 1 << 18
+
 
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
@@ -22,13 +25,14 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     x, y = F.col(a), F.col(b)
     edges = checkpointed(links.filter(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct())
     now = _signature(edges)
+    edges = edges.coalesce(max(1, -(-now[0] // PART_LINKS)))
     while now[0]:
         both = edges.union(edges.select(F.col("v"), F.col("u"))).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(small.union(least).toDF("u", "v").distinct())
+        edges = checkpointed(small.union(least).toDF("u", "v").distinct().coalesce(-(-now[0] // PART_LINKS)))  # never more than before
         last, now = now, _signature(edges)
         if now == last:
             break
