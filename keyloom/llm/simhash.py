@@ -202,16 +202,18 @@ def _by_bucket(keys: tuple[str, ...], made):
     return run
 
 
-def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str, whole: bool = False) -> DataFrame:
+def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str, whole: DataFrame | None = None) -> DataFrame:
     """Rows of buckets (equal keys) of two rows or more, sorted by bucket; buckets of over PART rows (or, where whole
-    sets travel, over PART_SHINGLES shingles, column n) are cut into parts, by a hash of `name`, and every pair of
+    sets travel, over PART_SHINGLES shingles, column n; these sets are joined by `name` once rows are dealt) are cut into parts, by a hash of `name`, and every pair of
     parts is a bucket of its own (lo, hi; side tells the parts)."""
-    share = F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES) if whole else F.count("*") / PART
+    share = F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES) if whole is not None else F.count("*") / PART
     full = keyed.groupBy(*keys).agg(F.count("*").alias("many"), F.ceil(share).cast("int").alias("parts")).filter("many > 1").select(*keys, "parts")
     dealt = keyed.join(full, list(keys)).withColumn("part", F.expr(f"cast(pmod(xxhash64({name}), parts) as int)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other"), "side": F.expr("case when part = other then 0 when part < other then 1 else 2 end")})
-    return dealt.drop("parts", "part", "other").repartition(*keys, "lo", "hi").sortWithinPartitions(*keys, "lo", "hi")
+    dealt = dealt.drop("parts", "part", "other")
+    dealt = dealt if whole is None else dealt.join(whole, name)
+    return dealt.repartition(*keys, "lo", "hi").sortWithinPartitions(*keys, "lo", "hi")
 
 
 def _links(t, group):
@@ -405,8 +407,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     columns = ["gram", "node", "component", *fields]
     paired = _dealt(placed.join(mixed, "gram").join(prints, "node"), ("gram",), "node").mapInArrow(_paired(similarity, columns), ", ".join(f"{c} bigint" for c in columns))
     paired = checkpointed(paired.dropDuplicates(["gram", "node"]))
-    whole = paired.join(_sets_of(rows, paired.select("node").distinct(), words), "node")
-    more = _dealt(whole, ("gram",), "node", whole=True).mapInArrow(_verified(similarity), "a bigint, b bigint")
+    more = _dealt(paired, ("gram",), "node", _sets_of(rows, paired.select("node").distinct(), words)).mapInArrow(_verified(similarity), "a bigint, b bigint")
     groups = connected_components(links.union(more), "a", "b")
     named = nodes.select("id", "tie", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "tie"))).alias("least"))
