@@ -202,17 +202,17 @@ def _by_bucket(keys: tuple[str, ...], made):
     return run
 
 
-def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str, whole: DataFrame | None = None) -> DataFrame:
+def _dealt(keyed: DataFrame, keys: tuple[str, ...], name: str, whole: DataFrame | bool = False) -> DataFrame:
     """Rows of buckets (equal keys) of two rows or more, sorted by bucket; buckets of over PART rows (or, where whole
-    sets travel, over PART_SHINGLES shingles, column n; these sets are joined by `name` once rows are dealt) are cut into parts, by a hash of `name`, and every pair of
+    sets travel, over PART_SHINGLES shingles, column n; given as a table, these sets are joined by `name` once rows are dealt) are cut into parts, by a hash of `name`, and every pair of
     parts is a bucket of its own (lo, hi; side tells the parts)."""
-    share = F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES) if whole is not None else F.count("*") / PART
+    share = F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES) if whole is not False else F.count("*") / PART
     full = keyed.groupBy(*keys).agg(F.count("*").alias("many"), F.ceil(share).cast("int").alias("parts")).filter("many > 1").select(*keys, "parts")
     dealt = keyed.join(full, list(keys)).withColumn("part", F.expr(f"cast(pmod(xxhash64({name}), parts) as int)"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other"), "side": F.expr("case when part = other then 0 when part < other then 1 else 2 end")})
     dealt = dealt.drop("parts", "part", "other")
-    dealt = dealt if whole is None else dealt.join(whole, name)
+    dealt = dealt.join(whole, name) if isinstance(whole, DataFrame) else dealt
     return dealt.repartition(*keys, "lo", "hi").sortWithinPartitions(*keys, "lo", "hi")
 
 
