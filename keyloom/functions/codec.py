@@ -9,6 +9,7 @@ import base64
 import json
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ from keyloom.operators import folds
 
 # Fixed values of the format: its version and the kinds of entries.
 VERSION, KV, RESOLVED = 1, 4, 3
+#: Entries that are decoded at once, whatever messages hold.
+DECODED = 4096
 PROTOCOLS = ("default", "open", "open-protocol", "canal", "avro", "maxwell", "canal-json", "craft")
 
 
@@ -111,12 +114,16 @@ def decode(messages: DataFrame, *keep: str) -> DataFrame:
     """The entries of messages (key, value), with the columns to keep and pos, an entry's place in its message."""
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in messages.select(*keep).schema)
 
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        for batch in batches:
+            for r in batch.itertuples(index=False, name=None):
+                for i, entry in enumerate(decode_message(bytes(r[-2]), bytes(r[-1]))):
+                    yield (*r[:-2], *entry, i)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [*keep, "op_type", "key", "value", "crts", "expired_ts", "pos"]
-        for batch in batches:
-            rows = []
-            for r in batch.to_dict("records"):
-                rows += [(*(r[c] for c in keep), *entry, i) for i, entry in enumerate(decode_message(bytes(r["key"]), bytes(r["value"])))]
+        made = entries(batches)
+        while rows := list(islice(made, DECODED)):
             yield pd.DataFrame(rows, columns=names)
 
     return messages.select(*keep, "key", "value").mapInPandas(run, f"{kept}op_type int, key binary, value binary, crts bigint, expired_ts bigint, pos int")
