@@ -6,6 +6,9 @@ import heapq
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -64,10 +67,13 @@ class _PartFrontier(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         kept = {bytes(k[0]): (None if v[0] is None else bytes(v[0]), v[1]) for k, v in self.steps.iterator()} if self.steps.exists() else {}
         ranges = IntervalMap([(s, *kept[s]) for s in sorted(kept)])
-        last = None
-        for r in sorted(rows, key=lambda r: r.arrival):
-            ranges.set(bytes(r.start), None if r.end is None else bytes(r.end), r.resolved_ts)
-            last = r.arrival
+        last, marks = None, {}
+        for r in rows:  # a range's last mark covers those before it
+            name = (bytes(r.start), None if r.end is None else bytes(r.end))
+            if name not in marks or r.arrival >= marks[name][0]:
+                marks[name] = (r.arrival, r.resolved_ts)
+        for (start, end), (last, ts) in sorted(marks.items(), key=lambda m: m[1][0]):
+            ranges.set(start, end, ts)
         for s in kept.keys() - ranges.at.keys():
             self.steps.removeKey((s,))
         for s, v in ranges.at.items():
@@ -101,6 +107,14 @@ class _FeedFrontier(StatefulProcessor):
         pass
 
 
+def _last_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each feed and range the last mark of a batch of rows, which covers those before it."""
+    for batch in batches:
+        batch = batch.take(pc.sort_indices(batch.column("arrival")))  # a stable sort
+        names = pd.DataFrame({c: batch.column(c).to_pylist() for c in ("feed", "start", "end")}, dtype=object)
+        yield batch.filter(pa.array(~names.duplicated(keep="last").to_numpy()))
+
+
 def frontier_stream(marks: DataFrame, cuts: list[bytes] = ()) -> DataFrame:
     """From marks (feed, start, end, resolved_ts, arrival): after each batch with marks a feed's frontier, which later
     marks may lower, the highest one so far, which is what may be emitted, and the last mark's arrival.
@@ -110,7 +124,9 @@ def frontier_stream(marks: DataFrame, cuts: list[bytes] = ()) -> DataFrame:
     keyed_state(marks.sparkSession)
     edges = [b"", *cuts]
     low, high = (F.array(*[F.lit(x).cast("binary") for x in xs]) for xs in (edges, [*cuts, None]))
-    pieces = marks.select("feed", "start", "end", "resolved_ts", "arrival", F.posexplode(F.arrays_zip(low.alias("from"), high.alias("to"))).alias("part", "piece"))
+    marks = marks.select("feed", "start", "end", "resolved_ts", "arrival")
+    last = marks.mapInArrow(_last_marks, marks.schema)  # few rows a range meet in its part
+    pieces = last.select("*", F.posexplode(F.arrays_zip(low.alias("from"), high.alias("to"))).alias("part", "piece"))
     met = pieces.filter(K.overlaps("start", "end", "piece.from", "piece.to"))
     cut = met.select("feed", "part", F.greatest("start", "piece.from").alias("start"), F.least("end", "piece.to").alias("end"), "resolved_ts", "arrival")
     parts = cut.groupBy("feed", "part").transformWithState(_PartFrontier(), "feed string, part int, low bigint, arrival bigint", "append", "none")
