@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import heapq
 import pickle
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain, groupby
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from keyloom.operators import changelog
+from keyloom.streaming.ordered import RowProcessor, by_key, in_order
 from keyloom.streaming.regions import keyed_state
 
 RELEASED = "keyspan_id bigint, place bigint, crts bigint, op_type int, key binary, value binary, sequence bigint"
@@ -20,7 +24,7 @@ def order(r: tuple) -> tuple:
     return (r[0], r[1] == changelog.RESOLVED, r[4])
 
 
-class OrderedRelease(StatefulProcessor):
+class OrderedRelease(RowProcessor):
     """Per span: sorted runs of entries that wait, by slots of commit timestamps, so that a batch touches the slots of
     its own entries and those that it releases, whatever else waits."""
 
@@ -31,37 +35,52 @@ class OrderedRelease(StatefulProcessor):
         self.waiting = handle.getMapState("waiting", "slot bigint", "entries binary")
         self.span = handle.getValueState("span", "place bigint, slots binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleRows(self, key, rows) -> Iterator[tuple]:
         place, slots = self.span.get() if self.span.exists() else (0, pickle.dumps(set()))
-        slots, fresh, marks = pickle.loads(bytes(slots)), {}, []
-        for r in sorted(rows, key=lambda r: r.sequence):
-            entry = (r.crts, r.op_type, None if r.key is None else bytes(r.key), None if r.value is None else bytes(r.value), r.sequence)
-            if r.op_type == changelog.RESOLVED:
-                marks.append(r.crts)
-            fresh.setdefault(r.crts // self.width, []).append(entry)
-        resolved = marks[-1] if marks else None
-        for slot in sorted(slots | fresh.keys()):
-            ready = resolved is not None and slot * self.width <= resolved
-            if not ready and slot not in fresh:
-                continue
-            held = pickle.loads(bytes(self.waiting.getValue((slot,))[0])) if slot in slots else []
-            # of equal entries the one that has waited comes first
-            run = list(heapq.merge(held, sorted(fresh.get(slot, []), key=order), key=order))
-            out = [e for e in run if ready and e[0] <= resolved]
-            rest = run[len(out) :]
-            for e in out:
-                yield Row(keyspan_id=key[0], place=place, crts=e[0], op_type=e[1], key=e[2], value=e[3], sequence=e[4])
-                place += 1
-            if rest:
-                self.waiting.updateValue((slot,), (pickle.dumps(rest),))
-                slots.add(slot)
-            elif slot in slots:
-                self.waiting.removeKey((slot,))
-                slots.discard(slot)
+        slots, mark = pickle.loads(bytes(slots)), None
+
+        def noted():  # all rows pass before the first comes out in order
+            nonlocal mark
+            for r in rows:
+                if r.op_type == changelog.RESOLVED and (mark is None or r.sequence >= mark[0]):
+                    mark = (r.sequence, r.crts)
+                yield r
+
+        entries = in_order(noted(), "crts", "marker", "sequence")
+        resolved = None if mark is None else mark[1]
+        # slots that only wait are released, not touched, before and between those of the batch
+        due = deque(sorted(s for s in slots if resolved is not None and s * self.width <= resolved))
+        for slot, fresh in chain(groupby(entries, lambda r: r.crts // self.width), [(None, ())]):
+            while due and (slot is None or due[0] <= slot):
+                if due[0] == slot:
+                    due.popleft()
+                    break
+                for e in self._merged(due.popleft(), (), slots, resolved):
+                    yield key[0], place, *e
+                    place += 1
+            if slot is not None:
+                for e in self._merged(slot, fresh, slots, resolved):
+                    yield key[0], place, *e
+                    place += 1
         self.span.update((place, pickle.dumps(slots)))
 
-    def close(self) -> None:
-        pass
+    def _merged(self, slot, fresh, slots, resolved) -> Iterator[tuple]:
+        """The slot's entries that are released, those that have waited and the batch's; the others wait."""
+        held = pickle.loads(bytes(self.waiting.getValue((slot,))[0])) if slot in slots else []
+        new = ((r.crts, r.op_type, r.key, r.value, r.sequence) for r in fresh)
+        rest = []
+        # of equal entries the one that has waited comes first
+        for e in heapq.merge(held, new, key=order):
+            if resolved is not None and e[0] <= resolved:
+                yield e
+            else:
+                rest.append(e)
+        if rest:
+            self.waiting.updateValue((slot,), (pickle.dumps(rest),))
+            slots.add(slot)
+        elif slot in slots:
+            self.waiting.removeKey((slot,))
+            slots.discard(slot)
 
 
 def ordered_release(log: DataFrame, width: int = 1 << 28) -> DataFrame:
@@ -69,5 +88,6 @@ def ordered_release(log: DataFrame, width: int = 1 << 28) -> DataFrame:
     up to the last marker of it, in the order of events, numbered within the span (place); markers are put out in
     their places. Entries above it wait in slots of `width` timestamps; a batch without a marker releases nothing."""
     keyed_state(log.sparkSession)
-    rows = log.select("keyspan_id", "crts", "op_type", "key", "value", "sequence")
-    return rows.groupBy("keyspan_id").transformWithState(OrderedRelease(width), RELEASED, "append", "none")
+    marker = F.coalesce(F.col("op_type") == changelog.RESOLVED, F.lit(False)).cast("int").alias("marker")
+    rows = log.select("keyspan_id", "crts", "op_type", "key", "value", "sequence", marker)
+    return by_key(rows, ["keyspan_id"], OrderedRelease(width), RELEASED)
