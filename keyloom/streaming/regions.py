@@ -31,25 +31,54 @@ def _in_order(rows: Iterator[Row]) -> list[Row]:
     return sorted(rows, key=lambda r: r.sequence)
 
 
+#: Reads of single entries after which the state's names are looked through, and how many names a read is worth.
+READS, NAMES = 256, 16
+
+
 class _Overlay:
-    """A map in the state store behind what this batch has done to it: an entry is read at most once and written
-    only if the batch leaves it changed, so that prewrites and commits of one batch never reach the store."""
+    """A map in the state store behind what this batch has done to it: an entry is written only if the batch leaves it
+    changed, so that prewrites and commits of one batch never reach the store. After some reads the names of what is
+    stored are learnt, unless these are far more than the reads were; then only entries that are there are read."""
 
     def __init__(self, state):
         self.state, self.read, self.now = state, {}, {}
+        self.reads, self.next, self.stored = 0, READS, None
+
+    def _held(self, key):
+        if self.stored is None:
+            self.reads += 1
+            if self.reads == self.next:
+                self._learn()
+        if self.stored is not None and hash(key) not in self.stored:
+            return None
+        return self.state.getValue(key) if self.state.containsKey(key) else None
+
+    def _learn(self) -> None:
+        self.next, stored = self.reads * 4, set()
+        for n, (start_ts, key) in enumerate(self.state.keys() if self.state.exists() else ()):
+            if n == self.reads * NAMES:
+                return
+            stored.add(hash((start_ts, bytes(key))))
+        self.stored = stored
 
     def get(self, key):
-        if key not in self.now:
-            self.read[key] = self.now[key] = self.state.getValue(key) if self.state.containsKey(key) else None
-        return self.now[key]
+        if key in self.now:
+            return self.now[key]
+        held = self._held(key)
+        if held is not None:
+            self.read[key] = self.now[key] = held
+        return held
 
     def put(self, key, value) -> None:
         self.get(key)
-        self.now[key] = value
+        if value is None and key not in self.read:
+            self.now.pop(key, None)
+        else:
+            self.now[key] = value
 
     def write(self) -> None:
         for key, value in self.now.items():
-            if value != self.read[key]:
+            if value != self.read.get(key):
                 self.state.removeKey(key) if value is None else self.state.updateValue(key, value)
 
 
