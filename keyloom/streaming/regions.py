@@ -10,9 +10,10 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from keyloom.functions import timestamps as T
+from keyloom.streaming.ordered import RowProcessor, by_key, in_order
 
 #: Of events that every part of a region must see.
 MARKERS = ("initialized", "resolved")
@@ -27,10 +28,6 @@ def keyed_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def _in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: r.sequence)
-
-
 #: Reads of single entries after which the state's names are looked through, and how many names a read is worth.
 READS, NAMES = 256, 16
 
@@ -82,7 +79,7 @@ class _Overlay:
                 self.state.removeKey(key) if value is None else self.state.updateValue(key, value)
 
 
-class CommitMatcher(StatefulProcessor):
+class CommitMatcher(RowProcessor):
     """Per part of a region: open prewrites by start timestamp and key, commits that wait for the region's history,
     and whether it has been read. Open prewrites are forgotten after `forget` milliseconds, by the state store."""
 
@@ -94,13 +91,13 @@ class CommitMatcher(StatefulProcessor):
         self.waiting = handle.getListState("waiting", _EVENT)
         self.region = handle.getValueState("region", "ready boolean, resolved_ts bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleRows(self, key, rows) -> Iterator[tuple]:
         region = key[0]
         ready, resolved = self.region.get() if self.region.exists() else (False, 0)
         prewrites, waiting, before = _Overlay(self.open), [], (ready, resolved)
 
         def entry(r, value, old, error=None):
-            return Row(region_id=region, op_type=r.op_type, key=r.key, value=value, old_value=old, start_ts=r.start_ts, crts=r.crts, sequence=r.sequence, error=error)
+            return region, r.op_type, r.key, value, old, r.start_ts, r.crts, r.sequence, error
 
         def matched(r):
             name = (r.start_ts, bytes(r.key))
@@ -110,7 +107,7 @@ class CommitMatcher(StatefulProcessor):
             prewrites.put(name, None)
             return entry(r, *held)
 
-        for r in _in_order(rows):
+        for r in in_order(rows, "sequence"):
             if r.kind == "prewrite":
                 name, held = (r.start_ts, bytes(r.key)), prewrites.get((r.start_ts, bytes(r.key)))
                 if held is None or r.value:  # an empty one is only a sign that its transaction lives
@@ -148,9 +145,6 @@ class CommitMatcher(StatefulProcessor):
         if (ready, resolved) != before:
             self.region.update((ready, resolved))
 
-    def close(self) -> None:
-        pass
-
 
 def match_commits(events: DataFrame, parts: int = 8, forget: int | None = None) -> DataFrame:
     """The entries of a streaming feed: commits with the values of their prewrites, and committed entries as they are.
@@ -168,18 +162,18 @@ def match_commits(events: DataFrame, parts: int = 8, forget: int | None = None)
     marker = F.col("kind").isin(*MARKERS)
     part = F.when(marker, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")))
     dealt = events.withColumn("part", F.explode(part))
-    return dealt.groupBy("region_id", "part").transformWithState(CommitMatcher(forget), MATCHED, "append", "processingTime" if forget else "none")
+    return by_key(dealt, ["region_id", "part"], CommitMatcher(forget), MATCHED, "processingTime" if forget else "none")
 
 
-class RegionClock(StatefulProcessor):
+class RegionClock(RowProcessor):
     """Per region: whether its history has been read, its resolved timestamp, and how many marks did not count."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.region = handle.getValueState("region", "ready boolean, resolved_ts bigint, ignored bigint, regressed bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleRows(self, key, rows) -> Iterator[tuple]:
         ready, resolved, ignored, regressed = self.region.get() if self.region.exists() else (False, None, 0, 0)
-        for r in _in_order(rows):
+        for r in in_order(rows, "sequence"):
             if r.kind == "initialized":
                 ready = True
             elif r.kind != "resolved":
@@ -190,12 +184,9 @@ class RegionClock(StatefulProcessor):
                 regressed += 1
             else:
                 resolved = r.crts
-                yield Row(region_id=key[0], resolved_ts=resolved, sequence=r.sequence, ignored=ignored, regressed=regressed)
+                yield key[0], resolved, r.sequence, ignored, regressed
         self.region.update((ready, resolved, ignored, regressed))
 
-    def close(self) -> None:
-        pass
-
 
 def region_clocks(events: DataFrame, safe_ms: int = 0) -> DataFrame:
     """The marks of a streaming feed that move a region's resolved timestamp, moved back by a safe interval: those
@@ -203,4 +194,4 @@ def region_clocks(events: DataFrame, safe_ms: int = 0) -> DataFrame:
     counted. One number a region is kept."""
     keyed_state(events.sparkSession)
     marks = events.filter(F.col("kind").isin(*MARKERS)).select("region_id", "kind", (T.moved_back("crts", safe_ms) if safe_ms else F.col("crts")).alias("crts"), "sequence")
-    return marks.groupBy("region_id").transformWithState(RegionClock(), ADVANCED, "append", "none")
+    return by_key(marks, ["region_id"], RegionClock(), ADVANCED)
