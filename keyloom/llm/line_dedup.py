@@ -175,7 +175,8 @@ def _fine_keys(chars: str, edits: int, finest: int, move: int) -> str:
 
 
 def _exploded(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.withColumn("key", F.explode(F.expr(f"flatten(array({', '.join(keys)}))"))).drop("line", "chars").filter("key is not null")
+    """(h, g, key): nothing else of a line goes with each of its pieces."""
+    return rows.select("h", "g", F.explode(F.expr(f"flatten(array({', '.join(keys)}))")).alias("key")).filter("key is not null")
 
 
 def _crowded(lines: DataFrame, edits) -> DataFrame:
@@ -187,25 +188,25 @@ def _crowded(lines: DataFrame, edits) -> DataFrame:
     line that has no such rare ones is cut finer; at the finest, all that meet are compared."""
     spans, most = _spans(edits), max(e for _, e in edits)
     rows = checkpointed(lines.withColumn("chars", F.char_length("line")))
+    facts = rows.select("h", "g", "first", "counts", "open")
     waiting, pairs = rows.filter("own"), None
     for step, finest in enumerate(FINEST):
         parts = [_exploded(waiting.filter(f"chars >= {low - e} and chars < {high}"), [_fine_keys("chars", e, finest, 0)]).withColumn("edits", F.lit(e)) for e, low, high in spans]
-        pieces = checkpointed(reduce(DataFrame.union, parts))
         rare = Window.partitionBy("h", "g", "edits").orderBy("having", "key")
-        ranked = pieces.join(pieces.groupBy("key").agg(F.count("*").alias("having")), "key").withColumn("rank", F.row_number().over(rare))
-        index = checkpointed(ranked.filter("rank <= edits + 1").drop("rank", "having", "edits", "own"))
+        ranked = reduce(DataFrame.union, parts).withColumn("having", F.count("*").over(Window.partitionBy("key"))).withColumn("rank", F.row_number().over(rare))
+        index = checkpointed(ranked.filter("rank <= edits + 1").select("key", "h", "g"))
         probes = []
         for e, low, high in spans:
             moves = [(less, move) for less in range(e + 1) for move in range(-e, e + 1) if abs(move) + abs(less - move) <= e]
-            probes.append(_exploded(rows.filter(f"chars >= {low} and chars < {high}"), [_fine_keys(f"(chars - {less})", e, finest, move) for less, move in moves]).drop("own"))
+            probes.append(_exploded(rows.filter(f"chars >= {low} and chars < {high}"), [_fine_keys(f"(chars - {less})", e, finest, move) for less, move in moves]))
         asked = checkpointed(_marked(reduce(DataFrame.union, probes), index.select("key").distinct(), "key"))
         if step + 1 < len(FINEST):
             busy = index.groupBy("key").agg(F.count("*").alias("n")).join(asked.groupBy("key").agg(F.count("*").alias("m")), "key").filter(f"least(n, m) > {FEW}").select("key")
             late = checkpointed(index.join(busy, "key", "left_semi").select("h", "g").distinct())
             index = index.join(late, ["h", "g"], "left_anti")
             waiting = waiting.join(late, ["h", "g"], "left_semi")
-        other = index.select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "counts", "open")])
-        met = asked.join(other, "key").filter(f"first <> efirst and if(efirst < first, open, eopen) and {_l1('counts', 'ecounts')} <= {2 * most}")
+        other = index.join(facts, ["h", "g"]).select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "counts", "open")])
+        met = asked.join(facts, ["h", "g"]).join(other, "key").filter(f"first <> efirst and if(efirst < first, open, eopen) and {_l1('counts', 'ecounts')} <= {2 * most}")
         pair = F.expr("if(efirst < first, struct(h, g, eh, eg), struct(eh as h, eg as g, h as eh, g as eg))")
         met = checkpointed(met.select(pair.alias("p")).select("p.*").distinct())
         pairs = met if pairs is None else pairs.union(met)
