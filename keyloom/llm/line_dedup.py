@@ -28,10 +28,19 @@ LEADERS, FEW = (8, 128), 64
 PIECE, FINEST = 4, (32, 256, 1 << 30)
 #: Characters whose numbers in two lines are compared before the lines are; all others together are one more.
 COUNTED = "etaoinsrhldcumfgpbvyw "
+#: Rows in a part, at least, of a table that is kept: few rows are not dealt over many small files by each later shuffle.
+PART_ROWS = 1 << 14
 #: Bits of the bitmap of candidates a candidate, and of the bitmap at most, as a power of two (128 MB).
 SPARSE, BITS = 16, 30
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A checkpoint, in as few parts as its rows need. A table that needs at least half of its parts stays as it is dealt."""
+    out = checkpointed(df)
+    parts = max(1, -(-out.count() // PART_ROWS))
+    return out.coalesce(parts) if 2 * parts <= out.rdd.getNumPartitions() else out
+
+
 def _segment(length: str, i: int | str, parts: int | str) -> tuple[str, str]:
     """SQL of the first character (from 0) and the length of segment i of a line; the last ones are longer."""
     base, short = f"cast(({length}) div {parts} as int)", f"({parts} - cast(({length}) % {parts} as int))"
@@ -187,28 +196,28 @@ def _crowded(lines: DataFrame, edits) -> DataFrame:
     of them survives, so it is indexed by those alone that fewest lines have, and others look for all of theirs. A
     line that has no such rare ones is cut finer; at the finest, all that meet are compared."""
     spans, most = _spans(edits), max(e for _, e in edits)
-    rows = checkpointed(lines.withColumn("chars", F.char_length("line")))
+    rows = _kept(lines.withColumn("chars", F.char_length("line")))
     facts = rows.select("h", "g", "first", "counts", "open")
     waiting, pairs = rows.filter("own"), None
     for step, finest in enumerate(FINEST):
         parts = [_exploded(waiting.filter(f"chars >= {low - e} and chars < {high}"), [_fine_keys("chars", e, finest, 0)]).withColumn("edits", F.lit(e)) for e, low, high in spans]
         rare = Window.partitionBy("h", "g", "edits").orderBy("having", "key")
         ranked = reduce(DataFrame.union, parts).withColumn("having", F.count("*").over(Window.partitionBy("key"))).withColumn("rank", F.row_number().over(rare))
-        index = checkpointed(ranked.filter("rank <= edits + 1").select("key", "h", "g"))
+        index = _kept(ranked.filter("rank <= edits + 1").select("key", "h", "g"))
         probes = []
         for e, low, high in spans:
             moves = [(less, move) for less in range(e + 1) for move in range(-e, e + 1) if abs(move) + abs(less - move) <= e]
             probes.append(_exploded(rows.filter(f"chars >= {low} and chars < {high}"), [_fine_keys(f"(chars - {less})", e, finest, move) for less, move in moves]))
-        asked = checkpointed(_marked(reduce(DataFrame.union, probes), index.select("key").distinct(), "key"))
+        asked = _kept(_marked(reduce(DataFrame.union, probes), index.select("key").distinct(), "key"))
         if step + 1 < len(FINEST):
             busy = index.groupBy("key").agg(F.count("*").alias("n")).join(asked.groupBy("key").agg(F.count("*").alias("m")), "key").filter(f"least(n, m) > {FEW}").select("key")
-            late = checkpointed(index.join(busy, "key", "left_semi").select("h", "g").distinct())
+            late = _kept(index.join(busy, "key", "left_semi").select("h", "g").distinct())
             index = index.join(late, ["h", "g"], "left_anti")
             waiting = waiting.join(late, ["h", "g"], "left_semi")
         other = index.join(facts, ["h", "g"]).select("key", *[F.col(c).alias(f"e{c}") for c in ("first", "h", "g", "counts", "open")])
         met = asked.join(facts, ["h", "g"]).join(other, "key").filter(f"first <> efirst and if(efirst < first, open, eopen) and {_l1('counts', 'ecounts')} <= {2 * most}")
         pair = F.expr("if(efirst < first, struct(h, g, eh, eg), struct(eh as h, eg as g, h as eh, g as eg))")
-        met = checkpointed(met.select(pair.alias("p")).select("p.*").distinct())
+        met = _kept(met.select(pair.alias("p")).select("p.*").distinct())
         pairs = met if pairs is None else pairs.union(met)
         if step + 1 < len(FINEST) and late.isEmpty():
             break
@@ -221,12 +230,12 @@ def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
     if not edits:
         return lines.select("h", "g").limit(0)
     most = max(e for _, e in edits)
-    alive = checkpointed(_shared_keys(lines, edits))
+    alive = _kept(_shared_keys(lines, edits))
     chosen = _marked(lines, alive.select("h").distinct(), "h")
     distinct = chosen.groupBy("h", "g").agg(F.min(F.struct("id", "tie", "pos")).alias("first"), F.first("line").alias("line"))
-    texts = checkpointed(distinct.withColumn("counts", F.expr(_counts("line"))))
+    texts = _kept(distinct.withColumn("counts", F.expr(_counts("line"))))
     # equal hashes h of different lines part here, as g is in the rows from now on
-    entries = checkpointed(alive.join(texts.drop("line"), "h"))
+    entries = _kept(alive.join(texts.drop("line"), "h"))
     near, open_, crowds = None, entries, None
     for parts in LEADERS:  # the earliest line of each part of a key, among those indexed and among all
         entry = F.struct("first", "h", "g", "own", "counts")
@@ -234,13 +243,13 @@ def near_lines(lines: DataFrame, edits=EDITS) -> DataFrame:
         lead = many.groupBy("key", F.expr(f"pmod(h, {parts})")).agg(F.min(F.when(F.col("own"), entry)).alias("a"), F.min(entry).alias("b"))
         early = lead.select("key", F.explode(F.array("a", "b")).alias("e")).filter("e is not null").select("key", "e.*").distinct()
         found = _found(_met(open_, early, most), texts, edits)
-        near = checkpointed(found if near is None else near.union(found))
+        near = _kept(found if near is None else near.union(found))
         open_ = entries.join(near, ["h", "g"], "left_anti")
-        crowds = checkpointed(open_.groupBy("key").agg(F.count("*").alias("n")).filter(f"n > {FEW}").select("key"))
+        crowds = _kept(open_.groupBy("key").agg(F.count("*").alias("n")).filter(f"n > {FEW}").select("key"))
         if crowds.isEmpty():
             return near.union(_found(_met(open_, entries, most), texts, edits))
     near = near.union(_found(_met(open_.join(crowds, "key", "left_anti"), entries, most), texts, edits))
-    near = checkpointed(near.distinct())
+    near = _kept(near.distinct())
     crowd = entries.join(crowds, "key", "left_semi").groupBy("h", "g").agg(F.max("own").alias("own"))
     known = near.withColumn("known", F.lit(True))
     rows = texts.join(crowd, ["h", "g"]).join(known, ["h", "g"], "left").withColumn("open", F.col("known").isNull()).drop("known")
