@@ -8,8 +8,10 @@ timestamps are above those of the appends before it."""
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import re
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +39,20 @@ def append_feed(log: DataFrame, path: str, number: int, group_bytes: int = GROUP
     rows.write.option("parquet.block.size", group_bytes).partitionBy("region_id").mode("errorifexists").parquet(f"{path}/append={number:08d}")
 
 
+#: Footers of the files that this process has read last, so many at most; files do not change. A footer grows with its
+#: file, so it is not read anew for each row group.
+FOOTERS = 16
+_FOOTERS: OrderedDict[str, pq.FileMetaData] = OrderedDict()
+
+
+def _opened(f, file: str) -> pq.ParquetFile:
+    out = pq.ParquetFile(f, metadata=_FOOTERS.pop(file, None))
+    _FOOTERS[file] = out.metadata
+    if len(_FOOTERS) > FOOTERS:
+        _FOOTERS.popitem(last=False)
+    return out
+
+
 class FeedPartition(InputPartition):
     """The row groups of a range that a batch reads: (file, group, place in the range)."""
 
@@ -146,19 +162,21 @@ class FeedReader(DataSourceStreamReader):
             row = {"region_id": partition.region, "kind": kind, "crts": ts, "op_type": 3, "sequence": sequence}
             return pa.RecordBatch.from_pylist([row], _SCHEMA)
 
-        for file, group, place in partition.groups:
-            if marker is not None and place >= marker:
-                yield mark("initialized", None, marker * GROUP_ROWS - 2)
-                marker = None
+        for file, groups in itertools.groupby(partition.groups, lambda g: g[0]):
             with self.fs.open_input_file(file) as f:
-                t = pq.ParquetFile(f).read_row_group(group, columns=_STORED)
-            n = t.num_rows
-            t = t.append_column("sequence", pa.array(range(place * GROUP_ROWS, place * GROUP_ROWS + n), pa.int64()))
-            t = t.append_column("region_id", pa.array([partition.region] * n, pa.int64())).append_column("kind", pa.array(["committed"] * n))
-            t = t.select(_SCHEMA.names).cast(_SCHEMA).filter(pc.greater(t.column("crts"), partition.start_ts))
-            yield from t.combine_chunks().to_batches()
-            if t.num_rows:
-                resolved, last = pc.max(t.column("crts")).as_py(), place
+                opened = _opened(f, file)
+                for _, group, place in groups:
+                    if marker is not None and place >= marker:
+                        yield mark("initialized", None, marker * GROUP_ROWS - 2)
+                        marker = None
+                    t = opened.read_row_group(group, columns=_STORED)
+                    n = t.num_rows
+                    t = t.append_column("sequence", pa.array(range(place * GROUP_ROWS, place * GROUP_ROWS + n), pa.int64()))
+                    t = t.append_column("region_id", pa.array([partition.region] * n, pa.int64())).append_column("kind", pa.array(["committed"] * n))
+                    t = t.select(_SCHEMA.names).cast(_SCHEMA).filter(pc.greater(t.column("crts"), partition.start_ts))
+                    yield from t.combine_chunks().to_batches()
+                    if t.num_rows:
+                        resolved, last = pc.max(t.column("crts")).as_py(), place
         if marker is not None:
             yield mark("initialized", None, marker * GROUP_ROWS - 2)
         if resolved is not None:

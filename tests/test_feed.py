@@ -76,3 +76,37 @@ def test_a_feed_that_goes_back_is_an_error(spark, tmp_path):
         feed.append_feed(entries(spark, [(1, "k", t, 5)]), f"{path}/feed", n)
     with pytest.raises(Exception, match="goes back"):
         run(spark, path)
+
+
+def test_a_footer_is_read_once(spark, tmp_path, monkeypatch):
+    rows = spark.range(20000).select(F.lit(1).cast("bigint").alias("region_id"), F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("key"), "id", F.col("id").alias("crts"), F.lit(1).alias("op_type"), F.lit(None).cast("binary").alias("value"), F.lit(None).cast("binary").alias("old_value"))
+    feed.append_feed(rows.withColumnRenamed("id", "start_ts").coalesce(1), f"file://{tmp_path}/feed", 0, group_bytes=16 << 10)
+    reader = feed.FeedReader({"path": f"file://{tmp_path}/feed", "max_bytes": 64 << 10})
+    reader.initialOffset()
+    files, groups = {g[0] for g in reader.groups["1"]}, len(reader.groups["1"])
+    assert groups > 4 * len(files)
+    parsed, whole = [], feed.pq.ParquetFile
+
+    def opened(f, metadata=None):
+        parsed.append(metadata is None)
+        return whole(f, metadata=metadata)
+
+    monkeypatch.setattr(feed.pq, "ParquetFile", opened)
+    at, seen, batches = {}, [], 0
+    while (to := reader._admitted(at, reader.quota)) != at:
+        for part in reader.partitions({"scan": {}, "at": at}, {"scan": {}, "at": to}):
+            seen += [ts for b in reader.read(part) for ts, kind in zip(b.column("crts").to_pylist(), b.column("kind").to_pylist(), strict=True) if kind == "committed"]
+        at, batches = to, batches + 1
+    assert batches > 3 and seen == list(range(20000))
+    assert sum(parsed) == len(files) and len(parsed) <= batches + len(files)
+
+
+def test_no_more_footers_are_held_than_stated(tmp_path, monkeypatch):
+    monkeypatch.setattr(feed, "FOOTERS", 2)
+    monkeypatch.setattr(feed, "_FOOTERS", feed.OrderedDict())
+    for n in range(4):
+        feed.pq.write_table(feed.pa.table({"a": list(range(n + 1))}), f"{tmp_path}/{n}.parquet")
+    for n in (0, 1, 2, 3, 2, 0):
+        with open(f"{tmp_path}/{n}.parquet", "rb") as f:
+            assert feed._opened(f, f"{tmp_path}/{n}.parquet").read_row_group(0).num_rows == n + 1
+        assert len(feed._FOOTERS) <= 2
