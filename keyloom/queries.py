@@ -18,6 +18,7 @@ from keyloom.operators import changelog, checksums, folds, placement, ranges, wa
 from keyloom.plans import backups, bulkload, feeds, manifests, restore, summary
 from keyloom.sources import feed, logs
 from keyloom.streaming import apply, frontier, regions, release, sinks
+from keyloom.streaming.progress import plain_logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -691,8 +692,9 @@ def feed_source_stream(spark, d):
     for number, second in enumerate((False, True)):
         feed.append_feed(entries.filter((F.col("crts") > (low + high) // 2) == second), f"{path}/feed", number, 32 << 10)
         stream = feed.stream_feed(spark, f"{path}/feed", start_ts=low + _DAY, max_bytes=256 << 10, progress=f"{path}/progress")
-        running = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/progress").start()
-        running.processAllAvailable()
+        with plain_logs(spark, path):
+            running = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/progress").start()
+            running.processAllAvailable()
         running.stop()
     rows = spark.read.parquet(f"{path}/out").select("region_id", "kind", _text("key"), _text("value"), "crts").na.fill("").na.fill(0)
     last = rows.filter("kind = 'resolved'").groupBy("region_id", "kind", "key", "value").agg(F.max("crts").alias("crts"))

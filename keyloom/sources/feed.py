@@ -12,8 +12,10 @@ import itertools
 import json
 import re
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -24,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 #: Bytes of a row group: what a batch takes whole.
 GROUP_BYTES = 1 << 20
+#: Ranges that have no more than this in a batch together are read by one task, and row groups at once.
+TASK_BYTES = 128 << 10
 #: Rows of a row group have numbers below this, so that a row's sequence is its group's place and its own.
 GROUP_ROWS = 1 << 24
 FEED = "region_id bigint, kind string, key binary, start_ts bigint, crts bigint, op_type int, value binary, old_value binary, sequence bigint"
@@ -34,9 +38,11 @@ _STORED = [f.name for f in _SCHEMA if f.name not in ("region_id", "kind", "seque
 
 def append_feed(log: DataFrame, path: str, number: int, group_bytes: int = GROUP_BYTES) -> None:
     """Add entries (region_id, key, start_ts, crts, op_type, value, old_value) as append `number`: each range's files
-    follow each other by commit timestamp. A range of any size is spread over several files."""
+    follow each other by commit timestamp. A range of any size is spread over several files. Version 2 of Parquet's pages
+    stores timestamps that rise, and values alike, as differences."""
     rows = log.select("region_id", *_STORED).repartitionByRange("region_id", "crts").sortWithinPartitions("region_id", "crts")
-    rows.write.option("parquet.block.size", group_bytes).partitionBy("region_id").mode("errorifexists").parquet(f"{path}/append={number:08d}")
+    written = rows.write.option("parquet.block.size", group_bytes).option("parquet.writer.version", "v2")
+    written.partitionBy("region_id").mode("errorifexists").parquet(f"{path}/append={number:08d}")
 
 
 #: Footers of the files that this process has read last, so many at most; files do not change. A footer grows with its
@@ -53,11 +59,39 @@ def _opened(f, file: str) -> pq.ParquetFile:
     return out
 
 
-class FeedPartition(InputPartition):
+def _rows(file: pq.ParquetFile, groups: Iterable[tuple[str, int, int]]) -> Iterator[pa.Table]:
+    """Rows of a file's row groups with their sequences; small groups are read together."""
+
+    def read():
+        places = [np.arange(place * GROUP_ROWS, place * GROUP_ROWS + n) for _, place, n in held]
+        return file.read_row_groups([g for g, _, _ in held], columns=_STORED).append_column("sequence", pa.array(np.concatenate(places)))
+
+    held, size = [], 0
+    for _, group, place in groups:
+        facts = file.metadata.row_group(group)
+        if held and size + facts.total_byte_size > TASK_BYTES:
+            yield read()
+            held, size = [], 0
+        held.append((group, place, facts.num_rows))
+        size += facts.total_byte_size
+    yield read()
+
+
+@dataclass
+class FeedRange:
     """The row groups of a range that a batch reads: (file, group, place in the range)."""
 
-    def __init__(self, region: int, groups: list[tuple[str, int, int]], start_ts: int, initialized: int | None):
-        self.region, self.groups, self.start_ts, self.initialized = region, groups, start_ts, initialized
+    region: int
+    groups: list[tuple[str, int, int]]
+    start_ts: int
+    initialized: int | None
+
+
+class FeedPartition(InputPartition):
+    """Ranges that a task reads one after the other."""
+
+    def __init__(self, ranges: list[FeedRange]):
+        self.ranges = ranges
 
 
 class FeedReader(DataSourceStreamReader):
@@ -140,7 +174,7 @@ class FeedReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[FeedPartition]:
         self._find()
         self.now = self.now or end
-        made = []
+        made, room = [], 0
         for region, to in end["at"].items():
             frm, scan = start["at"].get(region, -1), end["scan"].get(region, 0)
             groups = self.groups[region]
@@ -150,33 +184,48 @@ class FeedReader(DataSourceStreamReader):
                     raise ValueError(f"range {region}: {groups[k][0]} goes back behind timestamp {groups[k - 1][4]}")
             first = frm < scan <= to or (frm < 0 and not scan)
             if here or first:
-                made.append(FeedPartition(int(region), here, self.start_ts, max(scan, 0) if first else None))
+                size = sum(groups[k][2] for _, _, k in here)
+                if not made or size > room:
+                    made.append(FeedPartition([]))
+                    room = TASK_BYTES
+                room -= size
+                made[-1].ranges.append(FeedRange(int(region), here, self.start_ts, max(scan, 0) if first else None))
         return made
 
     def read(self, partition: FeedPartition) -> Iterator[pa.RecordBatch]:
+        """The ranges' rows; what a few row groups have leaves together."""
+        held, size = [], 0
+        for t in itertools.chain.from_iterable(map(self._read, partition.ranges)):
+            held.append(t)
+            size += t.nbytes
+            if size > TASK_BYTES:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    def _read(self, part: FeedRange) -> Iterator[pa.Table]:
         """The range's entries, with a marker where its history has been read and one for what is complete after it."""
         resolved, last = None, -1
-        marker = partition.initialized
+        marker = part.initialized
 
         def mark(kind, ts, sequence):
-            row = {"region_id": partition.region, "kind": kind, "crts": ts, "op_type": 3, "sequence": sequence}
-            return pa.RecordBatch.from_pylist([row], _SCHEMA)
+            row = {"region_id": part.region, "kind": kind, "crts": ts, "op_type": 3, "sequence": sequence}
+            return pa.Table.from_pylist([row], _SCHEMA)
 
-        for file, groups in itertools.groupby(partition.groups, lambda g: g[0]):
+        for (file, new), groups in itertools.groupby(part.groups, lambda g: (g[0], part.initialized is not None and g[2] >= part.initialized)):
+            if new and marker is not None:
+                yield mark("initialized", None, marker * GROUP_ROWS - 2)
+                marker = None
             with self.fs.open_input_file(file) as f:
                 opened = _opened(f, file)
-                for _, group, place in groups:
-                    if marker is not None and place >= marker:
-                        yield mark("initialized", None, marker * GROUP_ROWS - 2)
-                        marker = None
-                    t = opened.read_row_group(group, columns=_STORED)
+                for t in _rows(opened, groups):
                     n = t.num_rows
-                    t = t.append_column("sequence", pa.array(range(place * GROUP_ROWS, place * GROUP_ROWS + n), pa.int64()))
-                    t = t.append_column("region_id", pa.array([partition.region] * n, pa.int64())).append_column("kind", pa.array(["committed"] * n))
-                    t = t.select(_SCHEMA.names).cast(_SCHEMA).filter(pc.greater(t.column("crts"), partition.start_ts))
-                    yield from t.combine_chunks().to_batches()
+                    t = t.append_column("region_id", pa.repeat(pa.scalar(part.region, pa.int64()), n)).append_column("kind", pa.repeat("committed", n))
+                    t = t.select(_SCHEMA.names).cast(_SCHEMA).filter(pc.greater(t.column("crts"), part.start_ts))
                     if t.num_rows:
-                        resolved, last = pc.max(t.column("crts")).as_py(), place
+                        yield t
+                        resolved, last = pc.max(t.column("crts")).as_py(), t.column("sequence")[-1].as_py() // GROUP_ROWS
         if marker is not None:
             yield mark("initialized", None, marker * GROUP_ROWS - 2)
         if resolved is not None:

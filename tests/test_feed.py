@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 from keyloom.sources import feed
+from keyloom.streaming import progress
 from pyspark.sql import functions as F
 
 
@@ -110,3 +111,82 @@ def test_no_more_footers_are_held_than_stated(tmp_path, monkeypatch):
         with open(f"{tmp_path}/{n}.parquet", "rb") as f:
             assert feed._opened(f, f"{tmp_path}/{n}.parquet").read_row_group(0).num_rows == n + 1
         assert len(feed._FOOTERS) <= 2
+
+
+def reader_of(path, **options):
+    reader = feed.FeedReader({"path": f"{path}/feed", **options})
+    return reader, reader.initialOffset()["scan"]
+
+
+def test_small_ranges_share_a_task_and_a_record_batch(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    feed.append_feed(entries(spark, [(r, f"k{t}", t, 5) for r in range(6) for t in range(9)]), f"{path}/feed", 0)
+    reader, scan = reader_of(path)
+    (part,) = reader.partitions({"scan": scan, "at": {}}, {"scan": scan, "at": scan})
+    (batch,) = reader.read(part)
+    rows = batch.to_pylist()
+    for r in range(6):
+        mine = [x for x in rows if x["region_id"] == r]
+        assert [(x["kind"], x["crts"]) for x in mine] == [*[("committed", t) for t in range(9)], ("initialized", None), ("resolved", 8)]
+        assert [x["sequence"] for x in mine] == sorted({x["sequence"] for x in mine})
+
+
+def test_large_ranges_keep_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}"
+    feed.append_feed(entries(spark, [(r, f"k{t}", t, 5) for r in range(6) for t in range(900)]), f"{path}/feed", 0, group_bytes=4 << 10)
+    reader, scan = reader_of(path)
+    size = sum(g[2] for g in reader.groups["0"])
+    for limit, tasks in ((size // 2, 6), (2 * size + size // 2, 3)):
+        monkeypatch.setattr(feed, "TASK_BYTES", limit)
+        made = reader.partitions({"scan": scan, "at": {}}, {"scan": scan, "at": scan})
+        assert len(made) == tasks
+        rows = [x for part in made for b in reader.read(part) for x in b.to_pylist()]
+        assert sorted((x["region_id"], x["crts"]) for x in rows if x["kind"] == "committed") == [(r, t) for r in range(6) for t in range(900)]
+        for r in range(6):
+            mine = [x["sequence"] for x in rows if x["region_id"] == r]
+            assert mine == sorted(set(mine))
+
+
+def test_a_marker_stays_between_history_and_growth(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    feed.append_feed(entries(spark, [(1, f"k{t}", t, 5) for t in range(900)]).coalesce(1), f"{path}/feed", 0, group_bytes=4 << 10)
+    reader, scan = reader_of(path)
+    for n in range(len(reader.groups["1"])):  # the history ends with any row group
+        old = {"1": n}
+        (part,) = reader.partitions({"scan": old, "at": {}}, {"scan": old, "at": scan})
+        rows = [x for b in reader.read(part) for x in b.to_pylist()]
+        at = [x["kind"] for x in rows].index("initialized")
+        assert [x["crts"] for x in rows[:at]] + [x["crts"] for x in rows[at + 1 : -1]] == list(range(900)) and rows[-1]["kind"] == "resolved"
+        assert at == 0 if n == 0 else rows[at - 1]["crts"] == reader.groups["1"][n - 1][4]
+        assert [x["sequence"] for x in rows] == sorted({x["sequence"] for x in rows})
+
+
+def test_rising_timestamps_are_stored_as_differences(spark, tmp_path):
+    rows = spark.range(20000).select(F.lit(1).cast("bigint").alias("region_id"), F.lit(b"k").alias("key"), (F.col("id") * 1000).alias("start_ts"), (F.col("id") * 1000).alias("crts"), F.lit(1).alias("op_type"), F.lit(b"v").alias("value"), F.lit(None).cast("binary").alias("old_value"))
+    feed.append_feed(rows, f"file://{tmp_path}/feed", 0)
+    reader, scan = reader_of(f"file://{tmp_path}")
+    assert sum(g[2] for g in reader.groups["1"]) < 20000 * 8
+    (part,) = reader.partitions({"scan": scan, "at": {}}, {"scan": scan, "at": scan})
+    assert [x for b in reader.read(part) for x in b.column("crts").to_pylist() if x is not None][:20000] == [n * 1000 for n in range(20000)]
+
+
+def test_logs_of_a_local_stream(spark, tmp_path):
+    assert spark.conf.get(progress.MANAGER, None) is None
+    path = f"file://{tmp_path}"
+    for n in range(2):
+        feed.append_feed(entries(spark, [(1, f"k{t}", n * 10 + t, 5) for t in range(9)]), f"{path}/feed", n)
+        with progress.plain_logs(spark, path):
+            assert spark.conf.get(progress.MANAGER)
+            query = feed.stream_feed(spark, f"{path}/feed").writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/progress").start()
+            query.processAllAvailable()
+            query.stop()
+        assert spark.conf.get(progress.MANAGER, None) is None
+    got = [r.crts for r in spark.read.parquet(f"{path}/out").filter("kind = 'committed'").collect()]
+    assert sorted(got) == [n * 10 + t for n in range(2) for t in range(9)]
+    with pytest.raises(ValueError), progress.plain_logs(spark, path):
+        raise ValueError
+    assert spark.conf.get(progress.MANAGER, None) is None
+    spark.conf.set(progress.MANAGER, "own.Choice")
+    with progress.plain_logs(spark, path):
+        assert spark.conf.get(progress.MANAGER) == "own.Choice"
+    spark.conf.unset(progress.MANAGER)
